@@ -15,9 +15,9 @@ from logweave.operators.scan import block_of, running_max
 from logweave.schemas import PARTITION_KEYS
 from logweave.session import small_side
 
-# Sequence numbers per block. A block travels as one array, so this bounds its length; blocks are
-# themselves grouped by as many again.
-SEQ_BLOCK = 4_096
+# Sequence numbers per block, as a power of two. A block travels as one array, so this bounds its
+# length; blocks are themselves grouped by as many again.
+SEQ_BITS = 12
 
 
 def _instant(at: Column | datetime) -> Column:
@@ -64,51 +64,52 @@ def gaps(marks: DataFrame, start: DataFrame | None = None) -> DataFrame:
     Columns ``topic, partition, gap_start, gap_end``. ``start`` gives ``committed_seq`` per
     topic-partition; counting begins after it, at 0 where it is absent. Repeated marks do no harm:
     every task reduces its rows to a set per block before the shuffle.
+
+    Gaps are found inside blocks, then between the blocks of a group, then between groups; only the
+    last step, on one row per 2 ** 24 numbers, orders a whole partition.
     """
-    block = block_of("seq", SEQ_BLOCK).alias("block")
     seqs, size = F.col("seqs"), F.size("seqs")
-    inside = F.filter(
-        F.zip_with(
-            F.slice(seqs, 1, size - 1),
-            F.slice(seqs, 2, size - 1),
-            lambda a, b: F.struct((a + 1).alias("gap_start"), (b - 1).alias("gap_end")),
-        ),
-        lambda gap: gap["gap_start"] <= gap["gap_end"],
+    inside = F.zip_with(
+        F.slice(seqs, 1, size - 1), F.slice(seqs, 2, size - 1), lambda a, b: _between(a, b)
     )
-    group = block_of("block", SEQ_BLOCK)
     blocks = (
         marks.filter(F.col("seq") >= 0)
-        .groupBy(*PARTITION_KEYS, block)
+        .groupBy(*PARTITION_KEYS, block_of("seq", SEQ_BITS).alias("block"))
         .agg(F.array_sort(F.collect_set("seq")).alias("seqs"))
         .select(
-            *PARTITION_KEYS, "block", group.alias("group"),
+            *PARTITION_KEYS, "block", block_of("block", SEQ_BITS).alias("group"),
             F.element_at("seqs", 1).alias("low"), F.element_at("seqs", -1).alias("high"),
-            inside.alias("inside"),
+            F.filter(inside, lambda gap: gap["gap_start"] <= gap["gap_end"]).alias("inside"),
         )
     )
-    # highest number before a block: from the block before it, else from the group before its group
     in_group = Window.partitionBy(*PARTITION_KEYS, "group").orderBy("block")
     in_partition = Window.partitionBy(*PARTITION_KEYS).orderBy("group")
+    linked = blocks.withColumn("before", F.lag("high").over(in_group))
+    edge = F.when(F.col("before").isNotNull(), F.array(_between(F.col("before"), F.col("low"))))
+    within = linked.select(
+        *PARTITION_KEYS, F.explode(F.concat(F.coalesce(edge, F.array()), "inside")).alias("gap")
+    ).select(*PARTITION_KEYS, "gap.gap_start", "gap.gap_end")
     groups = (
         blocks.groupBy(*PARTITION_KEYS, "group")
-        .agg(F.max("high").alias("high"))
-        .select(*PARTITION_KEYS, "group", F.lag("high").over(in_partition).alias("group_before"))
-    )
-    linked = blocks.withColumn("before", F.lag("high").over(in_group)).join(
-        groups, [*PARTITION_KEYS, "group"]
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        .withColumn("before", F.lag("high").over(in_partition))
     )
-    floor = F.lit(-1)
+    floor = F.lit(-1).cast("bigint")
     if start is not None:
-        linked = linked.join(
+        groups = groups.join(
             small_side(start.select(*PARTITION_KEYS, "committed_seq")), PARTITION_KEYS, "left"
         )
-        floor = F.coalesce("committed_seq", F.lit(-1))
-    before = F.coalesce("before", "group_before", floor)
-    edge = F.struct((before + 1).alias("gap_start"), (F.col("low") - 1).alias("gap_end"))
-    edges = F.filter(F.array(edge), lambda gap: gap["gap_start"] <= gap["gap_end"])
-    return linked.select(*PARTITION_KEYS, F.explode(F.concat(edges, "inside")).alias("gap")).select(
+        floor = F.coalesce("committed_seq", floor)
+    gap = _between(F.coalesce("before", floor), F.col("low"))
+    between = groups.select(*PARTITION_KEYS, gap.alias("gap")).select(
         *PARTITION_KEYS, "gap.gap_start", "gap.gap_end"
     )
+    return within.unionByName(between).filter(F.col("gap_start") <= F.col("gap_end"))
+
+
+def _between(before: Column, after: Column) -> Column:
+    """Numbers strictly between two; the start exceeds the end when there are none."""
+    return F.struct((before + 1).alias("gap_start"), (after - 1).alias("gap_end"))
 
 
 def commit_ends(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logweave.functions.errors import needs_cooldown
 from logweave.functions.score import partition_score
-from logweave.operators.scan import BLOCK, block_of
+from logweave.operators.scan import block_of
 
 # Weight of the newest latency, cooldown length.
 ALPHA = 0.2

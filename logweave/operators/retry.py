@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logweave.operators.scan import running_max
+from logweave.operators.scan import block_of, running_max
 from logweave.session import materialize, small_side
 
 MAX_RETRIES = 5
@@ -73,9 +73,9 @@ def with_retries_frame(
     return reduce(DataFrame.unionByName, parts)
 
 
-# Start times per scan block: with one row per millisecond as many rows at most.
-_PAUSE_BLOCK_US = 65_536_000
-_PAUSE_BUCKET_US = 64_000_000
+# Blocks and join buckets of 2 ** 26 microseconds, about 67 s. One row per start time is left before
+# the scan, so with millisecond times a block holds at most as many thousand rows.
+_PAUSE_BITS = 26
 
 
 def pause_intervals(
@@ -91,9 +91,9 @@ def pause_intervals(
         .groupBy(*by, start.alias("_s"))
         .agg(F.max(start + F.col(delay_s).cast("bigint") * 1_000_000).alias("_e"))
     )
-    reach = running_max(pauses, by, "_s", F.col("_e"), "_reach", _PAUSE_BLOCK_US, inclusive=False)
+    reach = running_max(pauses, by, "_s", F.col("_e"), "_reach", _PAUSE_BITS, inclusive=False)
     opens = F.when(F.col("_reach").isNull() | (F.col("_s") > F.col("_reach")), F.col("_s"))
-    merged = running_max(reach, by, "_s", opens, "_open", _PAUSE_BLOCK_US)
+    merged = running_max(reach, by, "_s", opens, "_open", _PAUSE_BITS)
     return (
         merged.groupBy(*by, "_open")
         .agg(F.max("_e").alias("_e"))
@@ -112,12 +112,10 @@ def hold_paused(rows: DataFrame, intervals: DataFrame, by: list[str], at: str) -
     s, e = F.unix_micros("paused_at"), F.unix_micros("resumed_at")
     pauses = intervals.select(
         *by, s.alias("_s"), e.alias("_e"),
-        F.explode(
-            F.sequence(F.floor(s / _PAUSE_BUCKET_US), F.floor((e - 1) / _PAUSE_BUCKET_US))
-        ).alias("_bucket"),
+        F.explode(F.sequence(block_of(s, _PAUSE_BITS), block_of(e - 1, _PAUSE_BITS))).alias("_bucket"),
     )
     arrival = F.unix_micros(F.col(at))
-    timed = rows.withColumns({"_t": arrival, "_bucket": F.floor(arrival / _PAUSE_BUCKET_US)})
+    timed = rows.withColumns({"_t": arrival, "_bucket": block_of(arrival, _PAUSE_BITS)})
     pauses = small_side(pauses)
     same = (timed["_bucket"] == pauses["_bucket"]) & (timed["_t"] > pauses["_s"]) & (timed["_t"] < pauses["_e"])
     for c in by:

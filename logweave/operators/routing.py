@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -43,49 +44,48 @@ def route_batch(
     after the last attempt. Rows end ``delivered``, ``exhausted`` or ``rejected`` (an error not
     worth retrying); the last two are dead letters.
 
-    Between attempts only counts per group are evaluated, over the rows that failed so far.
+    An attempt is written once, and the next one reads only the rows that failed in it. Between
+    attempts only counts per partition leave the executors.
     """
     by = by or []
-    state = small_side(health)
-    choices: list[DataFrame] = []
-    routes: DataFrame | None = None
-    open_rows = df
+    kept = [c for c in df.columns if c != "partition"]
+    state, rows, parts = small_side(health), df, []
     for attempt in range(1, max_attempts + 1):
-        chosen = choose_partition(state, by, partitions, now_ms).select(
-            *by, F.col("chosen").alias(f"_p{attempt}")
+        chosen = small_side(choose_partition(state, by, partitions, now_ms).select(*by, "chosen"))
+        tried = _send_to(rows, chosen, by).withColumn("_code", error_at(attempt, F.col("_chosen")))
+        tried = materialize(tried, f"attempt-{attempt}")
+        again = goes_on(F.col("_code"), fatal(F.col("_code")))
+        failing = tried.filter(again)
+        counts = None
+        if attempt < max_attempts:
+            counts = small_side(
+                failing.groupBy(*by, F.col("_chosen").alias("partition")).agg(
+                    F.count_if(~F.col("_code").isin(MISSING_TOPIC_CODES)).alias("_errors"),
+                    F.max(needs_cooldown(F.col("_code"))).alias("_cool"),
+                )
+            )
+        last = counts is None or counts.isEmpty()
+        outcome = (
+            F.when(F.col("_code").isNull(), "delivered").when(again, "exhausted").otherwise("rejected")
         )
-        choices.append(small_side(chosen))
-        routes = _join_groups(routes, choices[-1], by)
-        if attempt == max_attempts:
-            break
-        code = error_at(attempt, F.col("_tried"))
-        tried = _join_groups(open_rows, choices[-1], by).withColumnRenamed(f"_p{attempt}", "_tried")
-        failing = tried.withColumn("_code", code).filter(goes_on(F.col("_code"), fatal(F.col("_code"))))
-        if attempt == 1:
-            # later attempts only read the rows that failed the first one
-            failing = materialize(failing.select(*df.columns, "_tried", "_code"), "failing")
-        held_against = ~F.col("_code").isin(MISSING_TOPIC_CODES)
-        counts = small_side(
-            failing.groupBy(*by, F.col("_tried").alias("partition")).agg(
-                F.count_if(held_against).alias("_errors"),
-                F.max(needs_cooldown(F.col("_code"))).alias("_cool"),
+        parts.append(
+            (tried if last else tried.filter(~again)).select(
+                *kept, F.col("_chosen").alias("partition"), F.lit(attempt).alias("attempts"),
+                outcome.alias("outcome"), F.col("_code").alias("error_code"),
             )
         )
-        if counts.isEmpty():
+        if last:
             break
         state = small_side(_after_errors(state, counts, by, now_ms, cooldown_ms))
-        open_rows = failing.select(*df.columns)
-    return _settle(_join_groups(df, routes, by), df.columns, error_at, fatal, len(choices), max_attempts)
+        rows = failing.select(*df.columns)
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _join_groups(left: DataFrame | None, right: DataFrame, by: list[str]) -> DataFrame:
-    """Join on the group columns; without any, ``right`` is a single row."""
-    if left is None:
-        return right
+def _send_to(rows: DataFrame, chosen: DataFrame, by: list[str]) -> DataFrame:
+    """Rows with the partition chosen for their group; without groups there is one choice."""
     if by:
-        return left.join(right, by)
-    one = F.lit(0).alias("_one")
-    return left.select("*", one).join(right.select("*", one), "_one").drop("_one")
+        return rows.join(chosen.withColumnRenamed("chosen", "_chosen"), by)
+    return rows.withColumn("_chosen", F.lit(chosen.first()["chosen"]))
 
 
 def _after_errors(
@@ -101,35 +101,3 @@ def _after_errors(
         until.alias("unavailable_until_ms"),
         (F.lit(now_ms) > until).alias("available"),
     )
-
-
-def _settle(
-    routed: DataFrame,
-    columns: list[str],
-    error_at: ErrorAt,
-    fatal: Callable[[Column], Column],
-    attempts: int,
-    max_attempts: int,
-) -> DataFrame:
-    """First attempt of each row that does not lead to another one, in a single pass."""
-    def end(n: int) -> Column:
-        code = error_at(n, F.col(f"_p{n}"))
-        return F.struct(
-            F.lit(n).alias("attempts"), F.col(f"_p{n}").alias("partition"), code.alias("error_code")
-        )
-
-    def ends_here(n: int) -> Column:
-        code = error_at(n, F.col(f"_p{n}"))
-        return code.isNull() | ~goes_on(code, fatal(code))
-
-    stops = [F.when(ends_here(n), end(n)) for n in range(1, attempts + 1)]
-    last = F.coalesce(*stops, end(attempts))
-    outcome = (
-        F.when(F.col("_end.error_code").isNull(), "delivered")
-        .when(goes_on(F.col("_end.error_code"), fatal(F.col("_end.error_code"))), "exhausted")
-        .otherwise("rejected")
-    )
-    kept = [c for c in columns if c != "partition"]
-    return routed.withColumn("_end", last).select(
-        *kept, "_end.partition", "_end.attempts", outcome.alias("outcome"), "_end.error_code"
-    )

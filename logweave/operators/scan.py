@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Order values per block. One row per value makes this the most rows a block can hold.
-BLOCK = 65_536
+# A block spans 2 ** BLOCK_BITS order values. With one row per value it holds no more rows than that.
+BLOCK_BITS = 16
 
 
-def block_of(order: Column | str, width: int = BLOCK) -> Column:
+def block_of(order: Column | str, bits: int = BLOCK_BITS) -> Column:
+    """Number of the block of ``2 ** bits`` consecutive values that an integer falls in."""
     column = F.col(order) if isinstance(order, str) else order
-    return F.floor(column / F.lit(width)).cast("bigint")
+    return F.shiftright(column.cast("bigint"), bits)
 
 
 def running_max(
@@ -25,11 +26,11 @@ def running_max(
     order: str,
     value: Column,
     into: str,
-    width: int = BLOCK,
+    bits: int = BLOCK_BITS,
     inclusive: bool = True,
 ) -> DataFrame:
     """Add the largest ``value`` among rows up to this one (or before it) within ``by``."""
-    blocked = df.withColumns({"_block": block_of(order, width), "_value": value})
+    blocked = df.withColumns({"_block": block_of(order, bits), "_value": value})
     last = Window.currentRow if inclusive else -1
     inside = Window.partitionBy(*by, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, last)
     earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,4 +58,4 @@ def numbered_messages(
 def chunk(df: DataFrame, order: list[str], size: int = 10, by: list[str] | None = None) -> DataFrame:
     """Add ``chunk``: rows in ``order``, ``size`` to a chunk, none lost."""
     stamped = stamp_sequence(df, order, by, "_seq")
-    return stamped.withColumn("chunk", F.floor(F.col("_seq") / size).cast("bigint")).drop("_seq")
+    return stamped.withColumn("chunk", F.expr(f"_seq div {int(size)}")).drop("_seq")

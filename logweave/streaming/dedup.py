@@ -19,13 +19,14 @@ def dedup_stream(
     key: list[str],
     horizon: str | None = None,
     event_time: str = "timestamp",
-    salts: int | None = None,
+    slices: int | None = 16,
 ) -> DataFrame:
     """First message of every key; remembers keys for ever, or for ``horizon`` of event time.
 
-    ``salts`` first removes copies within each of that many slices of a key's rows, so that the
-    copies of a frequent key do not all travel to one task. That costs a second key state; it
-    is worth it where a few keys hold much of the stream. Rows without a key are left out.
+    Copies of one key are first removed within ``slices`` slices of the input tasks and then over
+    all, so that a key holding much of the stream does not travel to a single task. The first step
+    keeps a key state of its own; ``None`` leaves it out where no key is that frequent. Rows
+    without a key are left out.
     """
     keyed = stream.dropna(subset=key)
     if horizon is not None:
@@ -34,9 +35,9 @@ def dedup_stream(
     def drop(df: DataFrame, columns: list[str]) -> DataFrame:
         return df.dropDuplicates(columns) if horizon is None else df.dropDuplicatesWithinWatermark(columns)
 
-    if salts is not None:
-        slice_of = F.pmod(F.xxhash64(*[c for c in stream.columns if c not in key]), F.lit(salts))
-        keyed = drop(keyed.withColumn("_slice", slice_of), [*key, "_slice"]).drop("_slice")
+    if slices is not None:
+        sliced = keyed.withColumn("_slice", F.spark_partition_id() % slices)
+        keyed = drop(sliced, [*key, "_slice"]).drop("_slice")
     return drop(keyed, key)
 
 

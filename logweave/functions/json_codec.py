@@ -1,10 +1,24 @@
-"""JSON encode, strict decode and twice-encoded payloads."""
+"""JSON encode, strict decode and twice-encoded payloads.
+
+Spark's JSON reader is lenient: it puts the text of a number or an object into a string field, and
+stops at the end of the first value. Strictness comes from what it is asked to read. The text is
+placed inside an object with a field behind it, so that anything after the value breaks that
+object; and string fields are read as variants, which remember whether the value was a string.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-_CORRUPT = "_corrupt"
+_CORRUPT, _VALUE, _END = "_corrupt", "value", "_end"
+_OPTIONS = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _CORRUPT,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
 
 
 def encode_json(*columns: str) -> Column:
@@ -12,9 +26,89 @@ def encode_json(*columns: str) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).cast("binary")
 
 
+def _read(text: Column, schema: T.DataType) -> Column:
+    """The text as ``value`` of an object; not good if anything else is in the text."""
+    framed = F.concat(F.lit(f'{{"{_VALUE}":'), text, F.lit(f',"{_END}":0}}'))
+    layout = T.StructType(
+        [
+            T.StructField(_VALUE, schema),
+            T.StructField(_END, T.IntegerType()),
+            T.StructField(_CORRUPT, T.StringType()),
+        ]
+    )
+    return F.from_json(framed, layout, _OPTIONS)
+
+
+def _is_good(frame: Column) -> Column:
+    return frame[_CORRUPT].isNull() & frame[_END].isNotNull()
+
+
 def unwrap_json_string(text: Column) -> Column:
-    """Text inside a JSON string literal; any other JSON value stays as it is."""
-    return F.when(F.ltrim(text).startswith('"'), F.get_json_object(text, "$")).otherwise(text)
+    """Text inside a JSON string literal, null if the literal is broken; other text stays as it is."""
+    inner = F.transform(
+        F.array(_read(text, T.StringType())), lambda f: F.when(_is_good(f), f[_VALUE])
+    )
+    return F.when(F.ltrim(text).startswith('"'), F.element_at(inner, 1)).otherwise(text)
+
+
+def _as_read(kind: T.DataType) -> T.DataType:
+    """The type with variants in place of strings."""
+    if isinstance(kind, T.StringType):
+        return T.VariantType()
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_read(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_read(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, _as_read(kind.valueType))
+    return kind
+
+
+def _mismatch(column: Column, kind: T.DataType) -> Column | None:
+    """Whether some string field holds anything but a string or null; None if there is no such field."""
+    if isinstance(kind, T.StringType):
+        return column.isNotNull() & ~F.schema_of_variant(column).isin("STRING", "VOID")
+    if isinstance(kind, T.StructType):
+        parts = [_mismatch(column[f.name], f.dataType) for f in kind.fields]
+        found = [F.coalesce(p, F.lit(False)) for p in parts if p is not None]
+        return reduce(lambda a, b: a | b, found) if found else None
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        inner = kind.elementType if isinstance(kind, T.ArrayType) else kind.valueType
+        if _as_read(inner) == inner:
+            return None
+        values = column if isinstance(kind, T.ArrayType) else F.map_values(column)
+        return F.exists(values, lambda v: _mismatch(v, inner))
+    return None
+
+
+def _restore(column: Column, kind: T.DataType) -> Column:
+    """The value under its wanted type, variants turned into text."""
+    if _as_read(kind) == kind:
+        return column
+    if isinstance(kind, T.StringType):
+        return F.try_variant_get(column, "$", "string")
+    if isinstance(kind, T.StructType):
+        fields = [_restore(column[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda v: _restore(v, kind.elementType))
+    return F.transform_values(column, lambda k, v: _restore(v, kind.valueType))
+
+
+def _error_of(frame: Column, schema: T.StructType) -> Column:
+    value = frame[_VALUE]
+    bad = F.when(~_is_good(frame), "malformed_json").when(value.isNull(), "null_value")
+    mismatch = _mismatch(value, schema)
+    return bad if mismatch is None else bad.when(mismatch, "malformed_json")
+
+
+def parse_json(text: Column, schema: T.StructType) -> Column:
+    """The decoded struct, null for anything :func:`decode_json` calls an error."""
+    decoded = F.transform(
+        F.array(_read(text, _as_read(schema))),
+        lambda f: F.when(_error_of(f, schema).isNull(), _restore(f[_VALUE], schema)),
+    )
+    return F.element_at(decoded, 1)
 
 
 def decode_json(
@@ -26,28 +120,20 @@ def decode_json(
 ) -> DataFrame:
     """Add ``into`` (the decoded struct) and ``_error`` (null for a good row).
 
-    A missing value, the literal ``null`` and malformed text are errors; unknown
-    fields are ignored and absent ones are null. ``unwrap`` first opens payloads
-    that were serialised to a string twice.
+    A missing value, the literal ``null``, malformed text, text after the object and fields of
+    another type than the schema's are errors; unknown fields are ignored and absent ones are null.
+    ``unwrap`` first opens payloads that were serialised to a string twice.
     """
     text = F.col(value).cast("string")
     body = unwrap_json_string(text) if unwrap else text
-    readable = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(
-        body, readable, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    error = (
-        F.when(F.col(value).isNull(), "null_value")
-        .when(body.isNull(), "malformed_json")
-        .when(F.trim(body) == "null", "null_value")
-        # from_json accepts blank text and bare scalars; a record has to be an object
-        .when(~F.ltrim(body).startswith("{"), "malformed_json")
-        .when(F.col("_parsed").isNull() | F.col(f"_parsed.{_CORRUPT}").isNotNull(), "malformed_json")
-    )
-    fields = [F.col(f"_parsed.`{f.name}`").alias(f.name) for f in schema.fields]
+    frame = F.col("_frame")
+    # as the output of a generator the frame is parsed once; a projected one would be copied into
+    # every filter on the columns below
+    parsed = F.explode(F.array(_read(body, _as_read(schema)))).alias("_frame")
+    error = F.when(F.col(value).isNull(), "null_value").when(frame.isNull(), "malformed_json")
     return (
-        df.withColumn("_parsed", parsed)
-        .withColumn("_error", error)
-        .withColumn(into, F.when(F.col("_error").isNull(), F.struct(*fields)))
-        .drop("_parsed")
+        df.select("*", parsed)
+        .withColumn("_error", F.coalesce(error, _error_of(frame, schema)))
+        .withColumn(into, F.when(F.col("_error").isNull(), _restore(frame[_VALUE], schema)))
+        .drop("_frame")
     )

@@ -136,6 +136,37 @@ def _decode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield frame.astype({"order_id": "Int64", "client_id": "Int64", "state": "Int32", "micros": "Int64"})
 
 
+# Filters on decoded fields would otherwise run the function a second time.
+_encode_once, _decode_once = _encode.asNondeterministic(), _decode.asNondeterministic()
+
+
+def encode_order_event(event: Column) -> Column:
+    """Message bytes of an event struct."""
+    return _encode_once(
+        event["order_id"], event["client_id"], state_number(event["order_state"]),
+        F.unix_micros(event["timestamp"]),
+    )
+
+
+def _event(raw: Column) -> Column:
+    return F.struct(
+        raw["order_id"].alias("order_id"),
+        raw["client_id"].alias("client_id"),
+        state_name(raw["state"]).alias("order_state"),
+        F.timestamp_micros(raw["micros"]).alias("timestamp"),
+    )
+
+
+def _is_known(raw: Column) -> Column:
+    return raw["order_id"].isNotNull() & state_name(raw["state"]).isNotNull()
+
+
+def decode_order_event(value: Column) -> Column:
+    """Event struct of message bytes; null if they are none, or the state is unknown."""
+    events = F.transform(F.array(_decode_once(value)), lambda raw: F.when(_is_known(raw), _event(raw)))
+    return F.element_at(events, 1)
+
+
 def encode_order_events(df: DataFrame, into: str = "value") -> DataFrame:
     """Add the message bytes of ``order_id, client_id, order_state, timestamp``."""
     if spark_protobuf_available(df):
@@ -145,15 +176,8 @@ def encode_order_events(df: DataFrame, into: str = "value") -> DataFrame:
         return df.withColumn(
             into, to_protobuf(event, MESSAGE_NAME, binaryDescriptorSet=descriptor_set())
         )
-    return df.withColumn(
-        into,
-        _encode(
-            F.col("order_id"),
-            F.col("client_id"),
-            state_number(F.col("order_state")),
-            F.unix_micros("timestamp"),
-        ),
-    )
+    event = F.struct("order_id", "client_id", "order_state", "timestamp")
+    return df.withColumn(into, encode_order_event(event))
 
 
 def decode_order_events(df: DataFrame, value: str = "value", into: str = "data") -> DataFrame:
@@ -181,13 +205,7 @@ def decode_order_events(df: DataFrame, value: str = "value", into: str = "data")
             ),
         )
     else:
-        raw = df.withColumn("_raw", _decode(F.col(value)))
-    event = F.struct(
-        F.col("_raw.order_id").alias("order_id"),
-        F.col("_raw.client_id").alias("client_id"),
-        state_name(F.col("_raw.state")).alias("order_state"),
-        F.timestamp_micros("_raw.micros").alias("timestamp"),
-    )
+        raw = df.withColumn("_raw", _decode_once(F.col(value)))
     return (
         raw.withColumn(
             "_error",
@@ -195,6 +213,6 @@ def decode_order_events(df: DataFrame, value: str = "value", into: str = "data")
             .when(F.col("_raw.order_id").isNull(), "malformed_message")
             .when(state_name(F.col("_raw.state")).isNull(), "unknown_enum"),
         )
-        .withColumn(into, F.when(F.col("_error").isNull(), event))
+        .withColumn(into, F.when(F.col("_error").isNull(), _event(F.col("_raw"))))
         .drop("_raw")
     )

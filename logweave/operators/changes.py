@@ -22,9 +22,11 @@ def unwrap_changes(log: DataFrame, row_schema: T.StructType, keep_tombstones: bo
         ]
     )
     enveloped = T.StructType([T.StructField("payload", record), *record.fields])
-    parsed = log.withColumn("_change", F.from_json(F.col("value").cast("string"), enveloped))
-    change = F.coalesce(F.col("_change.payload"), F.struct("_change.before", "_change.after", "_change.op"))
-    parsed = parsed.withColumn("_change", change)
+    # as the output of a generator the record is parsed once, whatever is filtered on later
+    found = F.explode(F.array(F.from_json(F.col("value").cast("string"), enveloped)))
+    parsed = log.select("*", found.alias("_found"))
+    change = F.coalesce(F.col("_found.payload"), F.struct("_found.before", "_found.after", "_found.op"))
+    parsed = parsed.withColumn("_change", change).drop("_found")
     row = F.coalesce(F.col("_change.after"), F.col("_change.before"))
     fields = [row[f.name].alias(f.name) for f in row_schema.fields]
     tombstone = F.col("value").isNull()

@@ -49,7 +49,8 @@ def numbered_messages(
     stamped = stamp_sequence(df, order, by)
     text = F.concat(
         F.lit("Message #"), F.col("seq").cast("string"), F.lit(" at "),
-        F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"),
+        F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        F.lit("Z"),
     )
     headers = {"producer": producer, "machine": "localhost", SEQUENCE_HEADER: F.col("seq").cast("string")}
     return stamped.withColumns({"value": text.cast("binary"), "headers": header_array(headers)})

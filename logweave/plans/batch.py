@@ -186,15 +186,17 @@ def decode_json_twice(spark: SparkSession, d: str) -> DataFrame:
 
 def codecs(spark: SparkSession, d: str) -> DataFrame:
     """Round trip of every document through the registered codecs."""
-    schema = "struct<text:string,n_chars:bigint>"
     kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
-    body = F.struct("text", "n_chars")
-    string, json, number = fn.string_codec(), fn.json_codec(kind), fn.int64_codec()
+
+    def round_trip(name: str, value: F.Column) -> F.Column:
+        codec = fn.codec(name, kind)
+        return codec.decode(codec.encode(value))
+
     return fx.table(spark, d, "documents").select(
         "doc_id",
-        F.md5(string.decode(string.encode(F.col("text"))).cast("binary")).alias("string_md5"),
-        F.md5(json.decode(json.encode(body.cast(schema)))["text"].cast("binary")).alias("json_md5"),
-        number.decode(number.encode(F.col("n_chars"))).alias("n_chars"),
+        F.md5(round_trip("string", F.col("text")).cast("binary")).alias("string_md5"),
+        F.md5(round_trip("json", F.struct("text", "n_chars"))["text"].cast("binary")).alias("json_md5"),
+        round_trip("int64", F.col("n_chars")).alias("n_chars"),
     )
 
 

@@ -19,9 +19,9 @@ def work_dir(spark: SparkSession, name: str) -> str:
     Intermediate tables go there, so they survive the loss of an executor. Only
     a local master may do without the setting; it then gets a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if base is None:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         if context.applicationId not in _local_base:

@@ -17,9 +17,10 @@ def envelope(
     machine: Column | str = "localhost",
 ) -> DataFrame:
     """Add ``key``, ``value`` and ``headers``: producer and machine first, then the given ones."""
+    listed = header_array({"Producer": producer, "Machine": machine})
     return df.withColumns(
         {
-            "headers": header_array({"Producer": producer, "Machine": machine, **headers}),
+            "headers": F.concat(listed, header_array(headers)) if headers else listed,
             "key": F.lit(None).cast("binary") if key is None else key.cast("binary"),
             "value": value.cast("binary"),
         }

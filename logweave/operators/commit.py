@@ -124,32 +124,28 @@ def commit_ends(
     Columns ``committed_seq`` (the start's, or -1, when nothing can be committed), ``anchor`` (the
     number up to which gaps are given up), ``skipped`` and ``pending`` as counts of numbers.
     """
-    old = F.lit(None).cast("bigint")
+    old = F.when(F.lit(False), F.col("seq"))
     if cutoff is not None:
-        old = F.max(F.when(F.col("processed_at") <= _instant(cutoff), F.col("seq")))
+        old = F.when(F.col("processed_at") <= _instant(cutoff), F.col("seq"))
     facts = (
         marks.filter(F.col("seq") >= 0)
         .groupBy(*PARTITION_KEYS)
-        .agg(F.max("seq").alias("high"), (old if cutoff is not None else F.max(old)).alias("old"))
+        .agg(F.max("seq").alias("high"), F.max(old).alias("old"))
     )
     floor = F.lit(-1).cast("bigint")
     if start is not None:
         facts = facts.join(start.select(*PARTITION_KEYS, "committed_seq"), PARTITION_KEYS, "left")
         floor = F.coalesce("committed_seq", floor)
-    facts = small_side(
-        facts.select(*PARTITION_KEYS, "high", F.greatest(F.coalesce("old", floor), floor).alias("anchor"))
-    )
+    facts = facts.select(*PARTITION_KEYS, "high", F.greatest(F.coalesce("old", floor), floor).alias("anchor"))
+    found, beyond = gaps(marks, start), F.lit(True)
+    if cutoff is not None:
+        facts = small_side(facts)
+        found, beyond = found.join(facts, PARTITION_KEYS), F.col("gap_start") > F.col("anchor")
     length = F.col("gap_end") - F.col("gap_start") + 1
-    beyond = F.col("gap_start") > F.col("anchor")
-    found = (
-        gaps(marks, start)
-        .join(facts, PARTITION_KEYS)
-        .groupBy(*PARTITION_KEYS)
-        .agg(
-            F.min(F.when(beyond, F.col("gap_start"))).alias("first_gap"),
-            F.sum(F.when(~beyond, length)).alias("skipped"),
-            F.sum(F.when(beyond, length)).alias("open"),
-        )
+    found = found.groupBy(*PARTITION_KEYS).agg(
+        F.min(F.when(beyond, F.col("gap_start"))).alias("first_gap"),
+        F.sum(F.when(~beyond, length)).alias("skipped"),
+        F.sum(F.when(beyond, length)).alias("open"),
     )
     end = F.coalesce(F.col("first_gap") - 1, F.col("high"))
     return facts.join(found, PARTITION_KEYS, "left").select(

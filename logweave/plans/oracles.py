@@ -129,7 +129,7 @@ errors AS (
 opened AS (
   SELECT {by}, sum(CASE WHEN kind = 'produce' THEN 1 ELSE -1 END) AS inflight FROM attempts GROUP BY {by}),
 health AS (
-  SELECT opened.*, CAST(coalesce(recent_errors, 0) AS BIGINT) AS recent_errors, coalesce(mean, 0.0) AS avg_latency_ms,
+  SELECT opened.* REPLACE (CAST(inflight AS BIGINT) AS inflight), CAST(coalesce(recent_errors, 0) AS BIGINT) AS recent_errors, coalesce(mean, 0.0) AS avg_latency_ms,
          last_error_ms, coalesce(cool_ms + 5000, 0) AS unavailable_until_ms
   FROM opened LEFT JOIN errors USING ({by}) LEFT JOIN means USING ({by}))
 """

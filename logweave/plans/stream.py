@@ -148,6 +148,7 @@ def track_commits_gap_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def dedup_stream(spark: SparkSession, d: str) -> DataFrame:
     target, checkpoint = work_dir(spark, "deduped"), work_dir(spark, "checkpoint")
+    run.use_rocksdb(spark)
     _in_two_runs(
         spark, list(fx.redelivered(spark, d)), DELIVERY_SCHEMA,
         lambda s: pipes.continuous_view(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from logweave.operators.dedup import dedup_first, new_only, null_keys
-from logweave.session import small_side
+from logweave.session import SMALL_SIDE_ROWS, small_side
 from logweave.sinks.batches import commit_batch, read_batches, stage_batch
 from logweave.sinks.ledger import LEDGER_SCHEMA, ledger_rows
 from logweave.streaming.run import for_each_batch
@@ -64,9 +64,10 @@ def idempotent_consume(
         spark = batch.sparkSession
         first = dedup_first(batch, [key], order).withColumn("_id", F.col(key).cast("string"))
         ledger = read_batches(spark, root, LEDGER_SCHEMA, batch_id, "ledger").withColumnRenamed("message_id", "_id")
-        # the ledger outgrows any batch: narrow it to the batch's ids before comparing
-        seen = ledger.join(small_side(first.select("_id")), "_id", "left_semi")
-        result = process(new_only(first, seen, ["_id"]).drop("_id"))
+        if batch.limit(SMALL_SIDE_ROWS + 1).count() <= SMALL_SIDE_ROWS:
+            # with few ids the ledger is filtered where it is read, instead of shuffled
+            ledger = ledger.join(small_side(first.select("_id")), "_id", "left_semi")
+        result = process(new_only(first, ledger, ["_id"]).drop("_id"))
         if "_error" not in result.columns:
             result = result.withColumn("_error", F.lit(None).cast("string"))
         stage_batch(result, root, batch_id, "results")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -37,3 +37,15 @@ def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state on local disk with checkpoints, not in executor memory.
+
+    Call once per session, before starting a query whose state grows with the stream.
+    """
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 SMALL_SIDE_ROWS = 50_000
 
 _local_base: dict[str, str] = {}
+_written: ContextVar[list[str] | None] = ContextVar("_written", default=None)
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -34,10 +38,40 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a shared table and read it back, cutting its lineage."""
     spark = df.sparkSession
     path = work_dir(spark, name)
+    if _written.get() is not None:
+        _written.get().append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables ``materialize`` writes inside the block when it ends.
+
+    For work whose results are written before the block ends, such as one micro-batch.
+    """
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in paths:
+            file_system, hadoop_path = _resolve(spark, path)
+            file_system.delete(hadoop_path, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whichever file system it names."""
+    file_system, hadoop_path = _resolve(spark, path)
+    return file_system.exists(hadoop_path)
+
+
+def _resolve(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
     """Evaluate a table that is expected to be small, and check that it is.
 

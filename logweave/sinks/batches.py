@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from logweave.session import path_exists
+
 _COMMIT_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType())])
+_COMMITTED_AT = T.StructField("committed_at", T.TimestampType())
 
 
 def stage_batch(df: DataFrame, root: str, batch_id: int, part: str = "data") -> None:
@@ -29,26 +32,34 @@ def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     commit_batch(df.sparkSession, root, batch_id)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whichever file system it names."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def committed_batches(spark: SparkSession, root: str) -> DataFrame:
     """Ids of committed batches."""
     if not path_exists(spark, f"{root}/commits"):
         return spark.createDataFrame([], _COMMIT_SCHEMA)
-    schema = T.StructType([T.StructField("committed_at", T.TimestampType()), *_COMMIT_SCHEMA.fields])
+    schema = T.StructType([_COMMITTED_AT, *_COMMIT_SCHEMA.fields])
     return spark.read.schema(schema).parquet(f"{root}/commits").select("batch_id")
 
 
-def last_batch(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    """Newest committed batch id, or the newest below ``before``."""
-    commits = committed_batches(spark, root)
-    if before is not None:
-        commits = commits.filter(F.col("batch_id") < before)
-    return commits.agg(F.max("batch_id")).first()[0]
+def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    """Whether one batch is committed; looks at that batch only."""
+    path = f"{root}/commits/batch_id={batch_id}"
+    if not path_exists(spark, path):
+        return False
+    return not spark.read.schema(T.StructType([_COMMITTED_AT])).parquet(path).isEmpty()
+
+
+def last_batch(spark: SparkSession, root: str) -> int | None:
+    """Newest committed batch id."""
+    return committed_batches(spark, root).agg(F.max("batch_id")).first()[0]
+
+
+def batch_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
+    """The batch whose state a batch continues; ids of a checkpoint follow one another."""
+    if batch_id == 0:
+        return None
+    if not is_committed(spark, root, batch_id - 1):
+        raise RuntimeError(f"{root} lacks batch {batch_id - 1}: it belongs to another checkpoint")
+    return batch_id - 1
 
 
 def read_batches(

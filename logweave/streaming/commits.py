@@ -15,7 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 from logweave.operators.commit import clean_marks, commit_ends, commit_positions, end_offsets, gaps
 from logweave.schemas import MARK_SCHEMA, PARTITION_KEYS
 from logweave.session import small_side
-from logweave.sinks.batches import commit_batch, last_batch, read_batches, read_one_batch, stage_batch
+from logweave.sinks.batches import (
+    batch_before,
+    commit_batch,
+    last_batch,
+    read_batches,
+    read_one_batch,
+    stage_batch,
+)
 from logweave.streaming.run import every, for_each_batch
 
 # Marks that may wait behind a gap, and how often gaps and commits are looked at.
@@ -48,7 +55,7 @@ def commit_batches(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = read_one_batch(spark, root, POSITION_SCHEMA, last_batch(spark, root, batch_id), "positions")
+        known = read_one_batch(spark, root, POSITION_SCHEMA, batch_before(spark, root, batch_id), "positions")
         merged = (
             known.unionByName(commit_positions(batch, "max"))
             .groupBy(*PARTITION_KEYS)
@@ -57,7 +64,7 @@ def commit_batches(
         stage_batch(merged.coalesce(1), root, batch_id, "positions")
         commit_batch(spark, root, batch_id)
 
-    return for_each_batch(stream, step, checkpoint, trigger or every(COMMIT_S))
+    return for_each_batch(stream, step, root, checkpoint, trigger or every(COMMIT_S))
 
 
 def read_positions(spark: SparkSession, root: str) -> DataFrame:
@@ -85,7 +92,7 @@ def track_commits(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        previous = last_batch(spark, root, batch_id)
+        previous = batch_before(spark, root, batch_id)
         committed = read_one_batch(spark, root, COMMITTED_SCHEMA, previous, "committed")
         waiting = read_one_batch(spark, root, MARK_SCHEMA, previous, "pending")
         arrived = batch.select(*MARK_SCHEMA.fieldNames())
@@ -122,7 +129,7 @@ def track_commits(
         finally:
             marks.unpersist()
 
-    return for_each_batch(stream, step, checkpoint, trigger or every(GAP_CHECK_S))
+    return for_each_batch(stream, step, root, checkpoint, trigger or every(GAP_CHECK_S))
 
 
 def _beyond(marks: DataFrame, ends: DataFrame) -> DataFrame:

@@ -49,6 +49,7 @@ def idempotent_consume(
     root: str,
     checkpoint: str,
     mark_failed: bool = False,
+    earlier: DataFrame | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Process every message key once, with a durable ledger.
@@ -58,12 +59,18 @@ def idempotent_consume(
     batch id and become visible together, so a batch that is run again replaces its own output and
     repeats nothing. Failed rows are kept with their error and stay out of the ledger unless
     ``mark_failed``; so do rows without a key. See ``read_results`` and ``read_failures``.
+
+    ``earlier`` holds ids (``message_id``) that were processed elsewhere or before, for instance the
+    ledger of a former root after it was compacted.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = dedup_first(batch, [key], order).withColumn("_id", F.col(key).cast("string"))
-        ledger = read_batches(spark, root, LEDGER_SCHEMA, batch_id, "ledger").withColumnRenamed("message_id", "_id")
+        ledger = read_batches(spark, root, LEDGER_SCHEMA, batch_id, "ledger").select("message_id")
+        if earlier is not None:
+            ledger = ledger.unionByName(earlier.select("message_id"))
+        ledger = ledger.withColumnRenamed("message_id", "_id")
         if batch.limit(SMALL_SIDE_ROWS + 1).count() <= SMALL_SIDE_ROWS:
             # with few ids the ledger is filtered where it is read, instead of shuffled
             ledger = ledger.join(small_side(first.select("_id")), "_id", "left_semi")
@@ -77,7 +84,7 @@ def idempotent_consume(
         stage_batch(ledger_rows(done, key), root, batch_id, "ledger")
         commit_batch(spark, root, batch_id)
 
-    return for_each_batch(stream, step, checkpoint, trigger)
+    return for_each_batch(stream, step, root, checkpoint, trigger)
 
 
 def read_results(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

@@ -13,7 +13,15 @@ from logweave.operators.health import (
 )
 from logweave.operators.latest import latest_by_key
 from logweave.operators.metrics import delivery_metrics
-from logweave.sinks.batches import commit_batch, last_batch, read_batches, read_one_batch, stage_batch, write_batch
+from logweave.sinks.batches import (
+    batch_before,
+    commit_batch,
+    last_batch,
+    read_batches,
+    read_one_batch,
+    stage_batch,
+    write_batch,
+)
 from logweave.streaming.run import for_each_batch
 
 SUMMARY_SCHEMA = T.StructType(
@@ -50,12 +58,12 @@ def health_stream(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = read_one_batch(spark, root, SUMMARY_SCHEMA, last_batch(spark, root, batch_id))
+        before = read_one_batch(spark, root, SUMMARY_SCHEMA, batch_before(spark, root, batch_id))
         merged = merge_summaries(before, health_summary(batch), ["partition"])
         stage_batch(merged.coalesce(1), root, batch_id)
         commit_batch(spark, root, batch_id)
 
-    return for_each_batch(attempts, step, checkpoint, trigger)
+    return for_each_batch(attempts, step, root, checkpoint, trigger)
 
 
 def read_health(
@@ -77,7 +85,7 @@ def metrics_stream(
     """Keep delivery metrics current: each micro-batch writes the windows it changed."""
     metrics = delivery_metrics(attempts, every, watermark)
     return for_each_batch(
-        metrics, lambda batch, batch_id: write_batch(batch, root, batch_id), checkpoint, trigger, "update"
+        metrics, lambda batch, batch_id: write_batch(batch, root, batch_id), root, checkpoint, trigger, "update"
     )
 
 

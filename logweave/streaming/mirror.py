@@ -44,7 +44,7 @@ def cdc_mirror(
         stage_batch(changes.filter(F.col("_error").isNotNull()), root, batch_id, "rejected")
         upsert(changes.filter(F.col("_error").isNull()).select(*columns), batch_id)
 
-    return for_each_batch(log, step, checkpoint, trigger)
+    return for_each_batch(log, step, root, checkpoint, trigger)
 
 
 def read_mirror(

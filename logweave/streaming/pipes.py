@@ -36,7 +36,7 @@ def transactional_pipe(
         stage_batch(commit_positions(batch, "max").coalesce(1), root, batch_id, "positions")
         commit_batch(batch.sparkSession, root, batch_id)
 
-    return for_each_batch(stream, step, checkpoint, trigger)
+    return for_each_batch(stream, step, root, checkpoint, trigger)
 
 
 def consumed_positions(spark: SparkSession, root: str) -> DataFrame:
@@ -58,7 +58,7 @@ def micro_batch_sink(
     def step(batch: DataFrame, batch_id: int) -> None:
         write_batch(chunk(batch, order, size), root, batch_id)
 
-    return for_each_batch(stream, step, checkpoint, trigger or every(CHUNK_EVERY_S))
+    return for_each_batch(stream, step, root, checkpoint, trigger or every(CHUNK_EVERY_S))
 
 
 def continuous_view(
@@ -97,7 +97,7 @@ def retry_sink(
     def step(batch: DataFrame, batch_id: int) -> None:
         write_batch(retried(batch), root, batch_id)
 
-    return for_each_batch(stream, step, checkpoint, trigger)
+    return for_each_batch(stream, step, root, checkpoint, trigger)
 
 
 def read_pipe(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

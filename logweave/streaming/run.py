@@ -7,20 +7,35 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from logweave.session import temporary_tables
+from logweave.sinks.batches import is_committed
+
 AVAILABLE_NOW = {"availableNow": True}
 
 
 def for_each_batch(
     stream: DataFrame,
     step: Callable[[DataFrame, int], None],
+    root: str,
     checkpoint: str,
     trigger: dict | None = None,
     mode: str = "append",
 ) -> StreamingQuery:
-    """Run ``step(batch, batch_id)`` on every micro-batch; the checkpoint says where to resume."""
+    """Run ``step(batch, batch_id)`` on every micro-batch; the checkpoint says where to resume.
+
+    The step commits its batch below ``root``. A batch that was committed there before the
+    checkpoint heard of it comes again after a restart and is passed over.
+    """
+
+    def once(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if not is_committed(spark, root, batch_id):
+            with temporary_tables(spark):
+                step(batch, batch_id)
+
     return (
         stream.writeStream.outputMode(mode)
-        .foreachBatch(step)
+        .foreachBatch(once)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or AVAILABLE_NOW))
         .start()

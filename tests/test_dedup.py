@@ -130,3 +130,11 @@ def test_batch_that_died_after_its_commit_is_not_repeated(spark, monkeypatch):
             finish(consume(spark, feed(spark, source, [("a", 1, "x"), ("b", 2, "x")]), root, checkpoint))
     finish(consume(spark, feed(spark, source, [("a", 3, "y")]), root, checkpoint))
     assert rows(dedup.read_results(spark, root, schema)) == [("a", 1, "x"), ("b", 2, "x")]
+
+
+def test_ids_of_an_earlier_ledger_count(spark):
+    source, root, checkpoint = (work_dir(spark, n) for n in ("in", "root", "cp"))
+    schema = deliveries(spark, []).schema
+    earlier = spark.createDataFrame([("a",)], "message_id string")
+    finish(consume(spark, feed(spark, source, [("a", 1, "x"), ("b", 2, "x")]), root, checkpoint, earlier=earlier))
+    assert rows(dedup.read_results(spark, root, schema)) == [("b", 2, "x")]

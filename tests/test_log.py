@@ -154,6 +154,25 @@ def test_chunks_of_a_stream(spark):
     assert rows(out.groupBy("chunk").count()) == [(0, 10), (1, 1)]
 
 
+def test_a_batch_leaves_no_intermediate_tables(spark, monkeypatch):
+    from logweave import session
+
+    made = []
+    real = session.work_dir
+    monkeypatch.setattr(session, "work_dir", lambda s, name: made.append(real(s, name)) or made[-1])
+    test_chunks_of_a_stream(spark)
+    assert made and not any(session.path_exists(spark, path) for path in made)
+
+
+def test_state_of_another_checkpoint_is_refused(spark):
+    source, root = work_dir(spark, "log"), work_dir(spark, "root")
+    sinks.write_log(log_of(spark, [(0, 0, "k", "v")]), source)
+    sinks.write_batch(log_of(spark, []).select("partition"), root, 4)
+    with pytest.raises(RuntimeError, match="another checkpoint"):
+        sinks.batches.batch_before(spark, root, 4)
+    assert sinks.batches.batch_before(spark, root, 5) == 4
+
+
 def test_transaction_that_died_is_not_seen_and_is_replayed(spark, monkeypatch):
     source, root, checkpoint = (work_dir(spark, n) for n in ("log", "pipe", "cp"))
     schema = spark.createDataFrame([], "v string").schema

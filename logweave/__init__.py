@@ -1,0 +1 @@
+"""Partitioned event logs as Spark DataFrames, in batch and in Structured Streaming."""

@@ -118,13 +118,14 @@ def track_commits(
             keep, overflow = _bounded(_beyond(marks, ends), ends, pending_limit)
             stage_batch(keep, root, batch_id, "pending")
             stage_batch(overflow, root, batch_id, "overflow")
-            given_up = (
-                gaps(marks, committed)
-                .join(ends.select(*PARTITION_KEYS, "anchor"), PARTITION_KEYS)
-                .filter(F.col("gap_start") <= F.col("anchor"))
-                .select(*GAP_SCHEMA.fieldNames())
-            )
-            stage_batch(given_up, root, batch_id, "skipped")
+            if cutoff is not None:
+                given_up = (
+                    gaps(marks, committed)
+                    .join(ends.select(*PARTITION_KEYS, "anchor"), PARTITION_KEYS)
+                    .filter(F.col("gap_start") <= F.col("anchor"))
+                    .select(*GAP_SCHEMA.fieldNames())
+                )
+                stage_batch(given_up, root, batch_id, "skipped")
             commit_batch(spark, root, batch_id)
         finally:
             marks.unpersist()

@@ -57,8 +57,13 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _written.reset(token)
         for path in paths:
-            file_system, hadoop_path = _resolve(spark, path)
-            file_system.delete(hadoop_path, True)
+            drop_table(spark, path)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete the files of a table; nothing happens if there are none."""
+    file_system, hadoop_path = _resolve(spark, path)
+    file_system.delete(hadoop_path, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

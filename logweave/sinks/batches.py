@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from logweave.session import path_exists
+from logweave.session import drop_table, path_exists
+
+# States of a stream that stay readable after newer ones were written.
+KEPT_STATES = 10
 
 _COMMIT_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType())])
 _COMMITTED_AT = T.StructField("committed_at", T.TimestampType())
@@ -32,6 +35,13 @@ def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     commit_batch(df.sparkSession, root, batch_id)
 
 
+def commit_state(spark: SparkSession, root: str, batch_id: int, parts: list[str]) -> None:
+    """Commit a batch whose ``parts`` hold the full state, and drop states no reader is on any more."""
+    commit_batch(spark, root, batch_id)
+    for part in parts:
+        drop_table(spark, f"{root}/{part}/batch_id={batch_id - KEPT_STATES}")
+
+
 def committed_batches(spark: SparkSession, root: str) -> DataFrame:
     """Ids of committed batches."""
     if not path_exists(spark, f"{root}/commits"):

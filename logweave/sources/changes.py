@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def jdbc_snapshot(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    key: str,
-    bounds: tuple[int, int],
-    readers: int,
-    **options: str,
-) -> DataFrame:
-    """The table's rows now, read over ``readers`` connections split on a numeric key."""
-    return (
-        spark.read.format("jdbc")
-        .options(url=url, dbtable=table, partitionColumn=key, lowerBound=str(bounds[0]),
-                 upperBound=str(bounds[1]), numPartitions=str(readers), **options)
-        .load()
-    )
+def snapshot_options(
+    url: str, table: str, key: str, bounds: tuple[int, int], readers: int, **options: str
+) -> dict[str, str]:
+    """Connector options that read a table over ``readers`` connections, split on a numeric key."""
+    return {
+        "url": url,
+        "dbtable": table,
+        "partitionColumn": key,
+        "lowerBound": str(bounds[0]),
+        "upperBound": str(bounds[1]),
+        "numPartitions": str(readers),
+        **options,
+    }
+
+
+def jdbc_snapshot(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """The rows of a database table now; see ``snapshot_options``."""
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def cdc_source(snapshot: DataFrame, changes: DataFrame, order: str = "offset") -> DataFrame:

@@ -57,7 +57,8 @@ def read_log(
     """
     if isinstance(source, dict):
         reader = spark.readStream if streaming else spark.read
-        return reader.format("kafka").option("includeHeaders", "true").options(**source).load()
+        log = reader.format("kafka").option("includeHeaders", "true").options(**source).load()
+        return log.select(*LOG_SCHEMA.fieldNames())
     if streaming:
         reader = spark.readStream.schema(schema)
         if max_files is not None:

@@ -17,7 +17,7 @@ from logweave.schemas import MARK_SCHEMA, PARTITION_KEYS
 from logweave.session import small_side
 from logweave.sinks.batches import (
     batch_before,
-    commit_batch,
+    commit_state,
     last_batch,
     read_batches,
     read_one_batch,
@@ -62,7 +62,7 @@ def commit_batches(
             .agg(F.max("position").alias("position"))
         )
         stage_batch(merged.coalesce(1), root, batch_id, "positions")
-        commit_batch(spark, root, batch_id)
+        commit_state(spark, root, batch_id, ["positions"])
 
     return for_each_batch(stream, step, root, checkpoint, trigger or every(COMMIT_S))
 
@@ -126,13 +126,26 @@ def track_commits(
                     .select(*GAP_SCHEMA.fieldNames())
                 )
                 stage_batch(given_up, root, batch_id, "skipped")
-            commit_batch(spark, root, batch_id)
+            commit_state(spark, root, batch_id, ["committed", "pending", "clock"])
         finally:
             marks.unpersist()
 
     return for_each_batch(stream, step, root, checkpoint, trigger or every(GAP_CHECK_S))
 
 
+def with_ticks(marks: DataFrame) -> DataFrame:
+    """A stream of marks in which micro-batches go on while no marks arrive.
+
+    Needed with ``wall_clock``: without new input there is no micro-batch, and a gap at the end of
+    the stream would not be looked at again.
+    """
+    ticks = marks.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in MARK_SCHEMA.fields]
+    return marks.select(*MARK_SCHEMA.fieldNames()).unionByName(
+        ticks.filter(F.col("value") < 0).select(*nothing)
+    )
+
+
 def _beyond(marks: DataFrame, ends: DataFrame) -> DataFrame:
     waiting = marks.join(ends.select(*PARTITION_KEYS, "committed_seq"), PARTITION_KEYS)
     return waiting.filter(F.col("seq") > F.col("committed_seq")).select(*MARK_SCHEMA.fieldNames())

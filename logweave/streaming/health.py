@@ -15,7 +15,7 @@ from logweave.operators.latest import latest_by_key
 from logweave.operators.metrics import delivery_metrics
 from logweave.sinks.batches import (
     batch_before,
-    commit_batch,
+    commit_state,
     last_batch,
     read_batches,
     read_one_batch,
@@ -61,7 +61,7 @@ def health_stream(
         before = read_one_batch(spark, root, SUMMARY_SCHEMA, batch_before(spark, root, batch_id))
         merged = merge_summaries(before, health_summary(batch), ["partition"])
         stage_batch(merged.coalesce(1), root, batch_id)
-        commit_batch(spark, root, batch_id)
+        commit_state(spark, root, batch_id, ["data"])
 
     return for_each_batch(attempts, step, root, checkpoint, trigger)
 

@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -8,9 +9,10 @@ from logweave import operators as op
 from logweave.operators import commit
 from logweave.plans import fixtures as fx
 from logweave.schemas import MARK_SCHEMA
-from logweave.session import work_dir
+from logweave.session import path_exists, work_dir
+from logweave.sinks import batches
 from logweave.streaming import commits
-from logweave.streaming.run import AVAILABLE_NOW, finish
+from logweave.streaming.run import AVAILABLE_NOW, every, finish
 
 from conftest import rows
 from models import Tracker
@@ -147,10 +149,10 @@ def test_oldest_pending(spark):
     assert rows(op.oldest_pending(marks).select("partition", "seq")) == [(0, 3)]
 
 
-def run_tracker(spark, batches, **options):
-    """Feed batches one by one; yields the root after each."""
+def run_tracker(spark, parts, **options):
+    """Feed parts one by one; yields the root after each."""
     source, root, checkpoint = (work_dir(spark, n) for n in ("in", "root", "cp"))
-    for data in batches:
+    for data in parts:
         marks_of(spark, data).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(MARK_SCHEMA).parquet(source)
         finish(commits.track_commits(stream, root, checkpoint, trigger=AVAILABLE_NOW, **options))
@@ -161,9 +163,9 @@ def test_tracker_follows_the_model_batch_by_batch(spark, monkeypatch):
     monkeypatch.setattr(commit, "SEQ_BITS", 3)
     data = random_marks(random.Random(3), partitions=2, numbers=60)
     cut = len(data) // 3
-    batches = [data[:cut], data[cut:2 * cut], data[2 * cut:]]
+    parts = [data[:cut], data[cut:2 * cut], data[2 * cut:]]
     trackers = {}
-    for batch, root in zip(batches, run_tracker(spark, batches)):
+    for batch, root in zip(parts, run_tracker(spark, parts)):
         for p, seq, offset, at in batch:
             trackers.setdefault(p, Tracker()).mark(seq, offset, at)
         found = commits.read_committed_positions(spark, root).select("partition", "committed_seq", "position")
@@ -174,13 +176,69 @@ def test_tracker_follows_the_model_batch_by_batch(spark, monkeypatch):
         assert rows(waiting) == sorted(((p, s) for p, t in trackers.items() for s in t.pending), key=repr)
 
 
+@pytest.mark.parametrize("timeout", [15, 40])
+def test_tracker_with_a_tick_per_batch(spark, monkeypatch, timeout):
+    """Gaps are judged after every batch, at the newest time seen; marks that come later are dropped."""
+    monkeypatch.setattr(commit, "SEQ_BITS", 3)
+    data = random_marks(random.Random(11), partitions=2, numbers=80)
+    cut = len(data) // 4
+    parts = [data[i * cut:(i + 1) * cut] for i in range(3)] + [data[3 * cut:]]
+    trackers, skipped = {}, []
+    roots = run_tracker(spark, parts, gap_timeout=timedelta(seconds=timeout))
+    now = 0
+    for batch, root in zip(parts, roots):
+        for p, seq, offset, at in batch:
+            trackers.setdefault(p, Tracker()).mark(seq, offset, at)
+            now = max(now, at)
+        for t in trackers.values():
+            t.tick(now, timeout)
+        found = commits.read_committed_positions(spark, root).select("partition", "committed_seq", "position")
+        assert rows(found) == [
+            (p, t.seq, t.offset + 1 if t.seq >= 0 else None) for p, t in sorted(trackers.items())
+        ]
+        skipped = sorted(((p, a, b) for p, t in trackers.items() for a, b in t.skipped), key=repr)
+        assert rows(commits.read_skipped(spark, root).select("partition", "gap_start", "gap_end")) == skipped
+    assert skipped
+
+
 def test_tracker_gives_up_gaps_and_drops_late_marks(spark):
-    batches = [[(0, 0, 10, 0), (0, 3, 13, 5)], [(0, 4, 14, 40)], [(0, 1, 11, 41), (0, 5, 15, 42)]]
-    roots = list(run_tracker(spark, batches, gap_timeout=timedelta(seconds=30)))
+    parts = [[(0, 0, 10, 0), (0, 3, 13, 5)], [(0, 4, 14, 40)], [(0, 1, 11, 41), (0, 5, 15, 42)]]
+    roots = list(run_tracker(spark, parts, gap_timeout=timedelta(seconds=30)))
     assert rows(commits.read_skipped(spark, roots[-1]).select("gap_start", "gap_end")) == [(1, 2)]
     assert rows(commits.read_committed_positions(spark, roots[-1]).select("committed_seq", "position")) == [(5, 16)]
 
 
+def test_tracker_by_the_clock_needs_no_new_marks(spark):
+    source, root, checkpoint = (work_dir(spark, n) for n in ("in", "root", "cp"))
+    now = datetime.now(timezone.utc)
+    marks = [("t", 0, 0, 10, now), ("t", 0, 2, 12, now)]
+    spark.createDataFrame(marks, MARK_SCHEMA).coalesce(1).write.parquet(source)
+    stream = commits.with_ticks(spark.readStream.schema(MARK_SCHEMA).parquet(source))
+    query = commits.track_commits(
+        stream, root, checkpoint, timedelta(seconds=8), trigger=every(1), wall_clock=True
+    )
+    try:
+        end = time.monotonic() + 90
+        skipped = []
+        while not skipped and time.monotonic() < end and query.isActive:
+            time.sleep(1)
+            skipped = rows(commits.read_skipped(spark, root).select("gap_start", "gap_end"))
+    finally:
+        query.stop()
+    assert query.exception() is None
+    assert skipped == [(1, 1)]
+    assert rows(commits.read_committed_positions(spark, root).select("committed_seq", "position")) == [(2, 13)]
+
+
+def test_old_states_are_dropped_and_reports_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(batches, "KEPT_STATES", 2)
+    data = [[(0, 0, 10, 0), (0, 2, 12, 0)], [(0, 3, 13, 50)], [(0, 5, 15, 51)], [(0, 6, 16, 99)]]
+    root = list(run_tracker(spark, data, gap_timeout=timedelta(seconds=30)))[-1]
+    assert [path_exists(spark, f"{root}/pending/batch_id={n}") for n in range(4)] == [False, False, True, True]
+    assert rows(commits.read_skipped(spark, root).select("gap_start", "gap_end")) == [(1, 1), (4, 4)]
+    assert rows(commits.read_committed_positions(spark, root).select("position")) == [(17,)]
+
+
 def test_tracker_overflow_keeps_the_limit_plus_one(spark):
     waiting = [(0, s, 100 + s, s) for s in range(1, 9)]
     roots = list(run_tracker(spark, [waiting], pending_limit=4))

@@ -45,6 +45,13 @@ def test_delivery_profiles():
     assert sinks.sink_options("leader", "h:1")["kafka.acks"] == "1"
 
 
+def test_snapshot_options():
+    options = sources.snapshot_options("jdbc:x", "inventory.customers", "id", (1, 900), 8, fetchsize="1000")
+    assert options["dbtable"] == "inventory.customers" and options["partitionColumn"] == "id"
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("1", "900", "8")
+    assert options["fetchsize"] == "1000"
+
+
 def test_selected_partitions_prune_directories(spark):
     path = work_dir(spark, "log")
     sinks.write_log(log_of(spark, [(p, o, "k", "v") for p in range(3) for o in range(4)]), path)

@@ -113,7 +113,10 @@ def _between(before: Column, after: Column) -> Column:
 
 
 def commit_ends(
-    marks: DataFrame, start: DataFrame | None = None, cutoff: Column | datetime | None = None
+    marks: DataFrame,
+    start: DataFrame | None = None,
+    cutoff: Column | datetime | None = None,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """Last sequence number that may be committed per topic-partition.
 
@@ -123,6 +126,7 @@ def commit_ends(
 
     Columns ``committed_seq`` (the start's, or -1, when nothing can be committed), ``anchor`` (the
     number up to which gaps are given up), ``skipped`` and ``pending`` as counts of numbers.
+    ``found`` are the gaps, where the caller has them already.
     """
     old = F.when(F.lit(False), F.col("seq"))
     if cutoff is not None:
@@ -137,18 +141,18 @@ def commit_ends(
         facts = facts.join(start.select(*PARTITION_KEYS, "committed_seq"), PARTITION_KEYS, "left")
         floor = F.coalesce("committed_seq", floor)
     facts = facts.select(*PARTITION_KEYS, "high", F.greatest(F.coalesce("old", floor), floor).alias("anchor"))
-    found, beyond = gaps(marks, start), F.lit(True)
+    found, beyond = gaps(marks, start) if found is None else found, F.lit(True)
     if cutoff is not None:
         facts = small_side(facts)
         found, beyond = found.join(facts, PARTITION_KEYS), F.col("gap_start") > F.col("anchor")
     length = F.col("gap_end") - F.col("gap_start") + 1
-    found = found.groupBy(*PARTITION_KEYS).agg(
+    counts = found.groupBy(*PARTITION_KEYS).agg(
         F.min(F.when(beyond, F.col("gap_start"))).alias("first_gap"),
         F.sum(F.when(~beyond, length)).alias("skipped"),
         F.sum(F.when(beyond, length)).alias("open"),
     )
     end = F.coalesce(F.col("first_gap") - 1, F.col("high"))
-    return facts.join(found, PARTITION_KEYS, "left").select(
+    return facts.join(counts, PARTITION_KEYS, "left").select(
         *PARTITION_KEYS,
         end.alias("committed_seq"),
         F.col("anchor").alias("anchor"),

@@ -93,10 +93,11 @@ def track_commits(
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         previous = batch_before(spark, root, batch_id)
-        committed = read_one_batch(spark, root, COMMITTED_SCHEMA, previous, "committed")
+        committed = small_side(read_one_batch(spark, root, COMMITTED_SCHEMA, previous, "committed"))
         waiting = read_one_batch(spark, root, MARK_SCHEMA, previous, "pending")
         arrived = batch.select(*MARK_SCHEMA.fieldNames())
         marks = clean_marks(arrived.unionByName(waiting), committed).persist()
+        found = gaps(marks, committed).persist()
         try:
             cutoff = None
             if gap_timeout is not None:
@@ -104,10 +105,12 @@ def track_commits(
                 seen = F.current_timestamp() if wall_clock else F.max("as_of")
                 times = clock.unionByName(arrived.select(F.col("processed_at").alias("as_of")))
                 stage_batch(times.agg(seen.alias("as_of")), root, batch_id, "clock")
-                as_of = read_one_batch(spark, root, _CLOCK_SCHEMA, batch_id, "clock").first()["as_of"]
+                now = read_one_batch(spark, root, _CLOCK_SCHEMA, batch_id, "clock")
+                now_us = now.select(F.unix_micros("as_of")).first()[0]
                 # an empty first batch has no time to judge by
-                cutoff = None if as_of is None else as_of - gap_timeout
-            ends = small_side(commit_ends(marks, committed, cutoff))
+                if now_us is not None:
+                    cutoff = F.timestamp_micros(F.lit(now_us - gap_timeout // timedelta(microseconds=1)))
+            ends = small_side(commit_ends(marks, committed, cutoff, found))
             moved = ends.join(end_offsets(marks, ends), PARTITION_KEYS, "left")
             after = committed.alias("c").join(moved.alias("m"), PARTITION_KEYS, "full").select(
                 *PARTITION_KEYS,
@@ -120,14 +123,14 @@ def track_commits(
             stage_batch(overflow, root, batch_id, "overflow")
             if cutoff is not None:
                 given_up = (
-                    gaps(marks, committed)
-                    .join(ends.select(*PARTITION_KEYS, "anchor"), PARTITION_KEYS)
+                    found.join(ends.select(*PARTITION_KEYS, "anchor"), PARTITION_KEYS)
                     .filter(F.col("gap_start") <= F.col("anchor"))
                     .select(*GAP_SCHEMA.fieldNames())
                 )
                 stage_batch(given_up, root, batch_id, "skipped")
             commit_state(spark, root, batch_id, ["committed", "pending", "clock"])
         finally:
+            found.unpersist()
             marks.unpersist()
 
     return for_each_batch(stream, step, root, checkpoint, trigger or every(GAP_CHECK_S))

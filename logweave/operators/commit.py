@@ -128,19 +128,17 @@ def commit_ends(
     number up to which gaps are given up), ``skipped`` and ``pending`` as counts of numbers.
     ``found`` are the gaps, where the caller has them already.
     """
-    old = F.when(F.lit(False), F.col("seq"))
+    facts = [F.max("seq").alias("high")]
     if cutoff is not None:
-        old = F.when(F.col("processed_at") <= _instant(cutoff), F.col("seq"))
-    facts = (
-        marks.filter(F.col("seq") >= 0)
-        .groupBy(*PARTITION_KEYS)
-        .agg(F.max("seq").alias("high"), F.max(old).alias("old"))
-    )
+        old = F.col("processed_at") <= _instant(cutoff)
+        facts.append(F.max(F.when(old, F.col("seq"))).alias("highest_old"))
+    facts = marks.filter(F.col("seq") >= 0).groupBy(*PARTITION_KEYS).agg(*facts)
     floor = F.lit(-1).cast("bigint")
     if start is not None:
         facts = facts.join(start.select(*PARTITION_KEYS, "committed_seq"), PARTITION_KEYS, "left")
         floor = F.coalesce("committed_seq", floor)
-    facts = facts.select(*PARTITION_KEYS, "high", F.greatest(F.coalesce("old", floor), floor).alias("anchor"))
+    anchor = floor if cutoff is None else F.greatest(F.col("highest_old"), floor)
+    facts = facts.select(*PARTITION_KEYS, "high", anchor.alias("anchor"))
     found, beyond = gaps(marks, start) if found is None else found, F.lit(True)
     if cutoff is not None:
         facts = small_side(facts)
@@ -155,7 +153,7 @@ def commit_ends(
     return facts.join(counts, PARTITION_KEYS, "left").select(
         *PARTITION_KEYS,
         end.alias("committed_seq"),
-        F.col("anchor").alias("anchor"),
+        "anchor",
         F.coalesce("skipped", F.lit(0)).alias("skipped"),
         (F.col("high") - end - F.coalesce("open", F.lit(0))).alias("pending"),
     )
@@ -178,6 +176,8 @@ def commit_positions(
     """
     if mode == "max":
         return marks.groupBy(*PARTITION_KEYS).agg((F.max("offset") + 1).alias("position"))
+    if mode not in ("contiguous", "gap_timeout"):
+        raise ValueError(f"unknown mode {mode}")
     cutoff = None
     if mode == "gap_timeout":
         marks = marks.filter(F.col("processed_at") <= _instant(as_of))

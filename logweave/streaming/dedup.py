@@ -21,7 +21,10 @@ def dedup_stream(
     event_time: str = "timestamp",
     slices: int | None = 16,
 ) -> DataFrame:
-    """First message of every key; remembers keys for ever, or for ``horizon`` of event time.
+    """One message of every key; remembers keys for ever, or for ``horizon`` of event time.
+
+    A message of an earlier micro-batch comes first; within one micro-batch any copy may be the one
+    kept. Use ``idempotent_consume`` where the order inside a batch matters as well.
 
     Copies of one key are first removed within ``slices`` slices of the input tasks and then over
     all, so that a key holding much of the stream does not travel to a single task. The first step

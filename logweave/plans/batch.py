@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from logweave import functions as fn, operators as op, sinks, sources
 from logweave.functions.headers import header_array
 from logweave.plans import fixtures as fx
-from logweave.schemas import EVENT_SCHEMA, LOG_SCHEMA, PARTITION_KEYS
+from logweave.schemas import EVENT_SCHEMA, PARTITION_KEYS
 from logweave.session import work_dir
 
 GAP_TIMEOUT = timedelta(seconds=3600)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from logweave import functions as fn, operators as op, sinks, sources
+from logweave import operators as op, sinks, sources
 from logweave.plans import batch, fixtures as fx
 from logweave.plans.oracles import ORACLES
 from logweave.schemas import ATTEMPT_SCHEMA, LOG_SCHEMA, MARK_SCHEMA, PARTITION_KEYS
@@ -148,13 +148,13 @@ def track_commits_gap_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def dedup_stream(spark: SparkSession, d: str) -> DataFrame:
     target, checkpoint = work_dir(spark, "deduped"), work_dir(spark, "checkpoint")
-    run.use_rocksdb(spark)
-    _in_two_runs(
-        spark, list(fx.redelivered(spark, d)), DELIVERY_SCHEMA,
-        lambda s: pipes.continuous_view(
-            "dedup", s, lambda rows: dedup.dedup_stream(rows, ["k"]), target, checkpoint
-        ),
-    )
+    with run.rocksdb_state(spark):
+        _in_two_runs(
+            spark, list(fx.redelivered(spark, d)), DELIVERY_SCHEMA,
+            lambda s: pipes.continuous_view(
+                "dedup", s, lambda rows: dedup.dedup_stream(rows, ["k"]), target, checkpoint
+            ),
+        )
     return spark.read.schema(DELIVERY_SCHEMA).parquet(target)
 
 

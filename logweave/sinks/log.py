@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from logweave.schemas import LOG_SCHEMA, PARTITION_KEYS
@@ -53,10 +53,16 @@ def write_log(
         df = df.withColumn("partition", partitioner)
     if isinstance(sink, dict):
         names = [c for c in ("key", "value", "topic", "partition", "headers") if c in df.columns]
-        out, options = df.select(*names), {**sink_options(profile, sink["kafka.bootstrap.servers"]), **sink}
+        out = df.select(*names)
+        options = {**sink_options(profile, sink["kafka.bootstrap.servers"]), **sink}
         if df.isStreaming:
-            writer = out.writeStream.format("kafka").options(**options)
-            return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+            return (
+                out.writeStream.format("kafka")
+                .options(**options)
+                .option("checkpointLocation", checkpoint)
+                .trigger(**(trigger or {"availableNow": True}))
+                .start()
+            )
         out.write.format("kafka").options(**options).save()
         return None
     out = df.select(*LOG_SCHEMA.fieldNames())

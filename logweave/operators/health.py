@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from logweave.functions.errors import needs_cooldown
 from logweave.functions.score import partition_score
-from logweave.operators.scan import block_of
+from logweave.operators.scan import BLOCK_BITS, block_of
 
 # Weight of the newest latency, cooldown length.
 ALPHA = 0.2
@@ -22,9 +22,13 @@ SUMMARY = ["deliveries", "latency", "step_total", "step_low", "inflight", "last_
 
 
 def health_summary(
-    attempts: DataFrame, by: list[str] | None = None, alpha: float = ALPHA, leak: bool = False
+    attempts: DataFrame,
+    by: list[str] | None = None,
+    alpha: float = ALPHA,
+    leak: bool = False,
+    bits: int = BLOCK_BITS,
 ) -> DataFrame:
-    """Mergeable summary per group.
+    """Mergeable summary per group. Attempt numbers count up; a block spans ``2 ** bits`` of them.
 
     ``deliveries`` and ``latency``: count, and moving average as if it had started at 0.
     ``step_total`` and ``step_low``: sum of +1 per error and -1 per delivery, and its lowest running
@@ -40,7 +44,7 @@ def health_summary(
     one = F.when(delivered, 1).otherwise(0)
     rows = attempts.select(
         *by, "kind", "attempt_no", "latency_ms", "error_code", "at_ms",
-        block_of("attempt_no").alias("_block"),
+        block_of("attempt_no", bits).alias("_block"),
         F.when(failed, 1).when(delivered, -1).otherwise(0).alias("_step"),
     ).withColumns(
         {
@@ -132,10 +136,13 @@ def partition_health(
     return health_from_summary(health_summary(attempts, by, leak=leak), by, as_of_ms, cooldown_ms)
 
 
-def ewma(df: DataFrame, by: list[str], order: str, value: str, alpha: float = ALPHA) -> DataFrame:
+def ewma(
+    df: DataFrame, by: list[str], order: str, value: str, alpha: float = ALPHA, bits: int = BLOCK_BITS
+) -> DataFrame:
     """Final ``avg = avg * (1 - alpha) + value * alpha`` in ``order`` from 0, per group, as ``ewma``.
 
-    ``order`` is a number, unique within a group. No value is left out.
+    ``order`` is a whole number, unique within a group; where it is not dense, ``scan.block_bits``
+    says how wide blocks should be. No value is left out.
     """
     shaped = df.select(
         *by,
@@ -145,7 +152,7 @@ def ewma(df: DataFrame, by: list[str], order: str, value: str, alpha: float = AL
         F.lit(None).cast("string").alias("error_code"),
         F.lit(None).cast("bigint").alias("at_ms"),
     )
-    return health_summary(shaped, by, alpha).select(*by, F.col("latency").alias("ewma"))
+    return health_summary(shaped, by, alpha, bits=bits).select(*by, F.col("latency").alias("ewma"))
 
 
 def inflight(attempts: DataFrame, by: list[str] | None = None, leak: bool = False) -> DataFrame:

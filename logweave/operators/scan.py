@@ -8,6 +8,8 @@ ordered per group.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A block spans 2 ** BLOCK_BITS order values. With one row per value it holds no more rows than that.
@@ -20,6 +22,17 @@ def block_of(order: Column | str, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(column.cast("bigint"), bits)
 
 
+def block_bits(df: DataFrame, order: str) -> int:
+    """Bits for order values that are not dense, such as times: blocks of some 2 ** BLOCK_BITS rows.
+
+    One aggregate over the order column. Without it, sparse values would leave a row per block.
+    """
+    low, high, count = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    if not count:
+        return BLOCK_BITS
+    return BLOCK_BITS + max(0, round(math.log2((high - low + 1) / count)))
+
+
 def running_max(
     df: DataFrame,
     by: list[str],

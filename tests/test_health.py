@@ -30,7 +30,7 @@ def random_attempts(rng, n=300, partitions=2):
 @pytest.fixture
 def small_blocks(monkeypatch):
     original = scan.block_of
-    monkeypatch.setattr(health, "block_of", lambda order: original(order, 3))
+    monkeypatch.setattr(health, "block_of", lambda order, bits: original(order, 3))
 
 
 def expected(data, p, now):
@@ -76,6 +76,19 @@ def test_stream_merges_batches(spark, small_blocks):
     assert rounded(read_health(spark, root, 4_000)) == rounded(whole)
 
 
+def test_average_ordered_by_sparse_times(spark):
+    rng = random.Random(6)
+    times = sorted(rng.sample(range(10**15), 400))
+    values = [rng.uniform(0, 50) for _ in times]
+    df = spark.createDataFrame([("g", t, v) for t, v in zip(times, values)], "g string, t long, v double")
+    bits = scan.block_bits(df, "t")
+    assert df.select(scan.block_of("t", bits)).distinct().count() == 1
+    for width in (bits, 44):
+        found = op.ewma(df.repartition(4), ["g"], "t", "v", bits=width).first()["ewma"]
+        assert found == pytest.approx(moving_average(values))
+    assert scan.block_bits(df.limit(0), "t") == scan.BLOCK_BITS
+
+
 def test_inflight_with_and_without_leak(spark):
     data = [(0, 1, 0, "produce", None, None, None), (0, 1, 0, "error", None, "RequestTimedOut", False),
             (0, 2, 0, "produce", None, None, None), (0, 2, 0, "delivery", 1.0, None, None)]

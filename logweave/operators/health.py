@@ -37,31 +37,36 @@ def health_summary(
     """
     by = by or ["partition"]
     delivered, failed = F.col("kind") == "delivery", F.col("kind") == "error"
-    in_block = Window.partitionBy(*by, "_block").orderBy("attempt_no")
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    closes = delivered if leak else delivered | failed
+    opened = attempts.filter(F.col("kind") == "produce").groupBy(*by).agg(F.count("*").alias("opened"))
+    # only outcomes have an order to keep; they go through the shuffle as small numbers, without texts
+    rows = attempts.filter(delivered | failed).select(
+        *by, "attempt_no", block_of("attempt_no", bits).alias("_block"),
+        F.when(failed, 1).otherwise(-1).alias("_step"),
+        F.when(closes, 1).otherwise(0).alias("_closed"),
+        F.when(delivered, 1).otherwise(0).alias("_one"),
+        F.when(delivered, F.col("latency_ms")).alias("_latency"),
+        F.when(failed, F.col("at_ms")).alias("_error"),
+        F.when(failed & needs_cooldown(F.col("error_code")), F.col("at_ms")).alias("_cool"),
+    )
     whole = Window.partitionBy(*by, "_block")
-    closes = F.when(F.col("kind") == "produce", 1).when(delivered, -1)
-    one = F.when(delivered, 1).otherwise(0)
-    rows = attempts.select(
-        *by, "kind", "attempt_no", "latency_ms", "error_code", "at_ms",
-        block_of("attempt_no", bits).alias("_block"),
-        F.when(failed, 1).when(delivered, -1).otherwise(0).alias("_step"),
-    ).withColumns(
+    so_far = whole.orderBy("attempt_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    walked = rows.withColumns(
         {
             "_walk": F.sum("_step").over(so_far),
-            "_nth": F.sum(one).over(so_far),
-            "_count": F.sum(one).over(whole),
+            "_nth": F.sum("_one").over(so_far),
+            "_count": F.sum("_one").over(whole),
         }
     )
     weight = alpha * F.pow(F.lit(1.0 - alpha), F.col("_count") - F.col("_nth"))
-    blocks = rows.groupBy(*by, "_block").agg(
-        F.sum(one).alias("n"),
-        F.sum(F.when(delivered, F.col("latency_ms") * weight)).alias("v"),
+    blocks = walked.groupBy(*by, "_block").agg(
+        F.sum("_one").alias("n"),
+        F.sum(F.col("_latency") * weight).alias("v"),
         F.sum("_step").alias("total"),
         F.min("_walk").alias("low"),
-        F.sum(closes if leak else closes.when(failed, -1)).alias("open"),
-        F.max(F.when(failed, F.col("at_ms"))).alias("err"),
-        F.max(F.when(failed & needs_cooldown(F.col("error_code")), F.col("at_ms"))).alias("cool"),
+        F.sum("_closed").alias("closed"),
+        F.max("_error").alias("err"),
+        F.max("_cool").alias("cool"),
     )
     ordered = Window.partitionBy(*by).orderBy("_block")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -72,15 +77,36 @@ def health_summary(
             "_later": F.coalesce(F.sum("n").over(after), F.lit(0)),
         }
     )
-    return placed.groupBy(*by).agg(
+    settled = placed.groupBy(*by).agg(
         F.sum("n").alias("deliveries"),
-        F.coalesce(F.sum(F.col("v") * F.pow(F.lit(1.0 - alpha), F.col("_later"))), F.lit(0.0)).alias("latency"),
+        F.sum(F.col("v") * F.pow(F.lit(1.0 - alpha), F.col("_later"))).alias("latency"),
         F.sum("total").alias("step_total"),
         F.least(F.min(F.col("_base") + F.col("low")), F.lit(0)).alias("step_low"),
-        F.coalesce(F.sum("open"), F.lit(0)).alias("inflight"),
+        F.sum("closed").alias("closed"),
         F.max("err").alias("last_error_ms"),
         F.max("cool").alias("cooldown_error_ms"),
     )
+    zero = {c: F.coalesce(c, F.lit(0)).alias(c) for c in ("deliveries", "step_total", "step_low")}
+    return _both(opened, settled, by).select(
+        *by,
+        zero["deliveries"],
+        F.coalesce("latency", F.lit(0.0)).alias("latency"),
+        zero["step_total"],
+        zero["step_low"],
+        (F.coalesce("opened", F.lit(0)) - F.coalesce("closed", F.lit(0))).alias("inflight"),
+        "last_error_ms",
+        "cooldown_error_ms",
+    )
+
+
+def _both(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of either side, matched on groups that may be null."""
+    joined = a.alias("a").join(b.alias("b"), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by], "full")
+    return joined.select(
+        *[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in by],
+        *[F.col(f"a.{c}") for c in a.columns if c not in by],
+        *[F.col(f"b.{c}") for c in b.columns if c not in by],
+    )
 
 
 def merge_summaries(earlier: DataFrame, later: DataFrame, by: list[str], alpha: float = ALPHA) -> DataFrame:

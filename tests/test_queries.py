@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import time
+
 import duckdb
 import pytest
 
@@ -26,7 +28,38 @@ def test_entry(spark):
     assert entry.entry(spark).columns == ["p", "position", "committed_seq", "pending"]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
-    result = compare(spark, con, SF_DIR, name)
+    begin = time.time()
+    df = entry.queries()[name](spark, SF_DIR)
+    # joins on keys, no row-at-a-time Python, and only protobuf through Arrow
+    plan = plan_of(df)
+    for operator in ("CartesianProduct", "NestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
+    assert ("ArrowEvalPython" in plan) == (name == "order_event_roundtrip")
+    result = compare(con, name, df, begin)
     assert ": ok" in result, result
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("seq_gaps", "struct<event_id:bigint>"),
+        ("bounded_read", "struct<offset:bigint>"),
+        ("cdc_latest", "struct<c_custkey:bigint,c_name:string>"),
+        ("carry_positions", "struct<c_custkey:bigint>"),
+        ("enum_names", "struct<o_orderkey:bigint,o_orderstatus:string>"),
+    ],
+)
+def test_scans_read_only_what_is_used(spark, name, columns):
+    assert f"ReadSchema: {columns}" in plan_of(entry.queries()[name](spark, SF_DIR))
+
+
+def test_gap_search_shuffles_its_blocks_once(spark):
+    df = entry.queries()["seq_gaps"](spark, SF_DIR)
+    df.collect()
+    assert "ReusedExchange" in plan_of(df)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from logweave.session import drop_table, path_exists
+from logweave.session import drop_table, path_exists, small_side
 
 # States of a stream that stay readable after newer ones were written.
 KEPT_STATES = 10
@@ -85,7 +85,8 @@ def read_batches(
         # a filter on the directory column prunes the listing
         rows = rows.filter(F.col("batch_id") < before)
         commits = commits.filter(F.col("batch_id") < before)
-    return rows.join(commits, "batch_id", "left_semi")
+    # a compacted table is one batch, so this join must not move the rows by batch id
+    return rows.join(small_side(commits), "batch_id", "left_semi")
 
 
 def read_one_batch(

@@ -53,6 +53,7 @@ def idempotent_consume(
     checkpoint: str,
     mark_failed: bool = False,
     earlier: DataFrame | None = None,
+    check_ledger: bool = True,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Process every message key once, with a durable ledger.
@@ -65,19 +66,26 @@ def idempotent_consume(
 
     ``earlier`` holds ids (``message_id``) that were processed elsewhere or before, for instance the
     ledger of a former root after it was compacted.
+
+    The ledger is read for every batch. Where it has outgrown that, put ``dedup_stream`` before this
+    and pass ``check_ledger=False``: the state store then finds repeated keys at a cost that follows
+    the batch, and the ledger is only written. Copies of a failed message are then dropped as well.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = dedup_first(batch, [key], order).withColumn("_id", F.col(key).cast("string"))
-        ledger = read_batches(spark, root, LEDGER_SCHEMA, batch_id, "ledger").select("message_id")
-        if earlier is not None:
-            ledger = ledger.unionByName(earlier.select("message_id"))
-        ledger = ledger.withColumnRenamed("message_id", "_id")
-        if batch.limit(SMALL_SIDE_ROWS + 1).count() <= SMALL_SIDE_ROWS:
-            # with few ids the ledger is filtered where it is read, instead of shuffled
-            ledger = ledger.join(small_side(first.select("_id")), "_id", "left_semi")
-        result = process(new_only(first, ledger, ["_id"]).drop("_id"))
+        ledger = earlier
+        if check_ledger:
+            own = read_batches(spark, root, LEDGER_SCHEMA, batch_id, "ledger").select("message_id")
+            ledger = own if earlier is None else own.unionByName(earlier.select("message_id"))
+        if ledger is not None:
+            ledger = ledger.select(F.col("message_id").alias("_id"))
+            if batch.limit(SMALL_SIDE_ROWS + 1).count() <= SMALL_SIDE_ROWS:
+                # with few ids the ledger is filtered where it is read, instead of shuffled
+                ledger = ledger.join(small_side(first.select("_id")), "_id", "left_semi")
+            first = new_only(first, ledger, ["_id"])
+        result = process(first.drop("_id"))
         if "_error" not in result.columns:
             result = result.withColumn("_error", F.lit(None).cast("string"))
         stage_batch(result, root, batch_id, "results")

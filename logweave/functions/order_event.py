@@ -1,8 +1,8 @@
 """Order events: protobuf bytes and enum names.
 
-Spark's own protobuf functions are used where their package is on the classpath.
-Elsewhere the bytes go through ``google.protobuf`` in Arrow batches; its message
-class is built from a descriptor, so no generated code is needed.
+The bytes go through ``google.protobuf`` in Arrow batches; its message class is built
+from a descriptor, so no generated code is needed. Where Spark's protobuf package is on
+the classpath, ``in_jvm=True`` uses its functions instead, without a Python worker.
 """
 
 from __future__ import annotations
@@ -71,27 +71,6 @@ def _message_class():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName(f"orders.{MESSAGE_NAME}"))
 
 
-def spark_protobuf_available(df: DataFrame) -> bool:
-    """Whether the session can use ``from_protobuf`` / ``to_protobuf``."""
-    try:
-        df.sparkSession._jvm.java.lang.Class.forName(
-            "org.apache.spark.sql.protobuf.ProtobufDataToCatalyst"
-        )
-    except Exception:  # the gateway wraps ClassNotFoundException
-        return False
-    return True
-
-
-_FIELDS = T.StructType(
-    [
-        T.StructField("order_id", T.LongType()),
-        T.StructField("client_id", T.LongType()),
-        T.StructField("state", T.IntegerType()),
-        T.StructField("micros", T.LongType()),
-    ]
-)
-
-
 @F.pandas_udf(T.BinaryType())
 def _encode(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
     cls = _message_class()
@@ -167,26 +146,27 @@ def decode_order_event(value: Column) -> Column:
     return F.element_at(events, 1)
 
 
-def encode_order_events(df: DataFrame, into: str = "value") -> DataFrame:
+def encode_order_events(df: DataFrame, into: str = "value", in_jvm: bool = False) -> DataFrame:
     """Add the message bytes of ``order_id, client_id, order_state, timestamp``."""
-    if spark_protobuf_available(df):
+    event = F.struct("order_id", "client_id", "order_state", "timestamp")
+    if in_jvm:
         from pyspark.sql.protobuf.functions import to_protobuf
 
-        event = F.struct("order_id", "client_id", "order_state", "timestamp")
         return df.withColumn(
             into, to_protobuf(event, MESSAGE_NAME, binaryDescriptorSet=descriptor_set())
         )
-    event = F.struct("order_id", "client_id", "order_state", "timestamp")
     return df.withColumn(into, encode_order_event(event))
 
 
-def decode_order_events(df: DataFrame, value: str = "value", into: str = "data") -> DataFrame:
+def decode_order_events(
+    df: DataFrame, value: str = "value", into: str = "data", in_jvm: bool = False
+) -> DataFrame:
     """Add ``into`` (the event struct) and ``_error`` (null for a good row).
 
     Absent numbers read as 0 and an absent state as the unspecified one; an absent timestamp is
     null. A missing value, bytes that are no message and an unknown state number are errors.
     """
-    if spark_protobuf_available(df):
+    if in_jvm:
         from pyspark.sql.protobuf.functions import from_protobuf
 
         parsed = from_protobuf(

@@ -201,6 +201,20 @@ def fallback_partition(key: Column, partitions: int) -> Column:
     return (number.cast("bigint") % F.lit(partitions)).cast("int")
 
 
+def _best(partition_options: Column, key: Column, partitions: int) -> Column:
+    """Partition of the best option, else the fallback."""
+    return F.coalesce(partition_options["partition"], fallback_partition(key, partitions))
+
+
+def _option(now_ms: Column | int) -> Column:
+    """Score and id of an available partition; the least option is the best choice."""
+    return F.when(F.col("available"), F.struct(partition_score(now_ms).alias("score"), "partition"))
+
+
+def _group_key(by: list[str]) -> Column:
+    return F.concat_ws("/", *by) if by else F.lit("")
+
+
 def choose_partition(
     health: DataFrame, by: list[str], partitions: int, now_ms: Column | int, key: Column | None = None
 ) -> DataFrame:
@@ -209,13 +223,14 @@ def choose_partition(
     Adds ``chosen`` and ``score``; without an available partition, a hash of ``key`` (by default of
     the group) chooses and the score is null.
     """
-    scored = health.withColumn("_score", partition_score(now_ms))
-    option = F.when(F.col("available"), F.struct("_score", "partition"))
-    best = scored.groupBy(*by).agg(F.min(option).alias("_best"))
-    if key is None:
-        key = F.concat_ws("/", *by) if by else F.lit("")
+    best = health.groupBy(*by).agg(F.min(_option(now_ms)).alias("_best"))
+    key = _group_key(by) if key is None else key
     return best.select(
-        *by,
-        F.coalesce("_best.partition", fallback_partition(key, partitions)).alias("chosen"),
-        F.col("_best._score").alias("score"),
+        *by, _best(F.col("_best"), key, partitions).alias("chosen"), F.col("_best.score").alias("score")
     )
+
+
+def with_choice(health: DataFrame, by: list[str], partitions: int, now_ms: int, into: str) -> DataFrame:
+    """Health rows, each with the partition chosen for its group; a group is a handful of rows."""
+    best = F.min(_option(now_ms)).over(Window.partitionBy(*by))
+    return health.withColumn(into, _best(best, _group_key(by), partitions))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logweave.functions.errors import is_retryable, needs_cooldown
-from logweave.operators.health import COOLDOWN_MS, choose_partition
+from logweave.operators.health import COOLDOWN_MS, with_choice
 from logweave.session import materialize, small_side
 
 MAX_ATTEMPTS = 10
@@ -49,10 +49,10 @@ def route_batch(
     """
     by = by or []
     kept = [c for c in df.columns if c != "partition"]
-    state, rows, parts = small_side(health), df, []
+    state = small_side(with_choice(health, by, partitions, now_ms, "_chosen"))
+    rows, parts = df, []
     for attempt in range(1, max_attempts + 1):
-        chosen = small_side(choose_partition(state, by, partitions, now_ms).select(*by, "chosen"))
-        tried = _send_to(rows, chosen, by).withColumn("_code", error_at(attempt, F.col("_chosen")))
+        tried = _send_to(rows, state, by).withColumn("_code", error_at(attempt, F.col("_chosen")))
         tried = materialize(tried, f"attempt-{attempt}")
         again = goes_on(F.col("_code"), fatal(F.col("_code")))
         failing = tried.filter(again)
@@ -76,16 +76,17 @@ def route_batch(
         )
         if last:
             break
-        state = small_side(_after_errors(state, counts, by, now_ms, cooldown_ms))
+        after = _after_errors(state, counts, by, now_ms, cooldown_ms)
+        state = small_side(with_choice(after, by, partitions, now_ms, "_chosen"))
         rows = failing.select(*df.columns)
     return reduce(DataFrame.unionByName, parts)
 
 
-def _send_to(rows: DataFrame, chosen: DataFrame, by: list[str]) -> DataFrame:
+def _send_to(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
     """Rows with the partition chosen for their group; without groups there is one choice."""
     if by:
-        return rows.join(chosen.withColumnRenamed("chosen", "_chosen"), by)
-    return rows.withColumn("_chosen", F.lit(chosen.first()["chosen"]))
+        return rows.join(state.select(*by, "_chosen").distinct(), by)
+    return rows.withColumn("_chosen", F.lit(state.first()["_chosen"]))
 
 
 def _after_errors(

@@ -71,19 +71,25 @@ def _message_class():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName(f"orders.{MESSAGE_NAME}"))
 
 
+_FIELDS = T.StructType(
+    [
+        T.StructField("order_id", T.LongType()),
+        T.StructField("client_id", T.LongType()),
+        T.StructField("state", T.IntegerType()),
+        T.StructField("micros", T.LongType()),
+    ]
+)
+
+
 @F.pandas_udf(T.BinaryType())
 def _encode(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
     cls = _message_class()
-    for order_id, client_id, state, micros in batches:
+    for order_id, client_id, state, has_time, micros in batches:
         out = []
-        for o, c, s, t in zip(order_id, client_id, state, micros):
-            message = cls(
-                order_id=0 if pd.isna(o) else int(o),
-                client_id=0 if pd.isna(c) else int(c),
-                order_state=0 if pd.isna(s) else int(s),
-            )
-            if not pd.isna(t):
-                message.timestamp.seconds, micro = divmod(int(t), 1_000_000)
+        for o, c, s, timed, t in zip(order_id, client_id, state, has_time, micros):
+            message = cls(order_id=o, client_id=c, order_state=s)
+            if timed:
+                message.timestamp.seconds, micro = divmod(t, 1_000_000)
                 message.timestamp.nanos = micro * 1_000
             out.append(message.SerializeToString())
         yield pd.Series(out, dtype="object")
@@ -120,10 +126,13 @@ _encode_once, _decode_once = _encode.asNondeterministic(), _decode.asNondetermin
 
 
 def encode_order_event(event: Column) -> Column:
-    """Message bytes of an event struct."""
+    """Message bytes of an event struct; absent numbers are 0, an absent time is left out."""
+    micros = F.unix_micros(event["timestamp"])
+    # a column with nulls would reach Python as floats, and lose digits of long ids
     return _encode_once(
-        event["order_id"], event["client_id"], state_number(event["order_state"]),
-        F.unix_micros(event["timestamp"]),
+        F.coalesce(event["order_id"], F.lit(0)), F.coalesce(event["client_id"], F.lit(0)),
+        F.coalesce(state_number(event["order_state"]), F.lit(0)),
+        micros.isNotNull(), F.coalesce(micros, F.lit(0)),
     )
 
 

@@ -128,6 +128,19 @@ def test_order_event_bytes(spark):
         assert tuple(row[2:]) == (event or (None,) * 4)
 
 
+def test_absent_fields_do_not_cost_digits(spark):
+    big = 2**63 - 1
+    data = [(big, None, "ORDER_STATE_CREATED", 1), (None, big - 1, None, None), (-big, 0, "no such state", -1)]
+    df = spark.createDataFrame(data, "order_id long, client_id long, order_state string, us long").coalesce(1)
+    df = df.withColumn("timestamp", F.timestamp_micros("us"))
+    out = fn.decode_order_events(fn.encode_order_events(df))
+    found = [(r["data"]["order_id"], r["data"]["client_id"], r["data"]["order_state"]) for r in out.collect()]
+    assert found == [
+        (big, 0, "ORDER_STATE_CREATED"), (0, big - 1, "ORDER_STATE_UNSPECIFIED"), (-big, 0, "ORDER_STATE_UNSPECIFIED"),
+    ]
+    assert [r[0] for r in out.select(F.unix_micros("data.timestamp")).collect()] == [1, None, -1]
+
+
 def test_codecs_round_trip(spark):
     event = F.struct(F.lit("1").alias("Id"), F.lit('a"\n').alias("EntityType"), F.lit(None).cast("string").alias("Payload"))
     order = F.struct(

@@ -126,14 +126,17 @@ _encode_once, _decode_once = _encode.asNondeterministic(), _decode.asNondetermin
 
 
 def encode_order_event(event: Column) -> Column:
-    """Message bytes of an event struct; absent numbers are 0, an absent time is left out."""
-    micros = F.unix_micros(event["timestamp"])
+    """Message bytes of an event struct; absent numbers are 0, an absent time is left out.
+
+    Null for a state name that does not exist.
+    """
+    micros, state = F.unix_micros(event["timestamp"]), state_number(event["order_state"])
     # a column with nulls would reach Python as floats, and lose digits of long ids
-    return _encode_once(
+    message = _encode_once(
         F.coalesce(event["order_id"], F.lit(0)), F.coalesce(event["client_id"], F.lit(0)),
-        F.coalesce(state_number(event["order_state"]), F.lit(0)),
-        micros.isNotNull(), F.coalesce(micros, F.lit(0)),
+        F.coalesce(state, F.lit(0)), micros.isNotNull(), F.coalesce(micros, F.lit(0)),
     )
+    return F.when(event["order_state"].isNull() | state.isNotNull(), message)
 
 
 def _event(raw: Column) -> Column:

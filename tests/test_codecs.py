@@ -130,7 +130,7 @@ def test_order_event_bytes(spark):
 
 def test_absent_fields_do_not_cost_digits(spark):
     big = 2**63 - 1
-    data = [(big, None, "ORDER_STATE_CREATED", 1), (None, big - 1, None, None), (-big, 0, "no such state", -1)]
+    data = [(big, None, "ORDER_STATE_CREATED", 1), (None, big - 1, None, None), (-big, 0, None, -1)]
     df = spark.createDataFrame(data, "order_id long, client_id long, order_state string, us long").coalesce(1)
     df = df.withColumn("timestamp", F.timestamp_micros("us"))
     out = fn.decode_order_events(fn.encode_order_events(df))
@@ -139,6 +139,8 @@ def test_absent_fields_do_not_cost_digits(spark):
         (big, 0, "ORDER_STATE_CREATED"), (0, big - 1, "ORDER_STATE_UNSPECIFIED"), (-big, 0, "ORDER_STATE_UNSPECIFIED"),
     ]
     assert [r[0] for r in out.select(F.unix_micros("data.timestamp")).collect()] == [1, None, -1]
+    unknown = df.limit(1).withColumn("order_state", F.lit("no such state"))
+    assert fn.encode_order_events(unknown).first()["value"] is None
 
 
 def test_codecs_round_trip(spark):

@@ -1,6 +1,6 @@
 """DataFrame operators over logs, marks, attempts and changes."""
 
-from logweave.operators.changes import unwrap_changes
+from logweave.operators.changes import rewritten_changes, unwrap_changes
 from logweave.operators.commit import (
     clean_marks,
     commit_positions,
@@ -31,6 +31,6 @@ __all__ = [
     "dedup_first", "delivery_metrics", "duplicates", "envelope", "evolve", "ewma", "gaps",
     "hold_paused", "inflight", "latest_by_key", "new_only", "non_monotonic", "null_keys",
     "numbered_messages", "oldest_pending", "partition_health", "pause_intervals", "prefix_value",
-    "recent_errors", "route_batch", "set_changes", "skipped_gaps", "stamp_sequence",
+    "recent_errors", "rewritten_changes", "route_batch", "set_changes", "skipped_gaps", "stamp_sequence",
     "to_keyed_log", "unwrap_changes", "with_log_metadata", "with_retries", "with_retries_frame",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from logweave.operators.latest import DELETED
 
@@ -21,20 +21,49 @@ def unwrap_changes(log: DataFrame, row_schema: T.StructType, keep_tombstones: bo
             T.StructField("op", T.StringType()),
         ]
     )
+    parsed = _parse(log, record)
+    row = F.coalesce("_change.after", "_change.before")
+    deleted = F.when(F.col("_change.op") == "d", "true").otherwise("false")
+    return _rows(parsed, log, row_schema, row, deleted, F.col("_change.op"), keep_tombstones)
+
+
+def rewritten_changes(log: DataFrame, row_schema: T.StructType, keep_tombstones: bool = True) -> DataFrame:
+    """The same from values that were unwrapped upstream: the row itself with a ``__deleted`` field,
+    alone or as the ``payload`` of a schema envelope. ``op`` is 'd' for a delete, else null."""
+    record = T.StructType([*row_schema.fields, T.StructField(DELETED, T.StringType())])
+    parsed = _parse(log, record)
+    change = F.col("_change")
+    present = F.greatest(*[change[f.name].isNotNull() for f in record.fields])
+    deleted = F.coalesce(change[DELETED], F.lit("false"))
+    operation = F.when(change[DELETED] == "true", "d")
+    return _rows(parsed, log, row_schema, F.when(present, change), deleted, operation, keep_tombstones)
+
+
+def _parse(log: DataFrame, record: T.StructType) -> DataFrame:
+    """Log with ``_change``, taken from the payload of an envelope or from the value itself."""
     enveloped = T.StructType([T.StructField("payload", record), *record.fields])
     # as the output of a generator the record is parsed once, whatever is filtered on later
     found = F.explode(F.array(F.from_json(F.col("value").cast("string"), enveloped)))
+    itself = F.struct(*[F.col(f"_found.`{f.name}`").alias(f.name) for f in record.fields])
     parsed = log.select("*", found.alias("_found"))
-    change = F.coalesce(F.col("_found.payload"), F.struct("_found.before", "_found.after", "_found.op"))
-    parsed = parsed.withColumn("_change", change).drop("_found")
-    row = F.coalesce(F.col("_change.after"), F.col("_change.before"))
-    fields = [row[f.name].alias(f.name) for f in row_schema.fields]
+    return parsed.withColumn("_change", F.coalesce(F.col("_found.payload"), itself)).drop("_found")
+
+
+def _rows(
+    parsed: DataFrame,
+    log: DataFrame,
+    row_schema: T.StructType,
+    row: Column,
+    deleted: Column,
+    operation: Column,
+    keep_tombstones: bool,
+) -> DataFrame:
     tombstone = F.col("value").isNull()
     out = parsed.select(
         *[c for c in log.columns if c != "value"],
-        *fields,
-        F.when(~tombstone, F.when(F.col("_change.op") == "d", "true").otherwise("false")).alias(DELETED),
-        F.col("_change.op").alias("op"),
+        *[row[f.name].alias(f.name) for f in row_schema.fields],
+        F.when(row.isNotNull(), deleted).alias(DELETED),
+        operation.alias("op"),
         tombstone.alias("is_tombstone"),
         F.when(~tombstone & row.isNull(), "malformed_change").alias("_error"),
     )

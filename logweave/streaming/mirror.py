@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,9 +32,12 @@ def cdc_mirror(
     root: str,
     checkpoint: str,
     trigger: dict | None = None,
+    unwrap: Callable[..., DataFrame] = unwrap_changes,
 ) -> StreamingQuery:
     """Apply a change log to a replace-by-key table at ``root``.
 
+    ``unwrap`` is ``rewritten_changes`` where the log holds rows that were unwrapped before.
+
     A key's changes are in one partition, so their offsets order them. Tombstones change nothing, as
     the delete before them has marked the row. Undecodable changes are kept under ``rejected``.
     """
@@ -40,7 +45,7 @@ def cdc_mirror(
     upsert = upsert_sink(root, key, ["offset"])
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        changes = unwrap_changes(batch, row_schema, keep_tombstones=False)
+        changes = unwrap(batch, row_schema, keep_tombstones=False)
         stage_batch(changes.filter(F.col("_error").isNotNull()), root, batch_id, "rejected")
         upsert(changes.filter(F.col("_error").isNull()).select(*columns), batch_id)
 

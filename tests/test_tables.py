@@ -39,12 +39,34 @@ def test_unwrap_changes(spark):
     out = op.unwrap_changes(log, ROW).orderBy("offset").collect()
     assert [(r["id"], r["first_name"], r["__deleted"], r["op"], r["is_tombstone"], r["_error"]) for r in out] == [
         (1, "A", "false", "r", False, None), (1, "B", "false", "u", False, None), (1, "B", "true", "d", False, None),
-        (None, None, None, None, True, None), (None, None, "false", None, False, "malformed_change"),
-        (None, None, "false", None, False, "malformed_change"),
+        (None, None, None, None, True, None), (None, None, None, None, False, "malformed_change"),
+        (None, None, None, None, False, "malformed_change"),
     ]
     assert op.unwrap_changes(log, ROW, keep_tombstones=False).count() == 5
 
 
+def test_rows_unwrapped_upstream(spark):
+    def row(name, deleted, enveloped):
+        text = f'{person(1, name)[:-1]},"__deleted":"{deleted}"}}'
+        return f'{{"schema":{{}},"payload":{text}}}' if enveloped else text
+
+    log = log_of(spark, [
+        (0, 0, "1", row("A", "false", True)), (0, 1, "1", row("B", "true", False)), (0, 2, "1", None),
+        (0, 3, "2", "{broken"), (0, 4, "2", '{"other":1}'), (0, 5, "3", person(3, "C")),
+    ])
+    out = op.rewritten_changes(log, ROW).orderBy("offset").collect()
+    assert [(r["id"], r["first_name"], r["__deleted"], r["op"], r["is_tombstone"], r["_error"]) for r in out] == [
+        (1, "A", "false", None, False, None), (1, "B", "true", "d", False, None), (None, None, None, None, True, None),
+        (None, None, None, None, False, "malformed_change"), (None, None, None, None, False, "malformed_change"),
+        (3, "C", "false", None, False, None),
+    ]
+    source, root, checkpoint = (work_dir(spark, n) for n in ("log", "mirror", "cp"))
+    sinks.write_log(log, source)
+    stream = sources.read_log(spark, source, streaming=True)
+    finish(mirror.cdc_mirror(stream, ROW, ["id"], root, checkpoint, unwrap=op.rewritten_changes))
+    assert rows(mirror.read_mirror(spark, root, ROW, ["id"]).select("id", "first_name")) == [(1, "B"), (3, "C")]
+
+
 def test_latest_row_wins_and_deleted_rows_stay(spark):
     data = [(1, "a", "false", 1), (1, "b", "true", 2), (2, "c", "true", 1), (2, "d", "false", 3), (3, "e", "false", 1)]
     df = spark.createDataFrame(data, "id int, v string, __deleted string, offset long")

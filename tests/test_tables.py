@@ -1,4 +1,5 @@
 import glob
+from types import SimpleNamespace
 
 import pyarrow.parquet as pq
 import pytest
@@ -164,3 +165,23 @@ def test_work_dir_is_the_shared_folder(spark):
     assert first != second
     if shared is not None:
         assert first.startswith(shared)
+
+
+class Unset:
+    """A session without the shared folder."""
+
+    def __init__(self, context, master):
+        self.conf = SimpleNamespace(get=lambda name, default: default)
+        self.sparkContext = SimpleNamespace(
+            master=master, applicationId=context.applicationId, getCheckpointDir=context.getCheckpointDir
+        )
+
+
+def test_only_a_local_master_may_do_without_the_shared_folder(spark):
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        assert "logweave-" in work_dir(Unset(context, "local[2]"), "x")
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            work_dir(Unset(context, "spark://host:7077"), "x")
+    else:
+        assert work_dir(Unset(context, "spark://host:7077"), "x").startswith(context.getCheckpointDir())

@@ -77,10 +77,10 @@ def faulty_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("value").cast("string")
     value = (
         F.when(place == 3, F.lit(None).cast("string"))
-        .when(place == 7, F.expr("substring(CAST(value AS STRING), 1, length(CAST(value AS STRING)) - 1)"))
+        .when(place == 7, F.concat(F.lit("{"), text))
         .when(place == 11, F.lit("null"))
         .when(place == 13, F.concat(F.lit("["), text, F.lit("]")))
-        .when(place == 17, F.concat(F.lit('{"extra":{"a":[1]},'), F.substring(text, F.lit(2), F.length(text))))
+        .when(place == 17, F.concat(F.rtrim(text, F.lit("}")), F.lit(',"extra":{"a":[1]}}')))
         .otherwise(text)
     )
     return event_log(spark, sf_dir).withColumn("value", value.cast("binary"))

@@ -21,8 +21,8 @@ log AS (
 _FAULTY = _LOG + """,
 faulty AS (
   SELECT p, off, event_id, event_type, user_id,
-         CASE off % 20 WHEN 3 THEN NULL WHEN 7 THEN substr(v, 1, length(v) - 1) WHEN 11 THEN 'null'
-              WHEN 13 THEN '[' || v || ']' WHEN 17 THEN '{"extra":{"a":[1]},' || substr(v, 2) ELSE v END AS v
+         CASE off % 20 WHEN 3 THEN NULL WHEN 7 THEN '{' || v WHEN 11 THEN 'null'
+              WHEN 13 THEN '[' || v || ']' WHEN 17 THEN rtrim(v, '}') || ',"extra":{"a":[1]}}' ELSE v END AS v
   FROM log),
 decoded AS (
   SELECT p, off, v,

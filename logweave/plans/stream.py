@@ -15,7 +15,7 @@ from logweave.plans import batch, fixtures as fx
 from logweave.plans.oracles import ORACLES
 from logweave.schemas import ATTEMPT_SCHEMA, LOG_SCHEMA, MARK_SCHEMA, PARTITION_KEYS
 from logweave.session import work_dir
-from logweave.streaming import commits, dedup, health, mirror, pipes, run
+from logweave.streaming import commits, dedup, health, mirror, pipes, routing, run
 
 AVAILABLE_NOW = run.AVAILABLE_NOW
 DELIVERY_SCHEMA = T.StructType(
@@ -190,6 +190,33 @@ def retry_stream(spark: SparkSession, d: str) -> DataFrame:
     return done.select("event_id", F.col("partition").alias("p"), "attempts", "delay_s", "outcome")
 
 
+def route_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Events routed by the health that a stream of attempts has left, in one micro-batch."""
+    health_root, root = work_dir(spark, "health"), work_dir(spark, "routed")
+    checkpoints = work_dir(spark, "checkpoint"), work_dir(spark, "checkpoint")
+    now = batch._now(spark, d)
+    _in_two_runs(
+        spark, _halves(fx.attempts(spark, d), "attempt_no", _middle(spark, d)), ATTEMPT_SCHEMA,
+        lambda s: health.health_stream(s, health_root, checkpoints[0]),
+    )
+    rows = fx.table(spark, d, "events").select("event_id", "event_type")
+    _in_two_runs(
+        spark, [rows], rows.schema,
+        lambda s: routing.route_stream(
+            s, lambda: health.read_health(spark, health_root, now), batch._scripted_error, lambda: now,
+            fx.PARTITIONS, root, checkpoints[1],
+        ),
+    )
+    schema = T.StructType([
+        *rows.schema.fields,
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("attempts", T.IntegerType()),
+        T.StructField("outcome", T.StringType()),
+        T.StructField("error_code", T.StringType()),
+    ])
+    return batch._short(pipes.read_pipe(spark, root, schema).drop("event_type"))
+
+
 def transactional_pipe_stream(spark: SparkSession, d: str) -> DataFrame:
     """Transformed messages of committed transactions, with a transaction that never committed."""
     root, checkpoint = work_dir(spark, "pipe"), work_dir(spark, "checkpoint")
@@ -271,7 +298,7 @@ STREAM_QUERIES = {
     for f in [
         log_stream, discovered_partitions_stream, intake_bound_stream, commit_max_stream,
         track_commits_stream, track_commits_gap_stream, dedup_stream, idempotent_consume_stream,
-        retry_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream,
+        retry_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream,
         continuous_view_stream, partition_health_stream, delivery_metrics_stream,
     ]
 }
@@ -289,6 +316,7 @@ STREAM_ORACLES = {
       CASE WHEN event_id % 100 = 35 THEN value + 1 ELSE value END AS value,
       CASE WHEN event_id % 100 = 35 THEN event_id + 1000000000 ELSE event_id END AS arrival FROM events""",
     "retry_stream": ORACLES["retry_outcomes"],
+    "route_stream": ORACLES["route_batch"],
     "transactional_pipe_stream": ORACLES["message_transform"],
     "micro_batch_stream": """WITH cut AS (SELECT (max(event_id) // 2 + 1) // 3 AS middle FROM events),
       sizes AS (SELECT count(*) AS n FROM events, cut GROUP BY event_id // 3 < middle),

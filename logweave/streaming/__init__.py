@@ -5,10 +5,11 @@ from logweave.streaming.dedup import dedup_stream, idempotent_consume
 from logweave.streaming.health import health_stream, metrics_stream
 from logweave.streaming.mirror import cdc_mirror
 from logweave.streaming.pipes import continuous_view, micro_batch_sink, retry_sink, transactional_pipe
+from logweave.streaming.routing import route_stream
 from logweave.streaming.run import every, finish, rocksdb_state
 
 __all__ = [
     "cdc_mirror", "commit_batches", "continuous_view", "dedup_stream", "every", "finish",
     "health_stream", "idempotent_consume", "metrics_stream", "micro_batch_sink", "retry_sink",
-    "rocksdb_state", "track_commits", "transactional_pipe",
+    "rocksdb_state", "route_stream", "track_commits", "transactional_pipe",
 ]

@@ -172,7 +172,8 @@ def commit_positions(
     * ``gap_timeout``: as seen at ``as_of``, gaps are given up once a mark beyond them is ``timeout`` old.
 
     The last two also give ``committed_seq``, ``skipped`` and ``pending``; their position is null
-    where nothing may be committed.
+    where nothing may be committed. They rely on offsets that rise with sequence numbers;
+    ``non_monotonic`` lists marks where they do not.
     """
     if mode == "max":
         return marks.groupBy(*PARTITION_KEYS).agg((F.max("offset") + 1).alias("position"))

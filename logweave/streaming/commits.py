@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from logweave.operators.commit import clean_marks, commit_ends, commit_positions, end_offsets, gaps
+from logweave.operators.commit import clean_marks, commit_ends, commit_positions, gaps
 from logweave.schemas import MARK_SCHEMA, PARTITION_KEYS
 from logweave.session import small_side
 from logweave.sinks.batches import (
@@ -86,7 +86,8 @@ def track_commits(
     Marks at or below the committed state and repeated ones are dropped; marks beyond a gap wait.
     With ``gap_timeout`` a gap is given up once a mark beyond it is that old, by the newest
     ``processed_at`` seen or by the clock. ``pending_limit + 1`` marks may wait per partition,
-    earliest first; further ones are written to ``overflow``, for a dead-letter table.
+    earliest first; further ones are written to ``overflow``, for a dead-letter table. Offsets have to
+    rise with sequence numbers; ``operators.non_monotonic`` lists marks where they do not.
     Tables below ``root``: ``committed``, ``pending``, ``skipped``, ``overflow``.
     """
 
@@ -111,7 +112,14 @@ def track_commits(
                 if now_us is not None:
                     cutoff = F.timestamp_micros(F.lit(now_us - gap_timeout // timedelta(microseconds=1)))
             ends = small_side(commit_ends(marks, committed, cutoff, found))
-            moved = ends.join(end_offsets(marks, ends), PARTITION_KEYS, "left")
+            # the highest offset passed, so that a position never moves back
+            passed = (
+                marks.join(ends.select(*PARTITION_KEYS, "committed_seq"), PARTITION_KEYS)
+                .filter(F.col("seq") <= F.col("committed_seq"))
+                .groupBy(*PARTITION_KEYS)
+                .agg(F.max("offset").alias("committed_offset"))
+            )
+            moved = ends.join(passed, PARTITION_KEYS, "left")
             after = committed.alias("c").join(moved.alias("m"), PARTITION_KEYS, "full").select(
                 *PARTITION_KEYS,
                 F.coalesce("m.committed_seq", "c.committed_seq").alias("committed_seq"),

@@ -201,6 +201,13 @@ def test_tracker_with_a_tick_per_batch(spark, monkeypatch, timeout):
     assert skipped
 
 
+def test_tracker_position_never_moves_back(spark):
+    roots = list(run_tracker(spark, [[(0, 0, 10, 0), (0, 1, 9, 1)], [(0, 2, 12, 2)]]))
+    assert rows(commits.read_committed_positions(spark, roots[-1]).select("committed_seq", "position")) == [(2, 13)]
+    root = list(run_tracker(spark, [[(0, 0, 10, 0), (0, 1, 9, 1)]]))[-1]
+    assert rows(commits.read_committed_positions(spark, root).select("committed_seq", "position")) == [(1, 11)]
+
+
 def test_tracker_gives_up_gaps_and_drops_late_marks(spark):
     parts = [[(0, 0, 10, 0), (0, 3, 13, 5)], [(0, 4, 14, 40)], [(0, 1, 11, 41), (0, 5, 15, 42)]]
     roots = list(run_tracker(spark, parts, gap_timeout=timedelta(seconds=30)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from logweave import functions as fn, operators as op, sinks, sources
 from logweave.functions.headers import header_array
@@ -188,7 +188,7 @@ def codecs(spark: SparkSession, d: str) -> DataFrame:
     """Round trip of every document through the registered codecs."""
     kind = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
-    def round_trip(name: str, value: F.Column) -> F.Column:
+    def round_trip(name: str, value: Column) -> Column:
         codec = fn.codec(name, kind)
         return codec.decode(codec.encode(value))
 
@@ -477,7 +477,7 @@ def choose_partition(spark: SparkSession, d: str) -> DataFrame:
 ROUTE_CODES = ["LeaderNotAvailable", "RequestTimedOut", "NotEnoughReplicas", "UnknownTopicOrPart", "MsgSizeTooLarge"]
 
 
-def _scripted_error(attempt: int, partition: F.Column) -> F.Column:
+def _scripted_error(attempt: int, partition: Column) -> Column:
     """Errors of an event's first attempts, up to twelve of them."""
     failing = F.when(F.col("event_type") == "error", F.col("event_id") % 13).otherwise(0)
     pick = (F.col("event_id") + 3 * attempt) % 31

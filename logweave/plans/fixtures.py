@@ -6,7 +6,7 @@ and needs no ranking.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logweave.functions import header_array
 from logweave.schemas import LOG_SCHEMA
@@ -21,14 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def instant(column: str) -> F.Column:
+def instant(column: str) -> Column:
     """A zone-less timestamp read as UTC, whatever the session's zone."""
     return F.expr(
         f"timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {column}))"
     )
 
 
-def as_of() -> F.Column:
+def as_of() -> Column:
     return F.timestamp_micros(F.lit(AS_OF_US))
 
 
@@ -44,7 +44,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_json() -> F.Column:
+def event_json() -> Column:
     return F.concat(
         F.lit('{"Id":"'), F.col("event_id").cast("string"), F.lit('","EntityType":"'), F.col("event_type"),
         F.lit('","Payload":"user '), F.col("user_id").cast("string"), F.lit('"}'),
@@ -174,7 +174,7 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     key, name = F.col("c_custkey"), F.col("c_name")
 
-    def part(rows: DataFrame, text: F.Column, op: str, base: int) -> DataFrame:
+    def part(rows: DataFrame, text: Column, op: str, base: int) -> DataFrame:
         return rows.select(
             key.alias("id"), text.alias("name"), F.lit(op).alias("op"), (key + base).alias("offset")
         )

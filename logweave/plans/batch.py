@@ -10,7 +10,7 @@ from logweave import functions as fn, operators as op, sinks, sources
 from logweave.functions.headers import header_array
 from logweave.plans import fixtures as fx
 from logweave.schemas import EVENT_SCHEMA, PARTITION_KEYS
-from logweave.session import work_dir
+from logweave.session import scratch, work_dir
 
 GAP_TIMEOUT = timedelta(seconds=3600)
 ROW_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
@@ -544,11 +544,12 @@ def cdc_latest_live(spark: SparkSession, d: str) -> DataFrame:
 def upsert_table(spark: SparkSession, d: str) -> DataFrame:
     """Snapshot, then changes, written as two batches and compacted."""
     rows = _unwrapped(spark, d)
-    root, compacted = work_dir(spark, "upsert"), work_dir(spark, "compacted")
-    upsert = sinks.upsert_sink(root, ["id"], ["offset"])
-    upsert(rows.filter(F.col("offset") < 10_000_000), 0)
-    upsert(rows.filter(F.col("offset") >= 10_000_000), 1)
-    sinks.compact_upsert(spark, root, compacted, rows.schema, ["id"], ["offset"])
+    compacted = work_dir(spark, "compacted")
+    with scratch(spark, "upsert") as (root,):
+        upsert = sinks.upsert_sink(root, ["id"], ["offset"])
+        upsert(rows.filter(F.col("offset") < 10_000_000), 0)
+        upsert(rows.filter(F.col("offset") >= 10_000_000), 1)
+        sinks.compact_upsert(spark, root, compacted, rows.schema, ["id"], ["offset"])
     return _customer(sinks.read_upsert(spark, compacted, rows.schema, ["id"], ["offset"]))
 
 

@@ -14,7 +14,7 @@ from logweave import operators as op, sinks, sources
 from logweave.plans import batch, fixtures as fx
 from logweave.plans.oracles import ORACLES
 from logweave.schemas import ATTEMPT_SCHEMA, LOG_SCHEMA, MARK_SCHEMA, PARTITION_KEYS
-from logweave.session import work_dir
+from logweave.session import scratch, work_dir
 from logweave.streaming import commits, dedup, health, mirror, pipes, routing, run
 
 AVAILABLE_NOW = run.AVAILABLE_NOW
@@ -45,17 +45,13 @@ def _in_two_runs(
     spark: SparkSession,
     parts: list[DataFrame],
     schema: T.StructType,
-    start: Callable[[DataFrame], StreamingQuery],
-    max_files: int | None = None,
+    start: Callable[[DataFrame, str], StreamingQuery],
 ) -> None:
-    """Append each part to an input folder and let the query catch up."""
-    source = work_dir(spark, "input")
-    for part in parts:
-        part.write.mode("append").parquet(source)
-        reader = spark.readStream.schema(schema)
-        if max_files is not None:
-            reader = reader.option("maxFilesPerTrigger", max_files)
-        run.finish(start(reader.parquet(source)))
+    """Append each part to an input folder and let ``start(stream, checkpoint)`` catch up."""
+    with scratch(spark, "input", "checkpoint") as (source, checkpoint):
+        for part in parts:
+            part.write.mode("append").parquet(source)
+            run.finish(start(spark.readStream.schema(schema).parquet(source), checkpoint))
 
 
 def _halves(df: DataFrame, column: str, at: int) -> list[DataFrame]:
@@ -68,23 +64,24 @@ def _marks(spark: SparkSession, d: str) -> list[DataFrame]:
 
 def log_stream(spark: SparkSession, d: str) -> DataFrame:
     """Log copied by a stream: written, read as it grows, written again."""
-    source, target, checkpoint = (work_dir(spark, n) for n in ("log", "copy", "checkpoint"))
-    log = fx.event_log(spark, d)
-    for part in _halves(log, "offset", _middle(spark, d) // fx.PARTITIONS):
-        sinks.write_log(part, source)
-        stream = sources.read_log(spark, source, streaming=True, topic="events")
-        run.finish(sinks.write_log(stream, target, "idempotent", checkpoint=checkpoint))
+    target = work_dir(spark, "copy")
+    with scratch(spark, "log", "checkpoint") as (source, checkpoint):
+        for part in _halves(fx.event_log(spark, d), "offset", _middle(spark, d) // fx.PARTITIONS):
+            sinks.write_log(part, source)
+            stream = sources.read_log(spark, source, streaming=True, topic="events")
+            run.finish(sinks.write_log(stream, target, "idempotent", checkpoint=checkpoint))
     return batch._log_text(sources.read_log(spark, target))
 
 
 def discovered_partitions_stream(spark: SparkSession, d: str) -> DataFrame:
     """A partition that appears between two runs is picked up; nothing is read twice."""
-    source, root, checkpoint = (work_dir(spark, n) for n in ("log", "positions", "checkpoint"))
-    log = fx.event_log(spark, d)
-    for part in (log.filter(F.col("partition") < 2), log.filter(F.col("partition") == 2)):
-        sinks.write_log(part, source)
-        stream = sources.read_log(spark, source, streaming=True)
-        run.finish(pipes.transactional_pipe(stream, lambda rows: rows.select(*PARTITION_KEYS), root, checkpoint))
+    root = work_dir(spark, "pipe")
+    with scratch(spark, "log", "checkpoint") as (source, checkpoint):
+        for part in _halves(fx.event_log(spark, d), "partition", 2):
+            sinks.write_log(part, source)
+            stream = sources.read_log(spark, source, streaming=True)
+            keys_only = lambda rows: rows.select(*PARTITION_KEYS)
+            run.finish(pipes.transactional_pipe(stream, keys_only, root, checkpoint))
     keys = LOG_SCHEMA[PARTITION_KEYS[0]], LOG_SCHEMA[PARTITION_KEYS[1]]
     rows = pipes.read_pipe(spark, root, T.StructType(list(keys)))
     return batch._short(rows.groupBy(*PARTITION_KEYS).agg(F.count("*").alias("n")))
@@ -92,11 +89,12 @@ def discovered_partitions_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def intake_bound_stream(spark: SparkSession, d: str) -> DataFrame:
     """Intake of one file per micro-batch: rows of every batch add up to the log."""
-    source, root, checkpoint = (work_dir(spark, n) for n in ("log", "pipe", "checkpoint"))
-    for part in _halves(fx.event_log(spark, d), "offset", _middle(spark, d) // fx.PARTITIONS):
-        sinks.write_log(part, source)
-    stream = sources.read_log(spark, source, streaming=True, max_files=1)
-    run.finish(pipes.transactional_pipe(stream, lambda rows: rows.select("partition"), root, checkpoint))
+    root = work_dir(spark, "pipe")
+    with scratch(spark, "log", "checkpoint") as (source, checkpoint):
+        for part in _halves(fx.event_log(spark, d), "offset", _middle(spark, d) // fx.PARTITIONS):
+            sinks.write_log(part, source)
+        stream = sources.read_log(spark, source, streaming=True, max_files=1)
+        run.finish(pipes.transactional_pipe(stream, lambda rows: rows.select("partition"), root, checkpoint))
     batches = sinks.read_batches(spark, root, T.StructType([LOG_SCHEMA["partition"]]))
     return batches.groupBy(F.col("partition").alias("p")).agg(
         F.count("*").alias("n"), (F.count_distinct("batch_id") > 1).alias("several_batches")
@@ -104,22 +102,22 @@ def intake_bound_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def commit_max_stream(spark: SparkSession, d: str) -> DataFrame:
-    root, checkpoint = work_dir(spark, "commits"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "commits")
     _in_two_runs(
         spark, _marks(spark, d), MARK_SCHEMA,
-        lambda s: commits.commit_batches(s, root, checkpoint, AVAILABLE_NOW),
+        lambda s, checkpoint: commits.commit_batches(s, root, checkpoint, AVAILABLE_NOW),
     )
     return batch._short(commits.read_positions(spark, root))
 
 
 def track_commits_stream(spark: SparkSession, d: str) -> DataFrame:
     """Contiguous positions, the later half of the sequence numbers arriving first."""
-    root, checkpoint = work_dir(spark, "commits"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "commits")
     # all marks may wait here, since the first half of the log is missing at first
     limit = 2**31
     _in_two_runs(
         spark, _marks(spark, d)[::-1], MARK_SCHEMA,
-        lambda s: commits.track_commits(s, root, checkpoint, pending_limit=limit, trigger=AVAILABLE_NOW),
+        lambda s, checkpoint: commits.track_commits(s, root, checkpoint, pending_limit=limit, trigger=AVAILABLE_NOW),
     )
     waiting = commits.read_pending(spark, root).groupBy(*PARTITION_KEYS).agg(F.count("*").alias("pending"))
     found = commits.read_committed_positions(spark, root).join(waiting, PARTITION_KEYS, "left")
@@ -128,7 +126,7 @@ def track_commits_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def track_commits_gap_stream(spark: SparkSession, d: str) -> DataFrame:
     """Gaps given up after an hour, judged at the newest time seen, with all input read."""
-    root, checkpoint = work_dir(spark, "commits"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "commits")
     seen = fx.marks(spark, d).filter(F.col("processed_at") <= fx.as_of())
     # a mark at the moment itself sets the stream's clock; its number is taken, so it adds nothing
     tick = (
@@ -138,7 +136,7 @@ def track_commits_gap_stream(spark: SparkSession, d: str) -> DataFrame:
     )
     _in_two_runs(
         spark, [seen.unionByName(tick)], MARK_SCHEMA,
-        lambda s: commits.track_commits(
+        lambda s, checkpoint: commits.track_commits(
             s, root, checkpoint, batch.GAP_TIMEOUT, pending_limit=2**31, trigger=AVAILABLE_NOW
         ),
     )
@@ -147,11 +145,11 @@ def track_commits_gap_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dedup_stream(spark: SparkSession, d: str) -> DataFrame:
-    target, checkpoint = work_dir(spark, "deduped"), work_dir(spark, "checkpoint")
+    target = work_dir(spark, "deduped")
     with run.rocksdb_state(spark):
         _in_two_runs(
             spark, list(fx.redelivered(spark, d)), DELIVERY_SCHEMA,
-            lambda s: pipes.continuous_view(
+            lambda s, checkpoint: pipes.continuous_view(
                 "dedup", s, lambda rows: dedup.dedup_stream(rows, ["k"]), target, checkpoint
             ),
         )
@@ -160,7 +158,7 @@ def dedup_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def idempotent_consume_stream(spark: SparkSession, d: str) -> DataFrame:
     """Redelivered events through a step that fails for some; failures stay out of the ledger."""
-    root, checkpoint = work_dir(spark, "consumed"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "consumed")
 
     def process(rows: DataFrame) -> DataFrame:
         # an event whose number ends in 35 fails on its first delivery and works on the second
@@ -169,17 +167,17 @@ def idempotent_consume_stream(spark: SparkSession, d: str) -> DataFrame:
 
     _in_two_runs(
         spark, list(fx.redelivered(spark, d)), DELIVERY_SCHEMA,
-        lambda s: dedup.idempotent_consume(s, "k", ["arrival"], process, root, checkpoint),
+        lambda s, checkpoint: dedup.idempotent_consume(s, "k", ["arrival"], process, root, checkpoint),
     )
     return dedup.read_results(spark, root, DELIVERY_SCHEMA)
 
 
 def retry_stream(spark: SparkSession, d: str) -> DataFrame:
-    root, checkpoint = work_dir(spark, "retried"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "retried")
     rows = fx.outcomes(spark, d)
     _in_two_runs(
         spark, _halves(rows, "event_id", _middle(spark, d)), OUTCOME_SCHEMA,
-        lambda s: pipes.retry_sink(s, batch.retried, root, checkpoint),
+        lambda s, checkpoint: pipes.retry_sink(s, batch.retried, root, checkpoint),
     )
     done = pipes.read_pipe(spark, root, T.StructType([
         *OUTCOME_SCHEMA.fields,
@@ -193,18 +191,17 @@ def retry_stream(spark: SparkSession, d: str) -> DataFrame:
 def route_stream(spark: SparkSession, d: str) -> DataFrame:
     """Events routed by the health that a stream of attempts has left, in one micro-batch."""
     health_root, root = work_dir(spark, "health"), work_dir(spark, "routed")
-    checkpoints = work_dir(spark, "checkpoint"), work_dir(spark, "checkpoint")
     now = batch._now(spark, d)
     _in_two_runs(
         spark, _halves(fx.attempts(spark, d), "attempt_no", _middle(spark, d)), ATTEMPT_SCHEMA,
-        lambda s: health.health_stream(s, health_root, checkpoints[0]),
+        lambda s, checkpoint: health.health_stream(s, health_root, checkpoint),
     )
     rows = fx.table(spark, d, "events").select("event_id", "event_type")
     _in_two_runs(
         spark, [rows], rows.schema,
-        lambda s: routing.route_stream(
+        lambda s, checkpoint: routing.route_stream(
             s, lambda: health.read_health(spark, health_root, now), batch._scripted_error, lambda: now,
-            fx.PARTITIONS, root, checkpoints[1],
+            fx.PARTITIONS, root, checkpoint,
         ),
     )
     schema = T.StructType([
@@ -219,13 +216,13 @@ def route_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def transactional_pipe_stream(spark: SparkSession, d: str) -> DataFrame:
     """Transformed messages of committed transactions, with a transaction that never committed."""
-    root, checkpoint = work_dir(spark, "pipe"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "pipe")
 
     def transform(rows: DataFrame) -> DataFrame:
         return rows.select(F.lit("test-key").alias("k"), op.prefix_value("test-value with value:").alias("v"))
 
     parts = _halves(fx.event_log(spark, d), "offset", _middle(spark, d) // fx.PARTITIONS)
-    _in_two_runs(spark, parts, LOG_SCHEMA, lambda s: pipes.transactional_pipe(s, transform, root, checkpoint))
+    _in_two_runs(spark, parts, LOG_SCHEMA, lambda s, checkpoint: pipes.transactional_pipe(s, transform, root, checkpoint))
     sinks.stage_batch(transform(fx.event_log(spark, d)), root, 1_000_000)
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType())])
     return pipes.read_pipe(spark, root, schema)
@@ -233,11 +230,11 @@ def transactional_pipe_stream(spark: SparkSession, d: str) -> DataFrame:
 
 def micro_batch_stream(spark: SparkSession, d: str) -> DataFrame:
     """Chunks of ten per micro-batch: full but for the last one, and no row lost."""
-    root, checkpoint = work_dir(spark, "chunks"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "chunks")
     parts = _halves(fx.event_log(spark, d), "offset", _middle(spark, d) // fx.PARTITIONS)
     _in_two_runs(
         spark, parts, LOG_SCHEMA,
-        lambda s: pipes.micro_batch_sink(
+        lambda s, checkpoint: pipes.micro_batch_sink(
             s.select(*PARTITION_KEYS, "offset"), ["offset", "partition"], root, checkpoint, trigger=AVAILABLE_NOW
         ),
     )
@@ -248,21 +245,21 @@ def micro_batch_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cdc_mirror_stream(spark: SparkSession, d: str) -> DataFrame:
-    root, checkpoint = work_dir(spark, "mirror"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "mirror")
     _in_two_runs(
         spark, _halves(fx.change_log(spark, d), "offset", 20_000_000), LOG_SCHEMA,
-        lambda s: mirror.cdc_mirror(s, batch.ROW_SCHEMA, ["id"], root, checkpoint),
+        lambda s, checkpoint: mirror.cdc_mirror(s, batch.ROW_SCHEMA, ["id"], root, checkpoint),
     )
     return batch._customer(mirror.read_mirror(spark, root, batch.ROW_SCHEMA, ["id"]))
 
 
 def continuous_view_stream(spark: SparkSession, d: str) -> DataFrame:
     """Queue of JSON events as a table: detached after the first part, then attached again."""
-    target, checkpoint = work_dir(spark, "view"), work_dir(spark, "checkpoint")
+    target = work_dir(spark, "view")
     parts = _halves(fx.faulty_log(spark, d), "offset", _middle(spark, d) // fx.PARTITIONS)
     _in_two_runs(
         spark, parts, LOG_SCHEMA,
-        lambda s: pipes.continuous_view(
+        lambda s, checkpoint: pipes.continuous_view(
             "queue", s, lambda log: sources.json_queue(log, batch.QUEUE_SCHEMA), target, checkpoint
         ),
     )
@@ -273,22 +270,22 @@ def continuous_view_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def partition_health_stream(spark: SparkSession, d: str) -> DataFrame:
-    root, checkpoint = work_dir(spark, "health"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "health")
     attempts = fx.attempts(spark, d, batch.CLIMBING)
     _in_two_runs(
         spark, _halves(attempts, "attempt_no", _middle(spark, d)), ATTEMPT_SCHEMA,
-        lambda s: health.health_stream(s, root, checkpoint),
+        lambda s, checkpoint: health.health_stream(s, root, checkpoint),
     )
     state = health.read_health(spark, root, batch._now(spark, d))
     return batch._short(state.withColumn("avg_latency_ms", F.round("avg_latency_ms", 6)))
 
 
 def delivery_metrics_stream(spark: SparkSession, d: str) -> DataFrame:
-    root, checkpoint = work_dir(spark, "metrics"), work_dir(spark, "checkpoint")
+    root = work_dir(spark, "metrics")
     attempts = fx.attempts(spark, d)
     _in_two_runs(
         spark, _halves(attempts, "attempt_no", _middle(spark, d)), ATTEMPT_SCHEMA,
-        lambda s: health.metrics_stream(s, root, checkpoint),
+        lambda s, checkpoint: health.metrics_stream(s, root, checkpoint),
     )
     return batch.rounded_metrics(health.read_metrics(spark, root))
 

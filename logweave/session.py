@@ -60,6 +60,17 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
             drop_table(spark, path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, *names: str) -> Iterator[list[str]]:
+    """Fresh paths for the block, deleted when it ends."""
+    paths = [work_dir(spark, name) for name in names]
+    try:
+        yield paths
+    finally:
+        for path in paths:
+            drop_table(spark, path)
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Delete the files of a table; nothing happens if there are none."""
     file_system, hadoop_path = _resolve(spark, path)

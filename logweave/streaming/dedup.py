@@ -28,8 +28,8 @@ def dedup_stream(
 
     Copies of one key are first removed within ``slices`` slices of the input tasks and then over
     all, so that a key holding much of the stream does not travel to a single task. The first step
-    keeps a key state of its own; ``None`` leaves it out where no key is that frequent. Rows
-    without a key are left out.
+    keeps a key state of its own, which nearly doubles the cost; ``None`` leaves it out where no key
+    is that frequent. Rows without a key are left out.
     """
     keyed = stream.dropna(subset=key)
     if horizon is not None:

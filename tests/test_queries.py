@@ -1,11 +1,13 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import sys
 import time
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from logweave import session
 from tools.check import TABLES, compare
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -63,3 +65,27 @@ def test_gap_search_shuffles_its_blocks_once(spark):
     df = entry.queries()["seq_gaps"](spark, SF_DIR)
     df.collect()
     assert "ReusedExchange" in plan_of(df)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "commit_contiguous", "commit_gap_timeout", "skipped_gaps", "clean_marks", "oldest_pending",
+        "pause_holds", "stamp_sequence", "chunked", "route_batch", "upsert_table", "track_commits_gap_stream",
+        "idempotent_consume_stream",
+    ],
+)
+def test_query_with_nothing_small(spark, con, monkeypatch, name):
+    """The way beyond the size check: no local relations and no broadcasts, and the same results."""
+    small = session.small_side
+    for module in list(sys.modules.values()):
+        if getattr(module, "__name__", "").startswith("logweave") and getattr(module, "small_side", None) is small:
+            monkeypatch.setattr(module, "small_side", lambda df, max_rows=0: df)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        begin = time.time()
+        result = compare(con, name, entry.queries()[name](spark, SF_DIR), begin)
+    finally:
+        spark.conf.unset(threshold)
+    assert ": ok" in result, result

@@ -11,6 +11,7 @@ from logweave import session
 from tools.check import TABLES, compare
 
 SF_DIR = "/root/testdata/sf0.001"
+LIBRARY = {**entry.BATCH_QUERIES, **entry.STREAM_QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,8 @@ def con():
 
 
 def test_all_queries_have_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(LIBRARY) == set(entry.ORACLES) | set(entry.STREAM_ORACLES)
+    assert set(LIBRARY) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -34,7 +36,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(LIBRARY))
 def test_query(spark, con, name):
     begin = time.time()
     df = entry.queries()[name](spark, SF_DIR)

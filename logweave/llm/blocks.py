@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 4 << 20
@@ -43,3 +43,31 @@ def mixed(values: np.ndarray) -> np.ndarray:
 def word_count(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def with_ids(df: DataFrame, ids: DataFrame, column: str, largest: int = 500_000) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is among ``ids`` (one column of that name, written to storage).
+
+    Up to ``largest`` ids are counted first and then broadcast, so the rows stay where they are;
+    more are joined by a shuffle.
+    """
+    if ids.limit(largest + 1).count() <= largest:
+        ids = F.broadcast(ids)
+    return df.join(ids, column, "left_semi")
+
+
+def groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """Complete groups of equal ``column`` from batches that are sorted by it."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(column).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for start, stop in zip(cuts, cuts[1:], strict=False):
+            if kept and kept[-1].column(column)[0].as_py() != keys[start]:
+                yield pa.Table.from_batches(kept)
+                kept = []
+            kept.append(batch.slice(start, stop - start))
+    if kept:
+        yield pa.Table.from_batches(kept)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import byte_bpe, exact_topk, mixing, token_counts
+from logweave.llm import byte_bpe, exact_topk, mixing, near_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,11 +35,16 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 % of their three-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, similarity=0.85)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents by source weights takes of each."""
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_top_k, op5_byte_bpe, op8_mixing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_top_k, op5_byte_bpe, op6_near_dedup, op8_mixing)}
 
 ORACLES = {"op2_exact_top_k": exact_topk.TOP_K_SQL, "op8_mixing": mixing.MIX_SQL}

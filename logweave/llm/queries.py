@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import byte_bpe, exact_topk, mixing, near_dedup, token_counts
+from logweave.llm import byte_bpe, exact_topk, mixing, near_dedup, suffix_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,18 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without its strings of 200 bytes that start elsewhere too."""
+    rest = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 200)
+    return rest.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the bytes that they decode to."""
     encoded = byte_bpe.encode_texts(
@@ -45,6 +57,6 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_top_k, op5_byte_bpe, op6_near_dedup, op8_mixing)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_top_k, op4_suffix_dedup, op5_byte_bpe, op6_near_dedup, op8_mixing)}
 
 ORACLES = {"op2_exact_top_k": exact_topk.TOP_K_SQL, "op8_mixing": mixing.MIX_SQL}

@@ -20,7 +20,7 @@ from logweave.llm.components import connected_components
 from logweave.session import materialize
 
 REGISTERS, MANTISSA = 256, 10  # buckets of a sketch, and bits kept behind the leading one
-BANDS, BAND_ROWS = 32, 5
+MISSED = 5e-6  # chance at most that a pair of just the asked similarity shares no band
 REMEMBERED = 400_000
 # members of one bucket that are compared with each other in one group
 TOGETHER = 512
@@ -78,11 +78,25 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def band_rows(similarity: float) -> int:
+    """The longest band with which pairs of this similarity are still found."""
+    rows = 1
+    while (1 - similarity ** (rows + 1)) ** (REGISTERS // (rows + 1)) <= MISSED:
+        rows += 1
+    return rows
+
+
+def cut_bands(sketches: np.ndarray, rows: int) -> np.ndarray:
+    """Sketches as sketch x band x row."""
+    count = REGISTERS // rows
+    return sketches[:, : count * rows].reshape(len(sketches), count, rows)
+
+
+def band_keys(sketches: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Key of every band of every sketch, and whether the band has any register."""
-    bands = sketches[:, : BANDS * BAND_ROWS].reshape(len(sketches), BANDS, BAND_ROWS)
-    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:2])
-    for place in range(BAND_ROWS):
+    bands = cut_bands(sketches, rows)
+    keys = np.broadcast_to(np.arange(1, bands.shape[1] + 1, dtype=np.uint64), bands.shape[:2])
+    for place in range(rows):
         keys = mixed(keys + bands[:, :, place])
     return keys.view(np.int64), bands.any(axis=2)
 
@@ -107,7 +121,7 @@ def _sketch(array: pa.Array) -> np.ndarray:
 
 
 def sketch_documents(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, set_key, sketch``; the last two are null for an empty set."""
+    """``doc_id, n_shingles, set_key, sketch, row``; key and sketch are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = load_shingler(size)
@@ -126,7 +140,8 @@ def sketch_documents(docs: DataFrame, size: int) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary")
+    sketched = rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary")
+    return sketched.withColumn("row", F.monotonically_increasing_id())
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -144,9 +159,14 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    """``id``: the distinct ids of pairs ``a, b``."""
+    return materialize(pairs.select("a").union(pairs.select("b")).distinct().toDF("id"), "pair-ids")
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
+    ids = ends(pairs)
     texts = with_ids(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), ids, "id")
     sets = full_sets(texts, size).dropDuplicates(["id"])
     percent = round(similarity * 100)
@@ -169,14 +189,15 @@ def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
                 near = estimates(_sketch(batch.column("x")), _sketch(batch.column("y"))) >= least
                 yield batch.filter(pa.array(near)).select(["a", "b"])
 
-    both = pairs.join(sketches.toDF("a", "x"), "a").join(sketches.toDF("b", "y"), "b")
+    asked = with_ids(sketches, ends(pairs), "id")
+    both = pairs.join(asked.toDF("a", "x"), "a").join(asked.toDF("b", "y"), "b")
     return both.mapInArrow(run, "a long, b long")
 
 
-def pairs_within(members: DataFrame, least: float) -> DataFrame:
+def pairs_within(members: DataFrame, sketches: DataFrame, least: float, rows_of_band: int) -> DataFrame:
     """Likely pairs of members of a bucket that are in different components, each pair once.
 
-    ``members``: ``key, band, id, component, sketch``. In every bucket the members of its most frequent component are
+    ``members``: ``key, band, id, component``; ``sketches``: ``id, sketch``. In every bucket the members of its most frequent component are
     dealt into blocks, the others too; a group is a block of the others with any block. A pair that
     shares several bands is taken from the first.
     """
@@ -195,7 +216,7 @@ def pairs_within(members: DataFrame, least: float) -> DataFrame:
         dealt.filter("in_main")
         .withColumn("j", F.pmod(F.xxhash64("id"), F.col("mains")).cast("int"))
         .withColumn("i", F.explode(F.expr("sequence(0, others - 1)")))
-        .select("key", "i", "j", "band", "id", "component", "sketch", F.lit(1).alias("side"))
+        .select("key", "i", "j", "band", "id", "component", F.lit(1).alias("side"))
     )
     own = F.pmod(F.xxhash64("id"), F.col("others")).cast("int")
     asked = (  # a block of others as the one side
@@ -203,15 +224,16 @@ def pairs_within(members: DataFrame, least: float) -> DataFrame:
         .withColumn("i", own)
         .withColumn("j", F.explode(F.expr("sequence(0, mains + others - 1)")))
         .filter("j < mains or j - mains >= i")
-        .select("key", "i", "j", "band", "id", "component", "sketch", F.lit(0).alias("side"))
+        .select("key", "i", "j", "band", "id", "component", F.lit(0).alias("side"))
     )
     among = (  # and as the other side, once for each pair of blocks
         dealt.filter("not in_main")
         .withColumn("j", F.col("mains") + own)
         .withColumn("i", F.explode(F.expr("sequence(0, j - mains)")))
-        .select("key", "i", "j", "band", "id", "component", "sketch", F.lit(1).alias("side"))
+        .select("key", "i", "j", "band", "id", "component", F.lit(1).alias("side"))
     )
     rows = mains.union(asked).union(among).withColumn("group", F.xxhash64("key", "i", "j"))
+    rows = rows.drop("key", "i", "j").join(sketches, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, "group"):
@@ -219,13 +241,13 @@ def pairs_within(members: DataFrame, least: float) -> DataFrame:
             ids, parts = group.column("id").to_numpy(), group.column("component").to_numpy()
             sketches, band = _sketch(group.column("sketch")), group.column("band")[0].as_py()
             left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            bands = cut_bands(sketches, rows_of_band)
             found: list[tuple[int, int]] = []
             for x in left:
                 y = right[parts[right] != parts[x]]
                 y = y[estimates(sketches[x], sketches[y]) >= least]
                 if not len(y):
                     continue
-                bands = sketches[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS)
                 shared = (bands[y] == bands[x]).all(axis=2) & bands[x].any(axis=1)
                 y = y[shared.argmax(axis=1) == band]
                 found.extend((min(ids[x], ids[z]), max(ids[x], ids[z])) for z in y)
@@ -234,7 +256,7 @@ def pairs_within(members: DataFrame, least: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     dealt_out = rows.repartition("group").sortWithinPartitions("group")
-    return dealt_out.drop("key", "i", "j").mapInArrow(run, "a long, b long").distinct()
+    return dealt_out.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -250,21 +272,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     smallest id; after that only members of different components can add anything, and only those that are
     likely by their sketches are confirmed. All links are confirmed on full sets.
     """
-    least = least_estimate(similarity)
+    least, rows_of_band = least_estimate(similarity), band_rows(similarity)
     sketched = materialize(sketch_documents(docs.select("doc_id", "text"), size), "sketches")
     filled = sketched.filter("set_key is not null and doc_id is not null")
-    classes = materialize(filled.groupBy("set_key").agg(F.min("doc_id").alias("id")), "set-classes")
+    first = F.min(F.struct("doc_id", "row")).alias("first")
+    classes = materialize(
+        filled.groupBy("set_key").agg(first).select("set_key", F.col("first.doc_id").alias("id"), "first.row"),
+        "set-classes",
+    )
     sketches = materialize(
-        filled.join(classes, (filled.set_key == classes.set_key) & (filled.doc_id == classes.id))
-        .select("id", "sketch")
-        .dropDuplicates(["id"]),
-        "set-sketches",
+        with_ids(filled, classes.select("row"), "row").select(F.col("doc_id").alias("id"), "sketch"), "set-sketches"
     )
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keys, there = band_keys(_sketch(batch.column("sketch")))
+                keys, there = band_keys(_sketch(batch.column("sketch")), rows_of_band)
                 row, band = np.nonzero(there)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -281,7 +304,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
         buckets.join(firsts.filter("first < last"), "key").filter("id > first").select("key", "band", "id", "first"),
         "bucket-members",
     )
-    stars = members.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    stars = materialize(members.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "stars")
     links = materialize(
         confirmed(docs, materialize(likely(stars, sketches, least), "likely-pairs"), size, similarity), "star-links"
     )
@@ -290,10 +313,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
         "key", "band", "id", F.coalesce("component", "id").alias("component")
     )
     mixed_buckets = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    open_members = (
-        placed.join(mixed_buckets.filter("x < y").select("key"), "key").join(sketches, "id")
-    )
-    rest = materialize(pairs_within(materialize(open_members, "open-members"), least), "rest-pairs")
+    open_members = materialize(placed.join(mixed_buckets.filter("x < y").select("key"), "key"), "open-members")
+    rest = materialize(pairs_within(open_members, sketches, least, rows_of_band), "rest-pairs")
     final = connected_components(links.union(confirmed(docs, rest, size, similarity)))
     of_class = classes.join(final, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
     linked = filled.join(of_class, "set_key").select("doc_id", "n_shingles", "component_id")

@@ -187,7 +187,10 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     often = rows.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("context").alias("x"), F.max("context").alias("y")
     )
-    often = often.filter("n > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
+    # written, so that a hot anchor's rows meet a plain shuffle side and can be split among tasks
+    often = materialize(
+        often.filter("n > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed")), "repeated-anchors"
+    )
     placed = rows.drop("context").join(often, "anchor")
     hits = materialize(placed, "anchors").withColumns(
         {

@@ -19,7 +19,7 @@ from logweave.llm.blocks import WORD, groups, mixed, text_blocks, with_ids
 from logweave.llm.components import connected_components
 from logweave.session import materialize
 
-REGISTERS, MANTISSA = 256, 10  # buckets of a sketch, and bits kept behind the leading one
+REGISTERS, MANTISSA = 512, 10  # buckets of a sketch, and bits kept behind the leading one
 MISSED = 5e-6  # chance at most that a pair of just the asked similarity shares no band
 REMEMBERED = 400_000
 # members of one bucket that are compared with each other in one group
@@ -78,25 +78,27 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_rows(similarity: float) -> int:
-    """The longest band with which pairs of this similarity are still found."""
-    rows = 1
-    while (1 - similarity ** (rows + 1)) ** (REGISTERS // (rows + 1)) <= MISSED:
-        rows += 1
-    return rows
+def band_shape(similarity: float) -> tuple[int, int]:
+    """Number of bands and their length: the longest bands with which pairs of this similarity are still found."""
+    best = (1, 1)
+    for rows in range(1, 33):
+        bands = math.ceil(math.log(MISSED) / math.log1p(-(similarity**rows)))
+        if bands * rows > REGISTERS:
+            break
+        best = (bands, rows)
+    return best
 
 
-def cut_bands(sketches: np.ndarray, rows: int) -> np.ndarray:
+def cut_bands(sketches: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
     """Sketches as sketch x band x row."""
-    count = REGISTERS // rows
-    return sketches[:, : count * rows].reshape(len(sketches), count, rows)
+    return sketches[:, : shape[0] * shape[1]].reshape(len(sketches), *shape)
 
 
-def band_keys(sketches: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+def band_keys(sketches: np.ndarray, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Key of every band of every sketch, and whether the band has any register."""
-    bands = cut_bands(sketches, rows)
+    bands = cut_bands(sketches, shape)
     keys = np.broadcast_to(np.arange(1, bands.shape[1] + 1, dtype=np.uint64), bands.shape[:2])
-    for place in range(rows):
+    for place in range(shape[1]):
         keys = mixed(keys + bands[:, :, place])
     return keys.view(np.int64), bands.any(axis=2)
 
@@ -194,7 +196,7 @@ def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def pairs_within(members: DataFrame, sketches: DataFrame, least: float, rows_of_band: int) -> DataFrame:
+def pairs_within(members: DataFrame, sketches: DataFrame, least: float, shape: tuple[int, int]) -> DataFrame:
     """Likely pairs of members of a bucket that are in different components, each pair once.
 
     ``members``: ``key, band, id, component``; ``sketches``: ``id, sketch``. In every bucket the members of its most frequent component are
@@ -241,7 +243,7 @@ def pairs_within(members: DataFrame, sketches: DataFrame, least: float, rows_of_
             ids, parts = group.column("id").to_numpy(), group.column("component").to_numpy()
             sketches, band = _sketch(group.column("sketch")), group.column("band")[0].as_py()
             left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-            bands = cut_bands(sketches, rows_of_band)
+            bands = cut_bands(sketches, shape)
             found: list[tuple[int, int]] = []
             for x in left:
                 y = right[parts[right] != parts[x]]
@@ -272,7 +274,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     smallest id; after that only members of different components can add anything, and only those that are
     likely by their sketches are confirmed. All links are confirmed on full sets.
     """
-    least, rows_of_band = least_estimate(similarity), band_rows(similarity)
+    least, shape = least_estimate(similarity), band_shape(similarity)
     sketched = materialize(sketch_documents(docs.select("doc_id", "text"), size), "sketches")
     filled = sketched.filter("set_key is not null and doc_id is not null")
     first = F.min(F.struct("doc_id", "row")).alias("first")
@@ -287,7 +289,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keys, there = band_keys(_sketch(batch.column("sketch")), rows_of_band)
+                keys, there = band_keys(_sketch(batch.column("sketch")), shape)
                 row, band = np.nonzero(there)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -314,7 +316,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     )
     mixed_buckets = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     open_members = materialize(placed.join(mixed_buckets.filter("x < y").select("key"), "key"), "open-members")
-    rest = materialize(pairs_within(open_members, sketches, least, rows_of_band), "rest-pairs")
+    rest = materialize(pairs_within(open_members, sketches, least, shape), "rest-pairs")
     final = connected_components(links.union(confirmed(docs, rest, size, similarity)))
     of_class = classes.join(final, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
     linked = filled.join(of_class, "set_key").select("doc_id", "n_shingles", "component_id")

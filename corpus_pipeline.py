@@ -6,10 +6,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import byte_bpe, mixing
+from logweave.llm import byte_bpe, language, mixing, near_dedup, private_data
+from logweave.llm.blocks import with_ids
+from logweave.llm.queries import SURROGATE_KEY
 from logweave.session import materialize
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is sure enough; texts without letters go."""
+    return language.document_languages(docs, docs.columns).filter("accepted").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares 80 % of its five-word shingles."""
+    found = near_dedup.near_duplicates(docs, size=5, similarity=0.8)
+    dropped = materialize(found.filter("not kept").select("doc_id"), "dropped-ids")
+    left = with_ids(docs, dropped, "doc_id", "left_anti")
+    # rows that repeat a kept id are one document too
+    again = docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").select("doc_id")
+    again = materialize(again, "repeated-ids")
+    least = with_ids(left, again, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return with_ids(left, again, "doc_id", "left_anti").select(*docs.columns).union(least.select("row.*"))
+
+
+def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data and secrets replaced."""
+    return private_data.replace_private_data(docs, SURROGATE_KEY).select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix to source weights takes them."""
     return mixing.mix_documents(docs)
@@ -23,7 +47,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-STAGES = [("mix_sources", mix_sources), ("encode", encode)]
+STAGES = [
+    ("identify_language", identify_language),
+    ("drop_near_duplicates", drop_near_duplicates),
+    ("replace_private_data", replace_private_data),
+    ("mix_sources", mix_sources),
+    ("encode", encode),
+]
 
 # none of the statistics behind language, near-duplicate and replacement decisions fits into SQL
 ORACLE_SQL = None

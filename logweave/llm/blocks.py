@@ -45,15 +45,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def with_ids(df: DataFrame, ids: DataFrame, column: str, largest: int = 500_000) -> DataFrame:
-    """The rows of ``df`` whose ``column`` is among ``ids`` (one column of that name, written to storage).
+def with_ids(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi", largest: int = 500_000) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is among ``ids`` (one column of that name), or is not (``left_anti``).
 
-    Up to ``largest`` ids are counted first and then broadcast, so the rows stay where they are;
-    more are joined by a shuffle.
+    ``ids`` should be written to storage, as up to ``largest`` of them are counted first and then
+    broadcast, so the rows stay where they are; more are joined by a shuffle.
     """
     if ids.limit(largest + 1).count() <= largest:
         ids = F.broadcast(ids)
-    return df.join(ids, column, "left_semi")
+    return df.join(ids, column, how)
 
 
 def groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:

@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import byte_bpe, exact_topk, mixing, near_dedup, suffix_dedup, token_counts
+from logweave.llm import (
+    byte_bpe,
+    curve_search,
+    exact_topk,
+    language,
+    mixing,
+    near_dedup,
+    private_data,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
+
+# stands for the secret that a deployment would pass
+SURROGATE_KEY = b"replace-me"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +37,14 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a lexicon learned from the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    lexicon = toxicity.learn_lexicon(docs, labels.filter(~toxicity.held_out()))
+    scored = toxicity.score_toxicity(docs, lexicon, 0.3)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of every document without its strings of 200 bytes that start elsewhere too."""
     rest = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 200)
@@ -52,11 +74,47 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, similarity=0.85)
 
 
+def op7_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data and secrets replaced."""
+    return private_data.replace_private_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all documents by source weights takes of each."""
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_exact_top_k, op4_suffix_dedup, op5_byte_bpe, op6_near_dedup, op8_mixing)}
+def op9_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every 20th id."""
+    return curve_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, and whether it is sure enough to keep the document."""
+    return language.document_languages(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, with the text model of the documents."""
+    model = language.fit_text_model(table(spark, sf_dir, "documents"))
+    return language.page_languages(table(spark, sf_dir, "pages"), model)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_exact_top_k,
+        op3_toxicity,
+        op4_suffix_dedup,
+        op5_byte_bpe,
+        op6_near_dedup,
+        op7_private_data,
+        op8_mixing,
+        op9_curve_search,
+        op10_language_id,
+        page_language_id,
+    )
+}
 
 ORACLES = {"op2_exact_top_k": exact_topk.TOP_K_SQL, "op8_mixing": mixing.MIX_SQL}

@@ -6,7 +6,6 @@ import hashlib
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -15,13 +14,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.blocks import WORD, groups, mixed, text_blocks, with_ids
+from logweave.llm.blocks import WORD, groups, mixed, text_blocks, with_ids, worker_state
 from logweave.llm.components import connected_components
 from logweave.session import materialize
 
-REGISTERS, MANTISSA = 512, 10  # buckets of a sketch, and bits kept behind the leading one
+REGISTERS, MANTISSA = 384, 10  # buckets of a sketch, and bits kept behind the leading one
 MISSED = 5e-6  # chance at most that a pair of just the asked similarity shares no band
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 # members of one bucket that are compared with each other in one group
 TOGETHER = 512
 # chance that two different minima share a register: both have the same leading zeros and mantissa
@@ -58,23 +57,27 @@ class Shingler:
         return out
 
 
-@lru_cache(maxsize=2)
-def load_shingler(size: int) -> Shingler:
-    """The shingler of a worker."""
-    return Shingler(size)
+# order in which each register looks for a filled one
+_look = mixed(np.arange(REGISTERS * REGISTERS)).reshape(REGISTERS, REGISTERS)
 
 
 def registers(shingles: np.ndarray) -> np.ndarray:
-    """HyperMinHash of a set: per bucket the minimum's leading zeros and mantissa; 0 where it is empty.
+    """HyperMinHash of a set that isn't empty: per bucket the minimum's leading zeros and mantissa.
 
-    ``shingles`` are sorted, so a bucket's first value is its minimum.
+    ``shingles`` are sorted, so the first with a remainder is a bucket's minimum. An empty bucket takes the register of the
+    filled one that comes first in an order of its own. So every register agrees with the chance of the
+    similarity, also those of small sets.
     """
-    out = np.zeros(REGISTERS, np.uint16)
-    bucket, first = np.unique(shingles & np.uint64(REGISTERS - 1), return_index=True)
+    bucket, first = np.unique(shingles % np.uint64(REGISTERS), return_index=True)
     values = (shingles[first] >> np.uint64(12)).astype(np.float64)
     fraction, exponent = np.frexp(values)
     mantissa = np.clip((2 * fraction - 1) * (1 << MANTISSA), 0, None).astype(np.uint16)
-    out[bucket.astype(np.int64)] = ((53 - exponent).astype(np.uint16) << MANTISSA) | mantissa
+    filled = ((53 - exponent).astype(np.uint16) << MANTISSA) | mantissa
+    out, bucket = np.zeros(REGISTERS, np.uint16), bucket.astype(np.int64)
+    out[bucket] = filled
+    empty = np.setdiff1d(np.arange(REGISTERS), bucket, assume_unique=True)
+    if len(empty):
+        out[empty] = filled[_look[np.ix_(empty, bucket)].argmin(axis=1)]
     return out
 
 
@@ -94,20 +97,18 @@ def cut_bands(sketches: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
     return sketches[:, : shape[0] * shape[1]].reshape(len(sketches), *shape)
 
 
-def band_keys(sketches: np.ndarray, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Key of every band of every sketch, and whether the band has any register."""
+def band_keys(sketches: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """Key of every band of every sketch."""
     bands = cut_bands(sketches, shape)
     keys = np.broadcast_to(np.arange(1, bands.shape[1] + 1, dtype=np.uint64), bands.shape[:2])
     for place in range(shape[1]):
         keys = mixed(keys + bands[:, :, place])
-    return keys.view(np.int64), bands.any(axis=2)
+    return keys.view(np.int64)
 
 
 def estimates(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Jaccard similarity of sketches along the last axis, corrected for registers that agree by chance."""
-    there = (left != 0) | (right != 0)
-    agree = ((left == right) & there).sum(axis=-1)
-    share = agree / np.maximum(there.sum(axis=-1), 1)
+    share = (left == right).mean(axis=-1)
     return (share - COLLISION) / (1 - COLLISION)
 
 
@@ -126,7 +127,7 @@ def sketch_documents(docs: DataFrame, size: int) -> DataFrame:
     """``doc_id, n_shingles, set_key, sketch, row``; key and sketch are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = load_shingler(size)
+        shingler = worker_state(Shingler, size)
         for block in text_blocks(batches):
             sets = shingler.sets(block.column("text").to_pylist())
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
@@ -150,7 +151,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
     """``id, shingles``: the whole shingle set of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = load_shingler(size)
+        shingler = worker_state(Shingler, size)
         for block in text_blocks(batches):
             sets = shingler.sets(block.column("text").to_pylist())
             offsets = np.cumsum([0, *map(len, sets)], dtype=np.int32)
@@ -250,7 +251,7 @@ def pairs_within(members: DataFrame, sketches: DataFrame, least: float, shape: t
                 y = y[estimates(sketches[x], sketches[y]) >= least]
                 if not len(y):
                     continue
-                shared = (bands[y] == bands[x]).all(axis=2) & bands[x].any(axis=1)
+                shared = (bands[y] == bands[x]).all(axis=2)
                 y = y[shared.argmax(axis=1) == band]
                 found.extend((min(ids[x], ids[z]), max(ids[x], ids[z])) for z in y)
             if found:
@@ -289,11 +290,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keys, there = band_keys(_sketch(batch.column("sketch")), shape)
-                row, band = np.nonzero(there)
+                keys = band_keys(_sketch(batch.column("sketch")), shape)
+                row, band = np.indices(keys.shape).reshape(2, -1)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(keys[row, band]),
+                        pa.array(keys.ravel()),
                         pa.array(band.astype(np.int32)),
                         batch.column("id").take(pa.array(row)),
                     ],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,12 +10,26 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 # the word separators of every operator that counts or shingles words: blank and \t \n \v \f \r
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_state: dict = {}
+
+
+def worker_state(make: Callable, *args):
+    """What ``make(*args)`` returns, kept by a Python worker until it needs another one.
+
+    Workers outlive stages, so remembered tables of several operators would add up.
+    """
+    if (make, args) not in _state:
+        _state.clear()
+        _state[make, args] = make(*args)
+    return _state[make, args]
+
+
 def text_blocks(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -12,11 +11,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from logweave.llm.blocks import mixed, text_blocks
+from logweave.llm.blocks import mixed, text_blocks, worker_state
 
 NONE = np.int32(2**31 - 1)
 # pieces that a worker remembers, rows that are merged together, and the longest row kept in a matrix
-REMEMBERED, ROWS, LONGEST = 400_000, 16_384, 512
+REMEMBERED, ROWS, LONGEST = 150_000, 16_384, 512
 
 
 class PairTable:
@@ -192,9 +191,8 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
 def load_encoder(path: str, pattern: str) -> Encoder:
-    """The encoder of a file of base64 tokens and ranks; kept by each worker."""
+    """The encoder of a file of base64 tokens and ranks."""
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return Encoder(ranks, pattern)
@@ -213,7 +211,7 @@ def encode_texts(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = load_encoder(path, pattern)
+        encoder = worker_state(load_encoder, path, pattern)
         for block in text_blocks(batches, text_col):
             ids = encoder.encode_block([text or "" for text in block.column(text_col).to_pylist()])
             yield pa.RecordBatch.from_arrays(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from operator import mul
 
 import pyarrow as pa
@@ -13,9 +12,9 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.blocks import text_blocks
+from logweave.llm.blocks import text_blocks, worker_state
 
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 # Merges never reach across these cuts: before a blank that follows something else, and around a line end.
 PRE_TOKENS = re.compile("\n|[ ▁]+[^ ▁\n]*|[^ ▁\n]+")
 
@@ -54,12 +53,6 @@ class PieceCounter:
         return [sum(map(mul, f.values(), map(self.known.__getitem__, f))) for f in frequencies]
 
 
-@lru_cache(maxsize=2)
-def load_counter(path: str) -> PieceCounter:
-    """The counter of a model; kept by each worker."""
-    return PieceCounter(path)
-
-
 def count_tokens(
     docs: DataFrame, path: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -76,7 +69,7 @@ def count_tokens(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = load_counter(path)
+        counter = worker_state(PieceCounter, path)
         for block in text_blocks(batches, text_col):
             tokens = counter.count_block([text or "" for text in block.column(text_col).to_pylist()])
             yield pa.RecordBatch.from_arrays(

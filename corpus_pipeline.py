@@ -14,7 +14,11 @@ from logweave.session import materialize
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is sure enough; texts without letters go."""
-    return language.document_languages(docs, docs.columns).filter("accepted").select(*docs.columns)
+    # only keys of rejected rows travel, the texts stay where they are
+    keyed = docs.withColumn("_row", F.xxhash64(*[F.col(c) for c in docs.columns]))
+    found = language.document_languages(keyed, ["_row"])
+    rejected = materialize(found.filter("not accepted").select("_row").distinct(), "rejected-rows")
+    return with_ids(keyed, rejected, "_row", "left_anti").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

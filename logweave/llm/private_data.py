@@ -30,19 +30,22 @@ GIVEN = {
     ("cyrillic", ""): ["Женя", "Саша", "Валя", "Слава", "Шура"],
 }
 
+# attempts that keep the form of an entity
+SAME_FORM = 8
+
 _upper = "A-ZÀ-ÖØ-ÞА-ЯЁ"
-_octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_octet = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FIND = re.compile(
     rf"""
     (?P<key>\bAKIA[0-9A-Z]{{16}}\b)
   | (?P<label>\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b\s*[=:]\s*["']?)(?P<secret>[^\s"',;]{{6,}})
   | (?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
-  | (?P<iban>\b[A-Z]{{2}}\d{{2}}(?:\ ?[A-Z0-9]{{4}}){{2,7}}(?:\ ?[A-Z0-9]{{1,3}})?\b)
+  | (?P<iban>\b[A-Z]{{2}}[0-9]{{2}}(?:\ ?[A-Z0-9]{{4}}){{2,7}}(?:\ ?[A-Z0-9]{{1,3}})?\b)
   | (?P<ip>(?<![\d.])(?:{_octet}\.){{3}}{_octet}(?!\.?\d))
-  | (?P<card>(?<!\d)\d(?:[\ -]?\d){{12,18}}(?!\d))
-  | (?P<ssn>(?<![\d-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d-]))
-  | (?P<phone>(?<![\d(])(?:\+\d{{1,3}}[\ .-]?)?\(?\d{{3}}\)?[\ .-]\d{{3}}[\ .-]\d{{4}}(?!\d)
-      |\+\d{{1,3}}(?:[\ .-]?\d{{2,4}}){{2,5}}(?!\d))
+  | (?P<card>(?a:(?<!\d)\d(?:[\ -]?\d){{12,18}}(?!\d)))
+  | (?P<ssn>(?a:(?<![\d-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d-])))
+  | (?P<phone>(?a:(?<![\d(])(?:\+\d{{1,3}}[\ .-]?)?\(?\d{{3}}\)?[\ .-]\d{{3}}[\ .-]\d{{4}}(?!\d)
+      |\+\d{{1,3}}(?:[\ .-]?\d{{2,4}}){{2,5}}(?!\d)))
   | \b(?P<title>{"|".join(MALE + FEMALE + NEUTRAL)})\.?\ +(?P<name>[{_upper}][\w'’-]+(?:\ +[{_upper}][\w'’-]+)?)
     """,
     re.X,
@@ -133,20 +136,27 @@ class _Stream:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """A canonical value of the same kind and form that stands for ``value``."""
+    """A canonical value of the same kind and form that stands for ``value``.
+
+    From the attempt ``SAME_FORM`` on the form may become longer with each attempt, because a form can be used
+    up: there are 65,536 addresses in 192.168.0.0/16, and nothing in ``****`` can be changed.
+    """
     stream = _Stream(key, kind, value, str(attempt))
+    longer = max(0, attempt + 1 - SAME_FORM)
     if kind == "key":
-        return "AKIA" + stream.like(value[4:])
+        return "AKIA" + stream.like(value[4:]) + stream.like("A" * longer)
     if kind == "secret":
-        return stream.like(value, bool(re.fullmatch(r"[0-9a-f]+", value)))
+        return stream.like(value, bool(re.fullmatch(r"[0-9a-f]+", value))) + stream.like("a" * longer)
     if kind == "email":
         local, _, domain = value.partition("@")
         head, dot, end = domain.rpartition(".")
-        return f"{stream.like(local)}@{stream.like(head)}{dot}{end}"
+        return f"{stream.like(local)}{stream.like('a' * longer)}@{stream.like(head)}{dot}{end}"
     if kind == "iban":
-        body = value[:2] + "00" + stream.like(value[4:])
+        body = value[:2] + "00" + stream.like(value[4:] + "0" * longer)
         return f"{value[:2]}{98 - _iban_rest(body):02d}{body[4:]}"
     if kind == "ip":
+        if longer:  # a unique local address of the newer kind
+            return "fd" + stream.like("0" * 2, True) + "".join(":" + stream.like("0000", True) for _ in range(7))
         first, second = map(int, value.split(".")[:2])
         rest = [str(stream.below(256)) for _ in range(3)]
         if ipaddress.ip_address(value).is_global:
@@ -157,17 +167,17 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
                 rest = [str(stream.below(256)) for _ in range(3)]
         return f"{first}.{second}.{rest[1]}.{rest[2]}"
     if kind == "card":
-        body = value[0] + stream.like(value[1:-1])
+        body = value[0] + stream.like(value[1:-1] + "0" * longer)
         return body + str(-luhn(body + "0") % 10)
     if kind in ("ssn", "phone"):
-        return str(2 + stream.below(7)) + stream.like(value[1:])
+        return str(2 + stream.below(7)) + stream.like(value[1:] + "0" * longer)
     role, gender, script = kind.split("-")
     if role == "given":
         names = GIVEN[script, gender]
         made = names[stream.below(len(names))]
-        return (made if attempt < 8 else made + _syllables(stream, script, 1)).lower()
+        return (made + _syllables(stream, script, longer) if longer else made).lower()
     ends = {"m": "ов", "f": "ова", "": "ко"}
-    made = _syllables(stream, script, 2 + min(2, attempt))
+    made = _syllables(stream, script, 2 + min(2, attempt) + longer)
     return made + (ends[gender] if script == "cyrillic" else "")
 
 
@@ -191,7 +201,7 @@ def rendered(raw: str, kind: str, made: str) -> str:
                 keep -= 1
             else:
                 out.append(rest.pop(0))
-        return "".join(out)
+        return "".join(out + rest)
     if kind.startswith(("given", "surname")):
         return made.upper() if raw.isupper() else made[0].upper() + made[1:]
     if kind == "email" and raw.isupper():
@@ -203,7 +213,7 @@ def assign_surrogates(found: DataFrame, key: bytes) -> DataFrame:
     """``kind, value, made`` for distinct ``kind, value``: distinct surrogates, none equal to a value found.
 
     Surrogates that collide with each other or with a value of their kind are made anew, but
-    for the one of the smallest value; those made before stay.
+    for the one of the smallest value; those made before stay. It ends, as later attempts have more room.
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

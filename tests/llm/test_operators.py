@@ -134,6 +134,24 @@ def test_private_data(docs, spark):
     assert by_id(private_data.replace_private_data(docs, b"k"))[14]["n_replaced"] == 2
 
 
+def test_private_data_whose_form_is_used_up(spark):
+    texts = ["password=******** and token: пароль-тайна", "at 1٢.3.4.5 and ٤١١١ ١١١١ ١١١١ ١١١١", "AKIA" + "A1" * 8]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = {i: r["text"] for i, r in by_id(private_data.replace_private_data(table, b"k")).items()}
+    assert "********" != made[0][9:17] or len(made[0]) > len(texts[0])
+    assert made[2] != texts[2] and made[2].startswith("AKIA")
+    # more given names, and more addresses of a private range, than there are names or other addresses to give
+    names = [("given-m-latin", f"name{i}") for i in range(300)]
+    addresses = [("ip", f"192.168.{i >> 8}.{i & 255}") for i in range(0, 1 << 16, 16)]
+    masked = [("secret", "*" * n) for n in range(6, 12)]
+    found = spark.createDataFrame(names + addresses + masked, "kind string, value string")
+    rows = private_data.assign_surrogates(found, b"k").collect()
+    asked = {tuple(r) for r in found.collect()}
+    assert {(r["kind"], r["value"]) for r in rows} == asked
+    assert len({(r["kind"], r["made"]) for r in rows}) == len(rows) == len(asked)
+    assert not {(r["kind"], r["made"]) for r in rows} & asked
+
+
 def test_toxicity(spark):
     clean, bad = "you are a kind friend number {}", "you are a stup1d friend number {}"
     rows = [(i, (bad if i % 2 else clean).format(chr(97 + i % 26) * (2 + i // 26))) for i in range(200)] + [(999, None)]

@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -77,8 +79,12 @@ class Lexicon:
             for last, (size, weight, spare) in self.automaton.iter(folded):
                 (spans if spare else hits).append((last - size + 1, last, weight))
         best: dict[int, float] = defaultdict(float)  # a word counts once, by its heaviest term
+        # exceptions by start, with the furthest end of all up to there
+        spans.sort()
+        begins, ends = [a for a, _, _ in spans], list(accumulate((b for _, b, _ in spans), max))
         for start, last, weight in hits:
-            if not any(a <= start and last <= b for a, b, _ in spans):
+            at = bisect_right(begins, start)
+            if not at or ends[at - 1] < last:
                 best[start] = max(best[start], weight)
         level = sum(best.values()) / math.log2(4 + folded.count(" "))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + self.slope * level))))

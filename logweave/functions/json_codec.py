@@ -20,6 +20,8 @@ _OPTIONS = {
     "allowNonNumericNumbers": "false",
 }
 
+_ELEMENT_OPTIONS = {k: v for k, v in _OPTIONS.items() if k != "columnNameOfCorruptRecord"}
+
 
 def encode_json(*columns: str) -> Column:
     """UTF-8 JSON bytes of the named columns; absent values are written as null."""
@@ -27,7 +29,11 @@ def encode_json(*columns: str) -> Column:
 
 
 def _read(text: Column, schema: T.DataType) -> Column:
-    """The text as ``value`` of an object; not good if anything else is in the text."""
+    """The text as ``value`` of an object; null if it is not one element of an array.
+
+    Text that goes on behind the value can pass as further fields of the object, but not as a part of an
+    array at the same time: a comma would have to be followed by a name with a colon, and by none.
+    """
     framed = F.concat(F.lit(f'{{"{_VALUE}":'), text, F.lit(f',"{_END}":0}}'))
     layout = T.StructType(
         [
@@ -36,11 +42,12 @@ def _read(text: Column, schema: T.DataType) -> Column:
             T.StructField(_CORRUPT, T.StringType()),
         ]
     )
-    return F.from_json(framed, layout, _OPTIONS)
+    elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(T.StringType()), _ELEMENT_OPTIONS)
+    return F.when(F.size(elements) == 1, F.from_json(framed, layout, _OPTIONS))
 
 
 def _is_good(frame: Column) -> Column:
-    return frame[_CORRUPT].isNull() & frame[_END].isNotNull()
+    return frame.isNotNull() & frame[_CORRUPT].isNull() & frame[_END].isNotNull()
 
 
 def unwrap_json_string(text: Column) -> Column:

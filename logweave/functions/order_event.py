@@ -113,7 +113,9 @@ def _decode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
                         if message.HasField("timestamp")
                         else None
                     )
-                    row = (message.order_id, message.client_id, message.order_state, micros)
+                    # a time that 64-bit microseconds cannot hold is a broken message
+                    if micros is None or -(1 << 63) <= micros < 1 << 63:
+                        row = (message.order_id, message.client_id, message.order_state, micros)
                 except DecodeError:
                     pass
             rows.append(row)

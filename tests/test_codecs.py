@@ -37,6 +37,13 @@ def decode(spark, values, unwrap=False, schema=EVENT_SCHEMA):
         (f"{GOOD} tail", "malformed_json"),
         (f"{GOOD}]", "malformed_json"),
         (f"{GOOD}}} {{", "malformed_json"),
+        (f'{GOOD},"x":2', "malformed_json"),
+        (f'{GOOD},"_end":7', "malformed_json"),
+        (f'{GOOD},"value":{GOOD}', "malformed_json"),
+        (f'null,"value":{GOOD}', "malformed_json"),
+        (f"{GOOD},{GOOD}", "malformed_json"),
+        (f"{GOOD}],[{GOOD}", "malformed_json"),
+        (f'{GOOD},"_end":7}}', "malformed_json"),
         ("{'Id':'5'}", "malformed_json"),
     ],
 )

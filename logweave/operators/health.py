@@ -208,7 +208,14 @@ def _best(partition_options: Column, key: Column, partitions: int) -> Column:
 
 def _option(now_ms: Column | int) -> Column:
     """Score and id of an available partition; the least option is the best choice."""
-    return F.when(F.col("available"), F.struct(partition_score(now_ms).alias("score"), "partition"))
+    option = F.struct(partition_score(now_ms).cast("double").alias("score"), F.col("partition").cast("int").alias("partition"))
+    return F.when(F.col("available"), option)
+
+
+def _untried(seen: Column, partitions: int) -> Column:
+    """Option of the first partition that has no health row: nothing speaks against it."""
+    first = F.array_min(F.array_except(F.sequence(F.lit(0), F.lit(partitions - 1)), seen.cast("array<int>")))
+    return F.when(first.isNotNull(), F.struct(F.lit(0.0).alias("score"), first.alias("partition")))
 
 
 def _group_key(by: list[str]) -> Column:
@@ -220,10 +227,12 @@ def choose_partition(
 ) -> DataFrame:
     """Available partition with the lowest score per group, the lowest id on a tie.
 
+    The partitions from 0 to ``partitions`` - 1 that have no health row are available, with score 0.
     Adds ``chosen`` and ``score``; without an available partition, a hash of ``key`` (by default of
     the group) chooses and the score is null.
     """
-    best = health.groupBy(*by).agg(F.min(_option(now_ms)).alias("_best"))
+    tried = health.groupBy(*by).agg(F.min(_option(now_ms)).alias("_tried"), F.collect_set("partition").alias("_seen"))
+    best = tried.withColumn("_best", F.least("_tried", _untried(F.col("_seen"), partitions)))
     key = _group_key(by) if key is None else key
     return best.select(
         *by, _best(F.col("_best"), key, partitions).alias("chosen"), F.col("_best.score").alias("score")
@@ -231,6 +240,9 @@ def choose_partition(
 
 
 def with_choice(health: DataFrame, by: list[str], partitions: int, now_ms: int, into: str) -> DataFrame:
-    """Health rows, each with the partition chosen for its group; a group is a handful of rows."""
-    best = F.min(_option(now_ms)).over(Window.partitionBy(*by))
+    """Health rows, each with the partition chosen for its group as by ``choose_partition``; a group
+    is a handful of rows."""
+    group = Window.partitionBy(*by)
+    untried = _untried(F.collect_set("partition").over(group), partitions)
+    best = F.least(F.min(_option(now_ms)).over(group), untried)
     return health.withColumn(into, _best(best, _group_key(by), partitions))

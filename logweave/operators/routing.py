@@ -38,7 +38,7 @@ def route_batch(
     """Partition, attempts and outcome of every row of a batch.
 
     ``health`` comes from ``partition_health``, one row per partition (and per ``by`` group, such as
-    a topic). ``error_at(attempt, partition)`` is the error code of an attempt, null when it is
+    a topic); partitions and groups without a row have nothing against them. ``error_at(attempt, partition)`` is the error code of an attempt, null when it is
     delivered. All rows of an attempt go to the best partition of their group. The errors of the
     attempt then count against it, and a partition-level error takes it out of the choice, except
     after the last attempt. Rows end ``delivered``, ``exhausted`` or ``rejected`` (an error not
@@ -83,21 +83,30 @@ def route_batch(
 
 
 def _send_to(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
-    """Rows with the partition chosen for their group; without groups there is one choice."""
-    if by:
-        return rows.join(state.select(*by, "_chosen").distinct(), by)
-    return rows.withColumn("_chosen", F.lit(state.first()["_chosen"]))
+    """Rows with the partition chosen for their group; without groups there is one choice.
+
+    A group that nothing is known of starts with partition 0.
+    """
+    if not by:
+        first = state.first()
+        return rows.withColumn("_chosen", F.lit(first["_chosen"] if first else 0))
+    choice = state.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_chosen").alias("_best")).distinct()
+    joined = rows.join(choice, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by], "left")
+    return joined.select(*rows.columns, F.coalesce("_best", F.lit(0)).alias("_chosen"))
 
 
 def _after_errors(
     state: DataFrame, counts: DataFrame, by: list[str], now_ms: int, cooldown_ms: int
 ) -> DataFrame:
     hit, cool = F.coalesce("_errors", F.lit(0)) > 0, F.coalesce("_cool", F.lit(False))
-    until = F.when(cool, F.lit(now_ms + cooldown_ms)).otherwise(F.col("unavailable_until_ms"))
-    return state.join(counts, [*by, "partition"], "left").select(
-        *by, "partition", "inflight",
-        (F.col("recent_errors") + F.coalesce("_errors", F.lit(0))).alias("recent_errors"),
-        "avg_latency_ms",
+    until = F.when(cool, F.lit(now_ms + cooldown_ms)).otherwise(F.coalesce("unavailable_until_ms", F.lit(0)))
+    keys = [*by, "partition"]
+    found = state.alias("s").join(counts.alias("c"), [F.col(f"s.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys], "full")
+    return found.select(
+        *[F.coalesce(f"s.{k}", f"c.{k}").alias(k) for k in keys],
+        F.coalesce("inflight", F.lit(0)).alias("inflight"),
+        (F.coalesce("recent_errors", F.lit(0)) + F.coalesce("_errors", F.lit(0))).alias("recent_errors"),
+        F.coalesce("avg_latency_ms", F.lit(0.0)).alias("avg_latency_ms"),
         F.when(hit, F.lit(now_ms)).otherwise(F.col("last_error_ms")).alias("last_error_ms"),
         until.alias("unavailable_until_ms"),
         (F.lit(now_ms) > until).alias("available"),

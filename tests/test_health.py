@@ -125,11 +125,27 @@ def test_lowest_score_then_lowest_id(spark):
 
 
 def test_without_an_available_partition_a_hash_chooses(spark):
-    df = spark.createDataFrame([(0, 0, 0, 0.0, None, 9, False)], STATE).withColumn("topic", F.lit("t"))
+    down = [(p, 0, 0, 0.0, None, 9, False) for p in range(3)]
+    df = spark.createDataFrame(down, STATE).withColumn("topic", F.lit("t"))
     first, again = (op.choose_partition(df, ["topic"], 3, 5).first() for _ in range(2))
     assert first["chosen"] == again["chosen"] and first["chosen"] in range(3) and first["score"] is None
 
 
+def test_untried_partition_is_chosen_over_failing_ones(spark):
+    df = spark.createDataFrame([(0, 0, 9, 0.0, None, 0, True), (1, 0, 9, 0.0, None, 0, True)], STATE)
+    assert rows(op.choose_partition(df, [], 3, 5)) == [(2, 0.0)]
+    assert rows(op.choose_partition(df, [], 2, 5)) == [(0, 45.0)]
+
+
+def test_rows_of_unknown_groups_are_routed(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "topic string, n int")
+    health = spark.createDataFrame([("a", 1, 0, 0, 0.0, None, 0, True)], f"topic string, {STATE}")
+    out = op.route_batch(df, health, script("LeaderNotAvailable"), 10_000, 3, by=["topic"])
+    assert rows(out.select("n", "partition", "attempts")) == [(1, 1, 2), (2, 1, 2), (3, 1, 2)]
+    out = op.route_batch(df, health.limit(0).drop("topic"), script(), 10_000, 3)
+    assert rows(out.select("n", "partition")) == [(1, 0), (2, 0), (3, 0)]
+
+
 def script(*codes):
     """Errors of the first attempts; delivered afterwards."""
     def error_at(attempt, partition):

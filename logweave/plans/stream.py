@@ -113,11 +113,9 @@ def commit_max_stream(spark: SparkSession, d: str) -> DataFrame:
 def track_commits_stream(spark: SparkSession, d: str) -> DataFrame:
     """Contiguous positions, the later half of the sequence numbers arriving first."""
     root = work_dir(spark, "commits")
-    # all marks may wait here, since the first half of the log is missing at first
-    limit = 2**31
     _in_two_runs(
         spark, _marks(spark, d)[::-1], MARK_SCHEMA,
-        lambda s, checkpoint: commits.track_commits(s, root, checkpoint, pending_limit=limit, trigger=AVAILABLE_NOW),
+        lambda s, checkpoint: commits.track_commits(s, root, checkpoint, trigger=AVAILABLE_NOW),
     )
     waiting = commits.read_pending(spark, root).groupBy(*PARTITION_KEYS).agg(F.count("*").alias("pending"))
     found = commits.read_committed_positions(spark, root).join(waiting, PARTITION_KEYS, "left")
@@ -137,7 +135,7 @@ def track_commits_gap_stream(spark: SparkSession, d: str) -> DataFrame:
     _in_two_runs(
         spark, [seen.unionByName(tick)], MARK_SCHEMA,
         lambda s, checkpoint: commits.track_commits(
-            s, root, checkpoint, batch.GAP_TIMEOUT, pending_limit=2**31, trigger=AVAILABLE_NOW
+            s, root, checkpoint, batch.GAP_TIMEOUT, trigger=AVAILABLE_NOW
         ),
     )
     gaps = commits.read_skipped(spark, root)

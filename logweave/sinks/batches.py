@@ -8,6 +8,10 @@ exactly one copy.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logweave.session import drop_table, path_exists, small_side
@@ -17,6 +21,19 @@ KEPT_STATES = 10
 
 _COMMIT_SCHEMA = T.StructType([T.StructField("batch_id", T.LongType())])
 _COMMITTED_AT = T.StructField("committed_at", T.TimestampType())
+_OWNER = T.StructField("owner", T.StringType())
+
+_owner: ContextVar[str | None] = ContextVar("_owner", default=None)
+
+
+@contextmanager
+def owned_by(owner: str | None) -> Iterator[None]:
+    """Commit rows written inside the block carry ``owner``, the id of a streaming query."""
+    token = _owner.set(owner)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
 
 
 def stage_batch(df: DataFrame, root: str, batch_id: int, part: str = "data") -> None:
@@ -26,7 +43,8 @@ def stage_batch(df: DataFrame, root: str, batch_id: int, part: str = "data") ->
 
 def commit_batch(spark: SparkSession, root: str, batch_id: int) -> None:
     """Make everything staged under ``batch_id`` visible at once."""
-    row = spark.range(1).select(F.current_timestamp().alias("committed_at")).coalesce(1)
+    owner = F.lit(_owner.get()).cast("string").alias("owner")
+    row = spark.range(1).select(F.current_timestamp().alias("committed_at"), owner).coalesce(1)
     row.write.mode("overwrite").parquet(f"{root}/commits/batch_id={batch_id}")
 
 
@@ -52,10 +70,27 @@ def committed_batches(spark: SparkSession, root: str) -> DataFrame:
 
 def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
     """Whether one batch is committed; looks at that batch only."""
+    return bool(_commit_rows(spark, root, batch_id))
+
+
+def is_committed_by(spark: SparkSession, root: str, batch_id: int, owner: str) -> bool:
+    """Whether the streaming query ``owner`` committed a batch; raises if anything else did.
+
+    Batch ids of a new checkpoint start at 0, so on a root that was used before they would name other rows.
+    """
+    rows = _commit_rows(spark, root, batch_id)
+    if rows and rows[0]["owner"] != owner:
+        raise RuntimeError(
+            f"batch {batch_id} of {root} was not written by this checkpoint: resume its own checkpoint, or take a new root"
+        )
+    return bool(rows)
+
+
+def _commit_rows(spark: SparkSession, root: str, batch_id: int) -> list:
     path = f"{root}/commits/batch_id={batch_id}"
     if not path_exists(spark, path):
-        return False
-    return not spark.read.schema(T.StructType([_COMMITTED_AT])).parquet(path).isEmpty()
+        return []
+    return spark.read.schema(T.StructType([_COMMITTED_AT, _OWNER])).parquet(path).take(1)
 
 
 def last_batch(spark: SparkSession, root: str) -> int | None:
@@ -92,8 +127,10 @@ def read_batches(
 def read_one_batch(
     spark: SparkSession, root: str, schema: T.StructType, batch_id: int | None, part: str = "data"
 ) -> DataFrame:
-    """Rows of one batch; an empty table for ``None`` or a part the batch does not have."""
-    path = f"{root}/{part}/batch_id={batch_id}"
-    if batch_id is None or not path_exists(spark, path):
+    """Rows of one batch; an empty table for ``None``. A part that is gone raises, as its rows would be missed."""
+    if batch_id is None:
         return spark.createDataFrame([], schema)
+    path = f"{root}/{part}/batch_id={batch_id}"
+    if not path_exists(spark, path):
+        raise RuntimeError(f"{path} is gone")
     return spark.read.schema(schema).parquet(path)

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from logweave.operators.latest import latest_by_key
 from logweave.sinks.batches import read_batches, write_batch
 
+# id of a compacted table in its root: before the first batch of a stream that goes on there
+SNAPSHOT = -1
+
 
 def upsert_sink(root: str, key: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that keeps a replace-by-key table at ``root``.
@@ -45,5 +48,9 @@ def compact_upsert(
     order: list[str],
     drop_deleted: bool = False,
 ) -> None:
-    """Write the merged table as batch 0 of a new root; readers move over when it is committed."""
-    write_batch(read_upsert(spark, root, schema, key, order, drop_deleted), target, 0)
+    """Write the merged table into a new root; readers move over when it is committed.
+
+    A stream, with its old checkpoint or a new one, may go on at the new root: its batches come on top. Parts
+    committed to the old root meanwhile are not in it, so stop the stream first.
+    """
+    write_batch(read_upsert(spark, root, schema, key, order, drop_deleted), target, SNAPSHOT)

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from logweave.operators.commit import clean_marks, commit_ends, commit_positions, gaps
 from logweave.schemas import MARK_SCHEMA, PARTITION_KEYS
-from logweave.session import small_side
+from logweave.session import path_exists, small_side
 from logweave.sinks.batches import (
     batch_before,
     commit_state,
@@ -25,7 +25,8 @@ from logweave.sinks.batches import (
 )
 from logweave.streaming.run import every, for_each_batch
 
-# Marks that may wait behind a gap, and how often gaps and commits are looked at.
+# Marks waiting behind a gap from which on it is reported, and how often gaps and commits
+# are looked at.
 PENDING_LIMIT = 10_000
 GAP_CHECK_S = 10
 COMMIT_S = 5
@@ -45,6 +46,7 @@ GAP_SCHEMA = T.StructType(
         T.StructField("gap_end", T.LongType()),
     ]
 )
+OVERFLOW_SCHEMA = T.StructType([*MARK_SCHEMA.fields[:2], T.StructField("pending", T.LongType())])
 _CLOCK_SCHEMA = T.StructType([T.StructField("as_of", T.TimestampType())])
 
 
@@ -85,8 +87,8 @@ def track_commits(
 
     Marks at or below the committed state and repeated ones are dropped; marks beyond a gap wait.
     With ``gap_timeout`` a gap is given up once a mark beyond it is that old, by the newest
-    ``processed_at`` seen or by the clock. ``pending_limit + 1`` marks may wait per partition,
-    earliest first; further ones are written to ``overflow``, for a dead-letter table. Offsets have to
+    ``processed_at`` seen or by the clock. All marks beyond a gap wait, since a lost one would stop the
+    position for good; a partition where more than ``pending_limit`` + 1 wait has a row in ``overflow``. Offsets have to
     rise with sequence numbers; ``operators.non_monotonic`` lists marks where they do not.
     Tables below ``root``: ``committed``, ``pending``, ``skipped``, ``overflow``.
     """
@@ -102,7 +104,9 @@ def track_commits(
         try:
             cutoff = None
             if gap_timeout is not None:
-                clock = read_one_batch(spark, root, _CLOCK_SCHEMA, previous, "clock")
+                # a batch from before the timeout was set has no clock
+                timed = previous is not None and path_exists(spark, f"{root}/clock/batch_id={previous}")
+                clock = read_one_batch(spark, root, _CLOCK_SCHEMA, previous if timed else None, "clock")
                 seen = F.current_timestamp() if wall_clock else F.max("as_of")
                 times = clock.unionByName(arrived.select(F.col("processed_at").alias("as_of")))
                 stage_batch(times.agg(seen.alias("as_of")), root, batch_id, "clock")
@@ -126,9 +130,9 @@ def track_commits(
                 F.coalesce("m.committed_offset", "c.committed_offset").alias("committed_offset"),
             )
             stage_batch(after.coalesce(1), root, batch_id, "committed")
-            keep, overflow = _bounded(_beyond(marks, ends), ends, pending_limit)
-            stage_batch(keep, root, batch_id, "pending")
-            stage_batch(overflow, root, batch_id, "overflow")
+            stage_batch(_beyond(marks, ends), root, batch_id, "pending")
+            crowded = ends.filter(F.col("pending") > pending_limit + 1)
+            stage_batch(crowded.select(*PARTITION_KEYS, F.col("pending").cast("long")), root, batch_id, "overflow")
             if cutoff is not None:
                 given_up = (
                     found.join(ends.select(*PARTITION_KEYS, "anchor"), PARTITION_KEYS)
@@ -162,20 +166,6 @@ def _beyond(marks: DataFrame, ends: DataFrame) -> DataFrame:
     return waiting.filter(F.col("seq") > F.col("committed_seq")).select(*MARK_SCHEMA.fieldNames())
 
 
-def _bounded(waiting: DataFrame, ends: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
-    """(marks that may wait, marks beyond the limit)."""
-    if ends.filter(F.col("pending") > limit + 1).isEmpty():
-        return waiting, waiting.limit(0)
-    earliest = Window.partitionBy(*PARTITION_KEYS).orderBy("processed_at", "seq")
-    # the rank filter reaches the map side, so a task passes on no more than the limit
-    keep = (
-        waiting.withColumn("_rank", F.row_number().over(earliest))
-        .filter(F.col("_rank") <= limit + 1)
-        .drop("_rank")
-    )
-    return keep, waiting.join(keep.select(*PARTITION_KEYS, "seq"), [*PARTITION_KEYS, "seq"], "left_anti")
-
-
 def read_committed_positions(spark: SparkSession, root: str) -> DataFrame:
     """Position (offset + 1, null if nothing is committed) and ``committed_seq`` after the newest batch."""
     last = read_one_batch(spark, root, COMMITTED_SCHEMA, last_batch(spark, root), "committed")
@@ -195,5 +185,5 @@ def read_skipped(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_overflow(spark: SparkSession, root: str) -> DataFrame:
-    """Marks that found no room to wait, over all batches."""
-    return read_batches(spark, root, MARK_SCHEMA, part="overflow").drop("batch_id")
+    """Partitions where more marks waited than the limit, with their number, by ``batch_id``."""
+    return read_batches(spark, root, OVERFLOW_SCHEMA, part="overflow")

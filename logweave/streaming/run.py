@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweave.session import temporary_tables
-from logweave.sinks.batches import is_committed
+from logweave.sinks.batches import is_committed_by, owned_by
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -25,13 +25,17 @@ def for_each_batch(
     """Run ``step(batch, batch_id)`` on every micro-batch; the checkpoint says where to resume.
 
     The step commits its batch below ``root``. A batch that was committed there before the
-    checkpoint heard of it comes again after a restart and is passed over.
+    checkpoint heard of it comes again after a restart and is passed over. A batch that another
+    checkpoint committed there stops the query, since its rows are not those of this batch.
     """
+    owner: list[str] = []
 
     def once(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if not is_committed(spark, root, batch_id):
-            with temporary_tables(spark):
+        if not owner:
+            owner.append(query_id(spark, checkpoint))
+        if not is_committed_by(spark, root, batch_id, owner[0]):
+            with temporary_tables(spark), owned_by(owner[0]):
                 step(batch, batch_id)
 
     return (
@@ -43,6 +47,12 @@ def for_each_batch(
     )
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query that a checkpoint belongs to; it stays the same over restarts."""
+    row = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").select(F.get_json_object("value", "$.id")).first()
+    return row[0]
+
+
 def every(seconds: float) -> dict:
     """Trigger that starts a micro-batch each ``seconds``."""
     return {"processingTime": f"{int(seconds * 1000)} milliseconds"}

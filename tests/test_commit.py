@@ -9,7 +9,7 @@ from logweave import operators as op
 from logweave.operators import commit
 from logweave.plans import fixtures as fx
 from logweave.schemas import MARK_SCHEMA
-from logweave.session import path_exists, work_dir
+from logweave.session import drop_table, path_exists, work_dir
 from logweave.sinks import batches
 from logweave.streaming import commits
 from logweave.streaming.run import AVAILABLE_NOW, every, finish
@@ -246,18 +246,31 @@ def test_old_states_are_dropped_and_reports_are_kept(spark, monkeypatch):
     assert rows(commits.read_committed_positions(spark, root).select("position")) == [(17,)]
 
 
-def test_tracker_overflow_keeps_the_limit_plus_one(spark):
+def test_marks_over_the_limit_wait_and_are_reported(spark):
     waiting = [(0, s, 100 + s, s) for s in range(1, 9)]
-    roots = list(run_tracker(spark, [waiting], pending_limit=4))
-    assert rows(commits.read_pending(spark, roots[-1]).select("seq")) == [(n,) for n in range(1, 6)]
-    assert rows(commits.read_overflow(spark, roots[-1]).select("seq")) == [(6,), (7,), (8,)]
+    roots = list(run_tracker(spark, [waiting, [(0, 0, 100, 9)]], pending_limit=4))
+    assert rows(commits.read_overflow(spark, roots[-1]).select("batch_id", "partition", "pending")) == [(0, 0, 8)]
+    assert rows(commits.read_committed_positions(spark, roots[-1]).select("committed_seq", "position")) == [(8, 109)]
 
 
-def test_default_limit_lets_ten_thousand_and_one_wait(spark):
+def test_default_limit_loses_no_mark(spark):
     exact = [(0, s, s, 0) for s in range(1, 10_002)]
     root = list(run_tracker(spark, [exact]))[-1]
-    assert commits.read_pending(spark, root).count() == 10_001
     assert commits.read_overflow(spark, root).count() == 0
-    root = list(run_tracker(spark, [[*exact, (0, 10_002, 10_002, 1)]]))[-1]
-    assert commits.read_pending(spark, root).count() == 10_001
-    assert rows(commits.read_overflow(spark, root).select("seq")) == [(10_002,)]
+    root = list(run_tracker(spark, [[*exact, (0, 10_002, 10_002, 1)], [(0, 0, 0, 2)]]))[-1]
+    assert rows(commits.read_overflow(spark, root).select("pending")) == [(10_002,)]
+    assert rows(commits.read_committed_positions(spark, root).select("position")) == [(10_003,)]
+
+
+def test_lost_state_stops_the_stream(spark):
+    source, root, checkpoint = (work_dir(spark, n) for n in ("in", "root", "cp"))
+
+    def run(mark):
+        marks_of(spark, [mark]).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(MARK_SCHEMA).parquet(source)
+        finish(commits.commit_batches(stream, root, checkpoint, AVAILABLE_NOW))
+
+    run((0, 0, 10, 0))
+    drop_table(spark, f"{root}/positions/batch_id=0")
+    with pytest.raises(Exception, match="is gone"):
+        run((0, 1, 11, 0))

@@ -203,6 +203,23 @@ def test_transaction_that_died_is_not_seen_and_is_replayed(spark, monkeypatch):
     assert rows(pipes.consumed_positions(spark, root).select("partition", "position")) == [(0, 1), (1, 1)]
 
 
+def test_new_checkpoint_on_a_used_root_is_refused(spark):
+    source, root = work_dir(spark, "log"), work_dir(spark, "pipe")
+    sinks.write_log(log_of(spark, [(0, 0, "k", "a")]), source)
+    same = lambda s: s.select(F.col("value").cast("string").alias("v"))
+
+    def run(checkpoint):
+        finish(pipes.transactional_pipe(sources.read_log(spark, source, streaming=True), same, root, checkpoint))
+
+    first = work_dir(spark, "cp")
+    run(first)
+    sinks.write_log(log_of(spark, [(0, 1, "k", "b")]), source)
+    with pytest.raises(Exception, match="not written by this checkpoint"):
+        run(work_dir(spark, "cp"))
+    run(first)
+    assert rows(pipes.read_pipe(spark, root, spark.createDataFrame([], "v string").schema)) == [("a",), ("b",)]
+
+
 def test_stream_to_log_directory(spark):
     source, target, checkpoint = (work_dir(spark, n) for n in ("log", "copy", "cp"))
     sinks.write_log(log_of(spark, [(0, 0, "a", "x"), (1, 0, "b", "y")]), source)

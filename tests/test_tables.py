@@ -107,6 +107,16 @@ def test_upsert_batch_written_again_changes_nothing(spark):
     assert rows(sinks.read_upsert(spark, compacted, df.schema, ["id"], ["offset"])) == [(1, "b", 2)]
 
 
+def test_changes_after_compaction_are_seen(spark):
+    source, root, compacted = (work_dir(spark, n) for n in ("log", "mirror", "compact"))
+    sinks.write_log(log_of(spark, [(0, 0, "1", change("r", after=person(1, "old")))]), source)
+    finish(mirror.cdc_mirror(sources.read_log(spark, source, streaming=True), ROW, ["id"], root, work_dir(spark, "cp")))
+    sinks.compact_upsert(spark, root, compacted, mirror.mirror_schema(ROW), ["id"], ["offset"])
+    sinks.write_log(log_of(spark, [(0, 1, "1", change("u", after=person(1, "new")))]), source)
+    finish(mirror.cdc_mirror(sources.read_log(spark, source, streaming=True), ROW, ["id"], compacted, work_dir(spark, "cp")))
+    assert rows(mirror.read_mirror(spark, compacted, ROW, ["id"]).select("id", "first_name")) == [(1, "new")]
+
+
 def test_snapshot_rows_come_before_changes(spark):
     snapshot = spark.createDataFrame([(1, "a")], "id int, v string")
     changes = spark.createDataFrame([(1, "b", "u", 0)], "id int, v string, op string, offset long")

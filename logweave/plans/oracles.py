@@ -360,7 +360,10 @@ ORACLES = {
       SELECT p, round({_score(_NOW)}, 6) AS score FROM health""",
     "choose_partition": f"""{_HOUR_HEALTH},
       timed AS (SELECT *, coalesce(last_error_ms + 4000, 1) AS now FROM health),
-      scored AS (SELECT hour, p, now > unavailable_until_ms AS available, {_score("now")} AS score FROM timed),
+      tried AS (SELECT hour, p, now > unavailable_until_ms AS available, {_score("now")} AS score FROM timed),
+      every AS (SELECT hour, CAST(n AS INT) AS p FROM (SELECT DISTINCT hour FROM health), range(3) AS r(n)),
+      scored AS (SELECT e.hour, e.p, coalesce(available, true) AS available, coalesce(score, 0) AS score
+                 FROM every e LEFT JOIN tried t ON e.hour = t.hour AND e.p = t.p),
       ranked AS (SELECT *, row_number() OVER (PARTITION BY hour ORDER BY available DESC, score, p) AS nth FROM scored)
       SELECT hour, CASE WHEN available THEN p ELSE CAST(CAST('0x' || substr(md5(CAST(hour AS VARCHAR)), 1, 15) AS BIGINT) % 3 AS INT) END AS chosen,
              CASE WHEN available THEN round(score, 6) END AS score

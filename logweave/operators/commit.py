@@ -15,9 +15,10 @@ from logweave.operators.scan import block_of, running_max
 from logweave.schemas import PARTITION_KEYS
 from logweave.session import small_side
 
-# Sequence numbers per block, as a power of two. A block travels as one array, so this bounds its
-# length; blocks are themselves grouped by as many again.
-SEQ_BITS = 12
+# Sequence numbers travel as words, one bit for each of 64 consecutive numbers. Words are linked to their
+# neighbours in groups of 2 ** SEQ_BITS words, which bounds what one task orders.
+WORD_BITS = 6
+SEQ_BITS = 14
 
 
 def _instant(at: Column | datetime) -> Column:
@@ -63,24 +64,31 @@ def gaps(marks: DataFrame, start: DataFrame | None = None) -> DataFrame:
 
     Columns ``topic, partition, gap_start, gap_end``. ``start`` gives ``committed_seq`` per
     topic-partition; counting begins after it, at 0 where it is absent. Repeated marks do no harm:
-    every task reduces its rows to a set per block before the shuffle.
+    every task reduces its rows to words of bits before the shuffle, by a hash aggregate.
 
-    Gaps are found inside blocks, then between the blocks of a group, then between groups; only the
-    last step, on one row per 2 ** 24 numbers, orders a whole partition.
+    Gaps are found inside words, then between the words of a group, then between groups; only the
+    last step, on one row per 2 ** 20 numbers, orders a whole partition.
     """
-    seqs, size = F.col("seqs"), F.size("seqs")
+    first = F.shiftleft("block", WORD_BITS)
+    places = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("bits", i) == 1)
+    full, seqs = F.col("bits") == -1, F.col("seqs")
+    size = F.size(seqs)
     inside = F.zip_with(
         F.slice(seqs, 1, size - 1), F.slice(seqs, 2, size - 1), lambda a, b: _between(a, b)
     )
-    blocks = (
+    words = (
         marks.filter(F.col("seq") >= 0)
-        .groupBy(*PARTITION_KEYS, block_of("seq", SEQ_BITS).alias("block"))
-        .agg(F.array_sort(F.collect_set("seq")).alias("seqs"))
-        .select(
-            *PARTITION_KEYS, "block", block_of("block", SEQ_BITS).alias("group"),
-            F.element_at("seqs", 1).alias("low"), F.element_at("seqs", -1).alias("high"),
-            F.filter(inside, lambda gap: gap["gap_start"] <= gap["gap_end"]).alias("inside"),
-        )
+        .groupBy(*PARTITION_KEYS, block_of("seq", WORD_BITS).alias("block"))
+        .agg(F.expr("bit_or(shiftleft(1L, CAST(seq & 63 AS INT)))").alias("bits"))
+    )
+    # only words that lack a number are taken apart
+    blocks = words.withColumn(
+        "seqs", F.when(~full, F.transform(places, lambda i: F.shiftleft("block", WORD_BITS) + i))
+    ).select(
+        *PARTITION_KEYS, "block", block_of("block", SEQ_BITS).alias("group"),
+        F.coalesce(F.element_at("seqs", 1), first).alias("low"),
+        F.coalesce(F.element_at("seqs", -1), first + 63).alias("high"),
+        F.coalesce(F.filter(inside, lambda gap: gap["gap_start"] <= gap["gap_end"]), F.array()).alias("inside"),
     )
     in_group = Window.partitionBy(*PARTITION_KEYS, "group").orderBy("block")
     in_partition = Window.partitionBy(*PARTITION_KEYS).orderBy("group")
@@ -112,6 +120,22 @@ def _between(before: Column, after: Column) -> Column:
     return F.struct((before + 1).alias("gap_start"), (after - 1).alias("gap_end"))
 
 
+def _facts(marks: DataFrame, start: DataFrame | None, cutoff: Column | datetime | None) -> DataFrame:
+    """One row per topic-partition: the highest number (``high``), and the number up to which gaps are
+    given up (``anchor``)."""
+    facts = [F.max("seq").alias("high")]
+    if cutoff is not None:
+        old = F.col("processed_at") <= _instant(cutoff)
+        facts.append(F.max(F.when(old, F.col("seq"))).alias("highest_old"))
+    rows = marks.filter(F.col("seq") >= 0).groupBy(*PARTITION_KEYS).agg(*facts)
+    floor = F.lit(-1).cast("bigint")
+    if start is not None:
+        rows = rows.join(start.select(*PARTITION_KEYS, "committed_seq"), PARTITION_KEYS, "left")
+        floor = F.coalesce("committed_seq", floor)
+    anchor = floor if cutoff is None else F.greatest(F.col("highest_old"), floor)
+    return rows.select(*PARTITION_KEYS, "high", anchor.alias("anchor"))
+
+
 def commit_ends(
     marks: DataFrame,
     start: DataFrame | None = None,
@@ -128,20 +152,9 @@ def commit_ends(
     number up to which gaps are given up), ``skipped`` and ``pending`` as counts of numbers.
     ``found`` are the gaps, where the caller has them already.
     """
-    facts = [F.max("seq").alias("high")]
-    if cutoff is not None:
-        old = F.col("processed_at") <= _instant(cutoff)
-        facts.append(F.max(F.when(old, F.col("seq"))).alias("highest_old"))
-    facts = marks.filter(F.col("seq") >= 0).groupBy(*PARTITION_KEYS).agg(*facts)
-    floor = F.lit(-1).cast("bigint")
-    if start is not None:
-        facts = facts.join(start.select(*PARTITION_KEYS, "committed_seq"), PARTITION_KEYS, "left")
-        floor = F.coalesce("committed_seq", floor)
-    anchor = floor if cutoff is None else F.greatest(F.col("highest_old"), floor)
-    facts = facts.select(*PARTITION_KEYS, "high", anchor.alias("anchor"))
+    facts = _facts(marks, start, cutoff)
     found, beyond = gaps(marks, start) if found is None else found, F.lit(True)
     if cutoff is not None:
-        facts = small_side(facts)
         found, beyond = found.join(facts, PARTITION_KEYS), F.col("gap_start") > F.col("anchor")
     length = F.col("gap_end") - F.col("gap_start") + 1
     counts = found.groupBy(*PARTITION_KEYS).agg(
@@ -205,10 +218,10 @@ def skipped_gaps(
 ) -> DataFrame:
     """Gaps given up by ``gap_timeout`` at ``as_of``, with ``missing``, the count of their numbers."""
     seen = marks.filter(F.col("processed_at") <= _instant(as_of))
-    ends = small_side(commit_ends(seen, cutoff=_instant(as_of) - F.lit(timeout)))
+    facts = _facts(seen, None, _instant(as_of) - F.lit(timeout))
     return (
         gaps(seen)
-        .join(ends.select(*PARTITION_KEYS, "anchor"), PARTITION_KEYS)
+        .join(facts.select(*PARTITION_KEYS, "anchor"), PARTITION_KEYS)
         .filter(F.col("gap_start") <= F.col("anchor"))
         .select(
             *PARTITION_KEYS, "gap_start", "gap_end",

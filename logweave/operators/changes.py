@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from logweave.functions.json_codec import parse_json
 from logweave.operators.latest import DELETED
 
 
@@ -12,7 +13,8 @@ def unwrap_changes(log: DataFrame, row_schema: T.StructType, keep_tombstones: bo
 
     Values are change records ``{before, after, op}``, alone or as the ``payload`` of a schema
     envelope. A delete yields the row as it was before. A null value is a tombstone: its row fields
-    are null, and its key says whose. Undecodable values have ``_error`` set.
+    are null, and its key says whose. Values that are not one JSON text, or whose fields are not of the
+    schema's types, have ``_error`` set.
     """
     record = T.StructType(
         [
@@ -40,13 +42,13 @@ def rewritten_changes(log: DataFrame, row_schema: T.StructType, keep_tombstones:
 
 
 def _parse(log: DataFrame, record: T.StructType) -> DataFrame:
-    """Log with ``_change``, taken from the payload of an envelope or from the value itself."""
-    enveloped = T.StructType([T.StructField("payload", record), *record.fields])
+    """Log with ``_change``, taken from the payload of an envelope or from the value itself; null if it is neither."""
+    text = F.col("value").cast("string")
+    envelope = T.StructType([T.StructField("payload", record)])
+    # two layouts, as the row may have a column called payload; the second is tried where the first finds nothing
+    found = F.coalesce(parse_json(text, envelope)["payload"], parse_json(text, record))
     # as the output of a generator the record is parsed once, whatever is filtered on later
-    found = F.explode(F.array(F.from_json(F.col("value").cast("string"), enveloped)))
-    itself = F.struct(*[F.col(f"_found.`{f.name}`").alias(f.name) for f in record.fields])
-    parsed = log.select("*", found.alias("_found"))
-    return parsed.withColumn("_change", F.coalesce(F.col("_found.payload"), itself)).drop("_found")
+    return log.select("*", F.explode(F.array(found)).alias("_change"))
 
 
 def _rows(

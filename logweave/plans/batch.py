@@ -517,7 +517,14 @@ def cdc_source(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cdc_unwrap(spark: SparkSession, d: str) -> DataFrame:
-    rows = op.unwrap_changes(fx.change_log(spark, d), ROW_SCHEMA)
+    return _change_rows(op.unwrap_changes(fx.change_log(spark, d), ROW_SCHEMA))
+
+
+def cdc_unwrap_rewritten(spark: SparkSession, d: str) -> DataFrame:
+    return _change_rows(op.rewritten_changes(fx.rewritten_change_log(spark, d), ROW_SCHEMA))
+
+
+def _change_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         F.col("key").cast("string").alias("k"), F.col("offset").alias("off"), "id", "name",
         F.col("__deleted").alias("deleted"), "is_tombstone", F.col("_error").alias("error"),
@@ -576,7 +583,7 @@ BATCH_QUERIES = {
         duplicates, ledger_new_only, null_keys, carry_positions, set_changes, retry_outcomes,
         retry_frame, dlq_rows, dlq_reasons, pause_intervals, pause_holds, classify_errors,
         ewma_latency, inflight, recent_errors, partition_health, partition_score,
-        choose_partition, route_batch, delivery_metrics, cdc_source, cdc_unwrap, cdc_latest,
+        choose_partition, route_batch, delivery_metrics, cdc_source, cdc_unwrap, cdc_unwrap_rewritten, cdc_latest,
         cdc_latest_live, upsert_table, mark_processed,
     ]
 }

@@ -197,9 +197,24 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "op",
     )
     text = F.to_json(F.struct(F.struct(F.lit("struct").alias("type")).alias("schema"), record.alias("payload")))
-    messages = customer_changes(spark, sf_dir).withColumns(
-        {"value": text, "partition": (F.col("id") % PARTITIONS).cast("int")}
-    )
+    return _change_messages(customer_changes(spark, sf_dir).withColumn("value", text))
+
+
+def rewritten_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes as rows with a ``__deleted`` field, in an envelope for even ids; three ids of 13 are broken."""
+    deleted = F.when(F.col("op") == "d", "true").otherwise("false").alias("__deleted")
+    broken = F.col("id") % 13
+    number = F.when(broken == 6, F.to_json(F.struct("id", F.col("id").alias("name"), deleted)))
+    text = F.when(broken == 7, F.to_json(F.struct(F.lit("x").alias("id"), "name", deleted)))
+    row = F.coalesce(number, text, F.to_json(F.struct("id", "name", deleted)))
+    enveloped = F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), row, F.lit("}"))
+    value = F.when(F.col("id") % 2 == 0, enveloped).otherwise(row)
+    value = F.concat(value, F.when(broken == 5, ' junk').otherwise(""))
+    return _change_messages(customer_changes(spark, sf_dir).withColumn("value", value))
+
+
+def _change_messages(changes: DataFrame) -> DataFrame:
+    messages = changes.withColumn("partition", (F.col("id") % PARTITIONS).cast("int"))
     tombstones = messages.filter(F.col("op") == "d").withColumns(
         {"value": F.lit(None).cast("string"), "offset": F.col("offset") + 5_000_000}
     )

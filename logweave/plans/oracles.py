@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from logweave.functions.errors import COOLDOWN_CODES, NON_RETRIABLE_CODES, RETRIABLE_CODES
 from logweave.plans.fixtures import AS_OF_US
 
 _TIMEOUT_US = 3_600 * 1_000_000
 
+# Public client error-code names, written out so that the lists of the library are checked.
+_RETRIABLE = """
+  'BrokerNotAvailable', 'ReplicaNotAvailable', 'NetworkException', 'RequestTimedOut', 'LeaderNotAvailable',
+  'NotLeaderForPartition', 'UnknownLeaderEpoch', 'UnknownTopicOrPart', 'OffsetNotAvailable',
+  'PreferredLeaderNotAvailable', 'EligibleLeadersNotAvailable', 'ReassignmentInProgress', 'StaleBrokerEpoch',
+  'StaleCtrlEpoch', 'RebootstrapRequired', 'KafkaStorageError', 'NotEnoughReplicas', 'NotEnoughReplicasAfterAppend',
+  'ThrottlingQuotaExceeded', 'Local_MsgTimedOut', 'Local_Transport', 'Local_AllBrokersDown', 'Local_TimedOut',
+  'Local_IsrInsuff', 'Local_Retry', 'Local_WaitCache', 'Local_Resolve', 'Local_TimedOutQueue', 'Local_QueueFull',
+  'Unknown'"""
+_NON_RETRIABLE = """
+  'MsgSizeTooLarge', 'RecordListTooLarge', 'TopicAuthorizationFailed', 'ClusterAuthorizationFailed',
+  'GroupAuthorizationFailed', 'TransactionalIdAuthorizationFailed', 'InvalidRequiredAcks', 'InvalidConfig',
+  'InvalidRequest', 'UnsupportedVersion', 'UnsupportedCompressionType', 'InvalidRecord', 'InvalidMsg',
+  'PolicyViolation', 'TopicException', 'Local_UnknownTopic', 'UnknownTopicId', 'OutOfOrderSequenceNumber',
+  'DuplicateSequenceNumber', 'InvalidProducerEpoch', 'UnknownProducerId', 'ProducerFenced'"""
+_COOLDOWN = """
+  'LeaderNotAvailable', 'NotLeaderForPartition', 'PreferredLeaderNotAvailable', 'EligibleLeadersNotAvailable',
+  'BrokerNotAvailable', 'ReplicaNotAvailable', 'KafkaStorageError', 'NotEnoughReplicas',
+  'NotEnoughReplicasAfterAppend'"""
+
 # the event log. p = partition, off = offset, k = key, v = value.
 _LOG = """
 log AS (
@@ -107,10 +126,6 @@ attempts AS (
 """
 
 
-def _names(codes: list[str]) -> str:
-    return ", ".join(f"'{c}'" for c in codes)
-
-
 def _health(by: str) -> str:
     """Health columns per group, order-dependent parts by windows over the whole group."""
     return f"""
@@ -124,7 +139,7 @@ means AS (SELECT {by}, sum(0.2 * latency_ms * pow(0.8::DOUBLE, later)) AS mean F
 errors AS (
   SELECT {by}, sum(step) - least(0, min(walk)) AS recent_errors,
          max(CASE WHEN kind = 'error' THEN at_ms END) AS last_error_ms,
-         max(CASE WHEN error_code IN ({_names(COOLDOWN_CODES)}) THEN at_ms END) AS cool_ms
+         max(CASE WHEN error_code IN ({_COOLDOWN}) THEN at_ms END) AS cool_ms
   FROM walked GROUP BY {by}),
 opened AS (
   SELECT {by}, sum(CASE WHEN kind = 'produce' THEN 1 ELSE -1 END) AS inflight FROM attempts GROUP BY {by}),
@@ -343,10 +358,10 @@ ORACLES = {
     "pause_holds": f"""WITH {_PAUSES} SELECT r.event_id, r.p, m.e AS held_us FROM retried r
       LEFT JOIN merged m ON m.p = r.p AND r.ts_us > m.s AND r.ts_us < m.e""",
     "classify_errors": f"""WITH {_attempts("'error'")}
-      SELECT error_code, CASE WHEN error_code IN ({_names(NON_RETRIABLE_CODES)}) THEN 'non_retriable'
-               WHEN error_code IN ({_names(RETRIABLE_CODES)}) THEN 'retriable' WHEN error_code IS NOT NULL THEN 'unlisted' END AS error_class,
-             coalesce(NOT is_fatal AND error_code NOT IN ({_names(NON_RETRIABLE_CODES)}), false) AS retryable,
-             coalesce(error_code IN ({_names(COOLDOWN_CODES)}), false) AS cooldown, count(*) AS n
+      SELECT error_code, CASE WHEN error_code IN ({_NON_RETRIABLE}) THEN 'non_retriable'
+               WHEN error_code IN ({_RETRIABLE}) THEN 'retriable' WHEN error_code IS NOT NULL THEN 'unlisted' END AS error_class,
+             coalesce(NOT is_fatal AND error_code NOT IN ({_NON_RETRIABLE}), false) AS retryable,
+             coalesce(error_code IN ({_COOLDOWN}), false) AS cooldown, count(*) AS n
       FROM attempts GROUP BY 1, 2, 3, 4""",
     "ewma_latency": f"""WITH {_attempts("'error'")}, {_health("p")} SELECT p, round(mean, 6) AS ewma FROM means""",
     "inflight": f"""WITH {_attempts("'error'")}
@@ -376,6 +391,11 @@ ORACLES = {
       SELECT CAST(id AS VARCHAR) AS k, off, id, name, CASE WHEN op = 'd' THEN 'true' ELSE 'false' END AS deleted,
              false AS is_tombstone, NULL::VARCHAR AS error FROM changes
       UNION ALL SELECT CAST(id AS VARCHAR), off + 5000000, NULL, NULL, NULL, true, NULL FROM changes WHERE op = 'd'""",
+    "cdc_unwrap_rewritten": f"""WITH {_CHANGES}, read AS (SELECT *, id % 13 IN (5, 6, 7) AS broken FROM changes)
+      SELECT CAST(id AS VARCHAR) AS k, off, CASE WHEN NOT broken THEN id END AS id, CASE WHEN NOT broken THEN name END AS name,
+             CASE WHEN broken THEN NULL WHEN op = 'd' THEN 'true' ELSE 'false' END AS deleted,
+             false AS is_tombstone, CASE WHEN broken THEN 'malformed_change' END AS error FROM read
+      UNION ALL SELECT CAST(id AS VARCHAR), off + 5000000, NULL, NULL, NULL, true, NULL FROM changes WHERE op = 'd'""",
     "cdc_latest": _LATEST,
     "cdc_latest_live": f"{_LATEST} WHERE deleted <> 'true'",
     "upsert_table": _LATEST,

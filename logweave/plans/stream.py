@@ -251,6 +251,17 @@ def cdc_mirror_stream(spark: SparkSession, d: str) -> DataFrame:
     return batch._customer(mirror.read_mirror(spark, root, batch.ROW_SCHEMA, ["id"]))
 
 
+def cdc_mirror_rewritten_stream(spark: SparkSession, d: str) -> DataFrame:
+    root = work_dir(spark, "mirror")
+    _in_two_runs(
+        spark, _halves(fx.rewritten_change_log(spark, d), "offset", 20_000_000), LOG_SCHEMA,
+        lambda s, checkpoint: mirror.cdc_mirror(
+            s, batch.ROW_SCHEMA, ["id"], root, checkpoint, unwrap=op.rewritten_changes
+        ),
+    )
+    return batch._customer(mirror.read_mirror(spark, root, batch.ROW_SCHEMA, ["id"]))
+
+
 def continuous_view_stream(spark: SparkSession, d: str) -> DataFrame:
     """Queue of JSON events as a table: detached after the first part, then attached again."""
     target = work_dir(spark, "view")
@@ -293,7 +304,7 @@ STREAM_QUERIES = {
     for f in [
         log_stream, discovered_partitions_stream, intake_bound_stream, commit_max_stream,
         track_commits_stream, track_commits_gap_stream, dedup_stream, idempotent_consume_stream,
-        retry_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream,
+        retry_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream, cdc_mirror_rewritten_stream,
         continuous_view_stream, partition_health_stream, delivery_metrics_stream,
     ]
 }
@@ -318,6 +329,7 @@ STREAM_ORACLES = {
       chunks AS (SELECT least(10, n - 10 * c) AS chunk_rows FROM sizes, range(0, (SELECT max(n) FROM sizes)) AS r(c) WHERE 10 * c < n)
       SELECT chunk_rows, count(*) AS chunks FROM chunks GROUP BY 1""",
     "cdc_mirror_stream": ORACLES["cdc_latest"],
+    "cdc_mirror_rewritten_stream": f"{ORACLES['cdc_latest']} WHERE id % 13 NOT IN (5, 6, 7)",
     "continuous_view_stream": ORACLES["json_queue_view"],
     "partition_health_stream": ORACLES["partition_health"],
     "delivery_metrics_stream": ORACLES["delivery_metrics"],

@@ -92,10 +92,19 @@ def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
     """Evaluate a table that is expected to be small, and check that it is.
 
     Up to ``max_rows`` rows become a local relation: Spark then knows its true
-    size and broadcasts it by its own threshold. A longer table is returned
-    as it was, and the join shuffles both sides.
+    size and broadcasts it by its own threshold. A longer table is written, and
+    the join shuffles both sides. Either way the rows are those of this moment,
+    and what was evaluated for the check is not evaluated again.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    level = df.storageLevel
+    own = not (level.useMemory or level.useDisk)
+    if own:
+        df.persist()
+    try:
+        rows = df.limit(max_rows + 1).toArrow()
+        if rows.num_rows > max_rows:
+            return materialize(df, "side")
+        return df.sparkSession.createDataFrame(rows, df.schema)
+    finally:
+        if own:
+            df.unpersist()

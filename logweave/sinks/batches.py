@@ -120,7 +120,8 @@ def read_batches(
         # a filter on the directory column prunes the listing
         rows = rows.filter(F.col("batch_id") < before)
         commits = commits.filter(F.col("batch_id") < before)
-    # a compacted table is one batch, so this join must not move the rows by batch id
+    # a compacted table is one batch, so this join must not move the rows by batch id; batches committed
+    # after this call are not read, whatever the number of batches
     return rows.join(small_side(commits), "batch_id", "left_semi")
 
 

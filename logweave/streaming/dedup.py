@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from logweave.operators.dedup import dedup_first, new_only, null_keys
-from logweave.session import SMALL_SIDE_ROWS, small_side
+from logweave.session import small_side
 from logweave.sinks.batches import commit_batch, read_batches, stage_batch
 from logweave.sinks.ledger import LEDGER_SCHEMA, ledger_rows
 from logweave.streaming.run import for_each_batch
@@ -73,17 +73,22 @@ def idempotent_consume(
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        arrived = dedup_first(batch, [key], order).withColumn("_id", F.col(key).cast("string")).persist()
+        try:
+            consume(batch, batch_id, arrived)
+        finally:
+            arrived.unpersist()
+
+    def consume(batch: DataFrame, batch_id: int, first: DataFrame) -> None:
         spark = batch.sparkSession
-        first = dedup_first(batch, [key], order).withColumn("_id", F.col(key).cast("string"))
         ledger = earlier
         if check_ledger:
             own = read_batches(spark, root, LEDGER_SCHEMA, batch_id, "ledger").select("message_id")
             ledger = own if earlier is None else own.unionByName(earlier.select("message_id"))
         if ledger is not None:
-            ledger = ledger.select(F.col("message_id").alias("_id"))
-            if batch.limit(SMALL_SIDE_ROWS + 1).count() <= SMALL_SIDE_ROWS:
-                # with few ids the ledger is filtered where it is read, instead of shuffled
-                ledger = ledger.join(small_side(first.select("_id")), "_id", "left_semi")
+            # with few ids the ledger is filtered where it is read, instead of shuffled
+            ids = small_side(first.select("_id"))
+            ledger = ledger.select(F.col("message_id").alias("_id")).join(ids, "_id", "left_semi")
             first = new_only(first, ledger, ["_id"])
         result = process(first.drop("_id"))
         if "_error" not in result.columns:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from logweave.operators.health import (
@@ -13,6 +13,7 @@ from logweave.operators.health import (
 )
 from logweave.operators.latest import latest_by_key
 from logweave.operators.metrics import delivery_metrics
+from logweave.session import path_exists
 from logweave.sinks.batches import (
     batch_before,
     commit_state,
@@ -36,6 +37,9 @@ SUMMARY_SCHEMA = T.StructType(
         T.StructField("cooldown_error_ms", T.LongType()),
     ]
 )
+SEEN_SCHEMA = T.StructType(
+    [T.StructField("partition", T.IntegerType()), T.StructField("newest", T.LongType())]
+)
 METRIC_SCHEMA = T.StructType(
     [
         T.StructField("window_start_ms", T.LongType()),
@@ -54,14 +58,37 @@ METRIC_SCHEMA = T.StructType(
 def health_stream(
     attempts: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Keep one summary row per partition, each micro-batch's attempts following the earlier ones."""
+    """Keep one summary row per partition, each micro-batch's attempts following the earlier ones.
+
+    An attempt older than one of an earlier micro-batch stops the stream, since the error count and the
+    average depend on the order. Inside a micro-batch any order will do.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = read_one_batch(spark, root, SUMMARY_SCHEMA, batch_before(spark, root, batch_id))
+        previous = batch_before(spark, root, batch_id)
+        before = read_one_batch(spark, root, SUMMARY_SCHEMA, previous)
+        # a state from before the newest attempt was kept has no such part
+        kept = previous is not None and path_exists(spark, f"{root}/seen/batch_id={previous}")
+        seen = read_one_batch(spark, root, SEEN_SCHEMA, previous if kept else None, "seen")
+        number = F.col("attempt_no").cast("long")
+        arrived = batch.groupBy("partition").agg(F.min(number).alias("oldest"), F.max(number).alias("high"))
+        both = seen.alias("s").join(arrived.alias("a"), F.col("s.partition").eqNullSafe(F.col("a.partition")), "full")
+        newest = both.select(
+            F.coalesce("s.partition", "a.partition").alias("partition"),
+            F.greatest("newest", "high").alias("newest"),
+            F.coalesce(F.col("oldest") < F.col("newest"), F.lit(False)).alias("late"),
+        ).persist()
+        try:
+            late = newest.filter("late").take(1)
+            if late:
+                raise RuntimeError(f"batch {batch_id} has attempts of partition {late[0]['partition']} older than its state")
+            stage_batch(newest.drop("late").coalesce(1), root, batch_id, "seen")
+        finally:
+            newest.unpersist()
         merged = merge_summaries(before, health_summary(batch), ["partition"])
         stage_batch(merged.coalesce(1), root, batch_id)
-        commit_state(spark, root, batch_id, ["data"])
+        commit_state(spark, root, batch_id, ["data", "seen"])
 
     return for_each_batch(attempts, step, root, checkpoint, trigger)
 

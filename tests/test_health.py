@@ -76,6 +76,18 @@ def test_stream_merges_batches(spark, small_blocks):
     assert rounded(read_health(spark, root, 4_000)) == rounded(whole)
 
 
+def test_attempts_older_than_the_state_stop_the_stream(spark):
+    source, root, checkpoint = (work_dir(spark, n) for n in ("attempts", "health", "cp"))
+    for attempt in (7, 7, 6):
+        row = [(0, attempt, 10, "produce", None, None, None)]
+        spark.createDataFrame(row, ATTEMPT_SCHEMA).write.mode("append").parquet(source)
+        query = health_stream(spark.readStream.schema(ATTEMPT_SCHEMA).parquet(source), root, checkpoint)
+        if attempt == 7:
+            finish(query)
+    with pytest.raises(Exception, match="older than its state"):
+        finish(query)
+
+
 def test_average_ordered_by_sparse_times(spark):
     rng = random.Random(6)
     times = sorted(rng.sample(range(10**15), 400))

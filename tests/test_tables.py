@@ -46,6 +46,15 @@ def test_unwrap_changes(spark):
     assert op.unwrap_changes(log, ROW, keep_tombstones=False).count() == 5
 
 
+def test_change_records_are_read_strictly(spark):
+    good = '{"id":1,"payload":"p"}'
+    values = [good, f'{{"payload":{good}}}', good + " junk", good + ',"x":2', '{"id":"x","payload":"p"}', '{"id":1,"payload":7}', "null", "7"]
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("payload", T.StringType())])
+    log = log_of(spark, [(0, i, "k", v) for i, v in enumerate(values)])
+    out = op.rewritten_changes(log, schema).orderBy("offset").collect()
+    assert [(r["id"], r["payload"], r["_error"]) for r in out] == [(1, "p", None)] * 2 + [(None, None, "malformed_change")] * 6
+
+
 def test_rows_unwrapped_upstream(spark):
     def row(name, deleted, enveloped):
         text = f'{person(1, name)[:-1]},"__deleted":"{deleted}"}}'

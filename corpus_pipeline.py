@@ -35,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data and secrets replaced."""
-    return private_data.replace_private_data(docs, SURROGATE_KEY).select(*docs.columns)
+    return private_data.replace_private_data(docs, SURROGATE_KEY, count=None)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,8 +243,10 @@ def assign_surrogates(found: DataFrame, key: bytes) -> DataFrame:
         attempt += 1
 
 
-def replace_private_data(docs: DataFrame, key: bytes) -> DataFrame:
-    """All columns of ``docs`` with surrogates in ``text``, and ``n_replaced``.
+def replace_private_data(docs: DataFrame, key: bytes, count: str | None = "n_replaced") -> DataFrame:
+    """All columns of ``docs`` with surrogates in ``text``, and the number of replacements as ``count``.
+
+    A column of ``docs`` that is called like ``count`` gives way to it; with None nothing is added.
 
     An entity has the same surrogate everywhere, in the spelling of each place; different entities
     have different ones. Same key, same surrogates, but for collisions. Names are found behind titles. A null text stays
@@ -279,8 +281,9 @@ def replace_private_data(docs: DataFrame, key: bytes) -> DataFrame:
         .groupBy("_check")
         .agg(F.collect_list(F.struct("kind", "value", "made")).alias("_made"))
     )
-    names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_replaced int"
+    names = [c for c in docs.columns if c != count]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != count]
+    schema = ", ".join(fields if count is None else [*fields, f"`{count}` int"])
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):
@@ -294,7 +297,11 @@ def replace_private_data(docs: DataFrame, key: bytes) -> DataFrame:
                 out.append("".join(parts) + text[last:])
                 numbers.append(number)
             columns = [pa.array(out, pa.string()) if n == "text" else block.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers, pa.int32())], [*names, "n_replaced"])
+            if count is None:
+                yield pa.RecordBatch.from_arrays(columns, names)
+            else:
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers, pa.int32())], [*names, count])
 
     changed = suspects.join(known, "_check", "left").select(*names, "_made").mapInArrow(replace, schema)
-    return changed.union(texts.filter(~suspect).select(*names, F.lit(0).alias("n_replaced")))
+    others = texts.filter(~suspect).select(*names)
+    return changed.union(others if count is None else others.withColumn(count, F.lit(0)))

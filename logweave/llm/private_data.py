@@ -32,13 +32,14 @@ GIVEN = {
 
 # attempts that keep the form of an entity
 SAME_FORM = 8
+HEX = "0123456789abcdef"
 
 _upper = "A-ZÀ-ÖØ-ÞА-ЯЁ"
 _octet = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FIND = re.compile(
     rf"""
     (?P<key>\bAKIA[0-9A-Z]{{16}}\b)
-  | (?P<label>\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b\s*[=:]\s*["']?)(?P<secret>[^\s"',;]{{6,}})
+  | (?P<label>(?i:password|passwd|pwd|token|secret|api[_-]?key)\b(?:\\*["'])?\s*[=:]\s*(?:\\*["'])?)(?P<secret>[^\s"',;]{{6,}})
   | (?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
   | (?P<iban>\b[A-Z]{{2}}[0-9]{{2}}(?:\ ?[A-Z0-9]{{4}}){{2,7}}(?:\ ?[A-Z0-9]{{1,3}})?\b)
   | (?P<ip>(?<![\d.])(?:{_octet}\.){{3}}{_octet}(?!\.?\d))
@@ -118,12 +119,12 @@ class _Stream:
         self.number, rest = divmod(self.number, limit)
         return rest
 
-    def like(self, text: str, hexadecimal: bool = False) -> str:
-        """Each letter by a letter of its case, each digit by a digit."""
+    def like(self, text: str, hexadecimal: str = "") -> str:
+        """Each letter by a letter of its case, each digit by a digit; or hexadecimal digits by such digits."""
         out = []
         for c in text:
-            if hexadecimal and c in "0123456789abcdef":
-                out.append("0123456789abcdef"[self.below(16)])
+            if c in hexadecimal:
+                out.append(hexadecimal[self.below(16)])
             elif c.isdigit():
                 out.append(str(self.below(10)))
             elif "a" <= c <= "z":
@@ -146,7 +147,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     if kind == "key":
         return "AKIA" + stream.like(value[4:]) + stream.like("A" * longer)
     if kind == "secret":
-        return stream.like(value, bool(re.fullmatch(r"[0-9a-f]+", value))) + stream.like("a" * longer)
+        digits = next((d for d in (HEX, HEX.upper()) if set(value) <= set(d)), "")
+        return stream.like(value, digits) + stream.like("a" * longer)
     if kind == "email":
         local, _, domain = value.partition("@")
         head, dot, end = domain.rpartition(".")
@@ -156,7 +158,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return f"{value[:2]}{98 - _iban_rest(body):02d}{body[4:]}"
     if kind == "ip":
         if longer:  # a unique local address of the newer kind
-            return "fd" + stream.like("0" * 2, True) + "".join(":" + stream.like("0000", True) for _ in range(7))
+            return "fd" + stream.like("0" * 2, HEX) + "".join(":" + stream.like("0000", HEX) for _ in range(7))
         first, second = map(int, value.split(".")[:2])
         rest = [str(stream.below(256)) for _ in range(3)]
         if ipaddress.ip_address(value).is_global:

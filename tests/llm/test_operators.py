@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -152,6 +153,20 @@ def test_private_data_whose_form_is_used_up(spark):
     assert not {(r["kind"], r["made"]) for r in rows} & asked
 
 
+def test_private_data_finds_secrets_behind_labels_of_any_spelling(spark):
+    texts = [
+        'TOKEN = "9233A8ECF7C5B09F"', "PASSWORD=hunter22", "Token: abc123xyz", "DB_PASSWORD=hunter22", "access_token=abc123xyz",
+        '{"password": "hunter22", "x": 1}', "{'api-key':'abc123xyz'}", r'"{\"Secret\": \"abc123xyz\"}"',
+    ]
+    found = by_id(private_data.replace_private_data(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), b"k"))
+    for i, text in enumerate(texts):
+        made = found[i]["text"]
+        assert found[i]["n_replaced"] == 1 and len(made) == len(text)
+        assert not any(s in made for s in ("9233A8ECF7C5B09F", "hunter22", "abc123xyz"))
+    assert re.fullmatch('TOKEN = "[0-9A-F]{16}"', found[0]["text"])
+    assert not list(private_data.entities("tokens=100000 and tokenizer: sentences"))
+
+
 def test_toxicity(spark):
     clean, bad = "you are a kind friend number {}", "you are a stup1d friend number {}"
     rows = [(i, (bad if i % 2 else clean).format(chr(97 + i % 26) * (2 + i // 26))) for i in range(200)] + [(999, None)]

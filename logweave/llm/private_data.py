@@ -36,21 +36,27 @@ HEX = "0123456789abcdef"
 
 _upper = "A-ZÀ-ÖØ-ÞА-ЯЁ"
 _octet = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_ip = rf"(?P<ip>(?<![\d.])(?:{_octet}\.){{3}}{_octet}(?!\.?\d))"
+_ssn = r"(?P<ssn>(?a:(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])))"
+_phone = r"""(?P<phone>(?a:(?<![\d(])(?:\+\d{1,3}[\ .-]?)?\(?\d{3}\)?[\ .-]\d{3}[\ .-]\d{4}(?!\d)
+      |\+\d{1,3}(?:[\ .-]?\d{2,4}){2,5}(?!\d)))"""
 FIND = re.compile(
     rf"""
     (?P<key>\bAKIA[0-9A-Z]{{16}}\b)
   | (?P<label>(?i:password|passwd|pwd|token|secret|api[_-]?key)\b(?:\\*["'])?\s*[=:]\s*(?:\\*["'])?)(?P<secret>[^\s"',;]{{6,}})
   | (?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
   | (?P<iban>\b[A-Z]{{2}}[0-9]{{2}}(?:\ ?[A-Z0-9]{{4}}){{2,7}}(?:\ ?[A-Z0-9]{{1,3}})?\b)
-  | (?P<ip>(?<![\d.])(?:{_octet}\.){{3}}{_octet}(?!\.?\d))
+  | {_ip}
   | (?P<card>(?a:(?<!\d)\d(?:[\ -]?\d){{12,18}}(?!\d)))
-  | (?P<ssn>(?a:(?<![\d-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d-])))
-  | (?P<phone>(?a:(?<![\d(])(?:\+\d{{1,3}}[\ .-]?)?\(?\d{{3}}\)?[\ .-]\d{{3}}[\ .-]\d{{4}}(?!\d)
-      |\+\d{{1,3}}(?:[\ .-]?\d{{2,4}}){{2,5}}(?!\d)))
+  | {_ssn}
+  | {_phone}
   | \b(?P<title>{"|".join(MALE + FEMALE + NEUTRAL)})\.?\ +(?P<name>[{_upper}][\w'’-]+(?:\ +[{_upper}][\w'’-]+)?)
     """,
     re.X,
 )
+SEPARATOR = re.compile("[ -]")
+# what a run of digit groups may hold besides a card
+GROUPED = re.compile(rf"{_ip}|{_ssn}|{_phone}", re.X)
 # what a text must have for any of these; the JVM reads it, so each place is settled by its first character
 SUSPECT = "[0-9@=:]|[{}](?:{})[.]? ".format(
     "".join(sorted({t[0] for t in MALE + FEMALE + NEUTRAL})), "|".join(sorted({t[1:] for t in MALE + FEMALE + NEUTRAL}))
@@ -72,37 +78,70 @@ def _script(word: str) -> str:
     return "cyrillic" if name.startswith("CYRILLIC") else "latin"
 
 
+def _valid(kind: str, value: str) -> bool:
+    """Whether a card or an IBAN, without separators, has a right check digit."""
+    return _iban_rest(value) == 1 if kind == "iban" else not luhn(value) and len(set(value)) > 1
+
+
+def _checked(text: str, start: int, end: int, kind: str, again: bool) -> tuple[str, int]:
+    """Kind and end of the entity at the start of a run of groups that looks like a card or an IBAN; no kind, and the
+    end of the first group, if there is none.
+
+    The run may hold more than one entity, so its beginnings up to a separator are tried too, the longest first. An SSN
+    or phone at its start comes before a card, and no card ends within another entity. All groups but the last
+    of a shorter card, and of one that begins behind another group (``again``), have four digits at least.
+    """
+    ends = [m.start() for m in SEPARATOR.finditer(text, start, end)] + [end]
+    inner = [] if kind == "iban" else [m for s in [start, *[e + 1 for e in ends[:-1]]] if (m := GROUPED.match(text, s))]
+    if inner and inner[0].start() == start:
+        return inner[0].lastgroup, inner[0].end()
+    least = 15 if kind == "iban" else 13
+    for place in range(len(ends) - 1, -1, -1):
+        value = SEPARATOR.sub("", text[start : ends[place]])
+        if len(value) < least:
+            break
+        shorter = kind == "card" and (again or ends[place] < end)
+        if shorter and any(b - a < 5 for a, b in zip([start - 1, *ends], ends[:place], strict=False)):
+            continue
+        if _valid(kind, value) and not any(m.start() < ends[place] < m.end() for m in inner):
+            return kind, ends[place]
+    return "", ends[0]
+
+
 def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
     """Start, end, kind and canonical value of all entities of a text, in order and without overlap.
 
     Spellings of one entity have one canonical value: digits alone for numbers, the last ten for phones,
     lower case for addresses and names. A name's words are entities of their own, so a surname by itself is the same as
-    behind a given name. Long numbers are cards, and IBANs are such, only with a right check digit.
+    behind a given name. Long numbers are cards, and IBANs are such, only with a right check digit; what stands
+    next to them is searched by itself.
     """
-    for m in FIND.finditer(text):
-        kind, value = m.lastgroup, m[m.lastgroup]
+    at, run = 0, 0  # run: the end of the run of groups that the last match began
+    while m := FIND.search(text, at):
+        kind, (start, at) = m.lastgroup, m.span(m.lastgroup)
         if kind == "name":
             gender = "m" if m["title"] in MALE else "f" if m["title"] in FEMALE else ""
-            words = list(re.finditer(r"\S+", value))
+            words = list(re.finditer(r"\S+", m["name"]))
             for place, word in enumerate(words):
-                start = m.start("name") + word.start()
+                begin = start + word.start()
                 role = f"given-{gender}" if place < len(words) - 1 else f"surname-{gender if _script(word[0]) == 'cyrillic' else ''}"
-                yield start, start + len(word[0]), f"{role}-{_script(word[0])}", word[0].lower()
+                yield begin, begin + len(word[0]), f"{role}-{_script(word[0])}", word[0].lower()
             continue
-        canonical = value
-        if kind in ("card", "ssn", "phone"):
-            canonical = re.sub(r"\D", "", value)
-            if kind == "card" and (luhn(canonical) or len(set(canonical)) == 1):
+        if kind in ("card", "iban"):
+            again, run = start < run, max(run, at)
+            kind, at = _checked(text, start, at, kind, again)
+            if not kind:
                 continue
+        canonical = text[start:at]
+        if kind in ("card", "ssn", "phone"):
+            canonical = re.sub(r"\D", "", canonical)
             if kind == "phone":
                 canonical = canonical[-10:]
         elif kind == "email":
-            canonical = value.lower()
+            canonical = canonical.lower()
         elif kind == "iban":
-            canonical = value.replace(" ", "")
-            if _iban_rest(canonical) != 1:
-                continue
-        yield m.start(kind), m.end(kind), kind, canonical
+            canonical = canonical.replace(" ", "")
+        yield start, at, kind, canonical
 
 
 class _Stream:

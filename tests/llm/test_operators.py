@@ -167,6 +167,26 @@ def test_private_data_finds_secrets_behind_labels_of_any_spelling(spark):
     assert not list(private_data.entities("tokens=100000 and tokenizer: sentences"))
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("4111 1111 1111 1111 12/27", ["4111 1111 1111 1111"]),
+        ("4111111111111111 123", ["4111111111111111"]),
+        ("123 4111-1111-1111-1111 1", ["4111-1111-1111-1111"]),
+        ("4111111111111111 159.210.220.238", ["4111111111111111", "159.210.220.238"]),
+        ("1234567890 159.210.220.238", ["159.210.220.238"]),
+        ("123-45-6789 555-123-4567", ["123-45-6789", "555-123-4567"]),
+        ("555-123-4567 555-123-4568 555-123-4569", ["555-123-4567", "555-123-4568", "555-123-4569"]),
+        ("4111 1111 1111 1111 5500 0000 0000 0004", ["4111 1111 1111 1111", "5500 0000 0000 0004"]),
+        ("AB12 4111 1111 1111 1111", ["4111 1111 1111 1111"]),
+        ("AT611904300234573201 2024", ["AT611904300234573201"]),
+        ("4111 1111 1111 1113 " + "1 2 3 4 5 6 7 8 9 0 " * 9, []),
+    ],
+)
+def test_private_data_finds_numbers_next_to_each_other(text, found):
+    assert [text[e[0] : e[1]] for e in private_data.entities(text)] == found
+
+
 def test_toxicity(spark):
     clean, bad = "you are a kind friend number {}", "you are a stup1d friend number {}"
     rows = [(i, (bad if i % 2 else clean).format(chr(97 + i % 26) * (2 + i // 26))) for i in range(200)] + [(999, None)]

@@ -7,6 +7,8 @@ import hmac
 import ipaddress
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,6 +57,9 @@ FIND = re.compile(
     re.X,
 )
 SEPARATOR = re.compile("[ -]")
+PART = re.compile(r"\w+")
+WORD = re.compile(r"\w+(?:['’-]\w+)*")
+POSSESSIVE = re.compile(r"['’][sS]$")
 # what a run of digit groups may hold besides a card
 GROUPED = re.compile(rf"{_ip}|{_ssn}|{_phone}", re.X)
 # what a text must have for any of these; the JVM reads it, so each place is settled by its first character
@@ -108,14 +113,49 @@ def _checked(text: str, start: int, end: int, kind: str, again: bool) -> tuple[s
     return "", ends[0]
 
 
-def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
+def _name_words(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of words as names are made of: whole ones, without a possessive ending, and their parts."""
+    for m in WORD.finditer(text):
+        end = m.end() - (2 if POSSESSIVE.search(m[0]) else 0)
+        yield m.start(), end
+        if not text[m.start() : end].isalnum():
+            yield from (part.span() for part in PART.finditer(text, m.start(), end))
+
+
+def entities(text: str) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and canonical value of all entities of a text, in order and without overlap.
 
     Spellings of one entity have one canonical value: digits alone for numbers, the last ten for phones,
     lower case for addresses and names. A name's words are entities of their own, so a surname by itself is the same as
-    behind a given name. Long numbers are cards, and IBANs are such, only with a right check digit; what stands
+    behind a given name. Names are found behind titles; their words are then names wherever else they stand as
+    capitalised words, unless the text has such a word more often in lower case ("Rodeo Dr. The"). Long numbers are cards, and IBANs are such, only with a right check digit; what stands
     next to them is searched by itself.
     """
+    found = list(_found(text))
+    kinds: dict[str, str] = {}
+    for _, _, kind, value in found:
+        if kind.startswith(("given", "surname")):
+            kinds.setdefault(value, kind)
+    if not kinds:
+        return found
+    small, others = Counter(), []
+    ends, starts = [e[1] for e in found], [e[0] for e in found]
+    last = 0
+    for start, end in _name_words(text):
+        value = text[start:end].lower()
+        if value not in kinds or start < last:
+            continue
+        if not text[start].isupper():
+            small[value] += 1
+        elif bisect_right(ends, start) == bisect_left(starts, end):  # no entity is there
+            others.append((start, end, kinds[value], value))
+            last = end
+    large = Counter(e[3] for e in found) + Counter(e[3] for e in others)
+    return sorted(found + [e for e in others if small[e[3]] <= large[e[3]]])
+
+
+def _found(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """The entities whose form or title shows them."""
     at, run = 0, 0  # run: the end of the run of groups that the last match began
     while m := FIND.search(text, at):
         kind, (start, at) = m.lastgroup, m.span(m.lastgroup)
@@ -123,9 +163,9 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
             gender = "m" if m["title"] in MALE else "f" if m["title"] in FEMALE else ""
             words = list(re.finditer(r"\S+", m["name"]))
             for place, word in enumerate(words):
-                begin = start + word.start()
-                role = f"given-{gender}" if place < len(words) - 1 else f"surname-{gender if _script(word[0]) == 'cyrillic' else ''}"
-                yield begin, begin + len(word[0]), f"{role}-{_script(word[0])}", word[0].lower()
+                begin, name = start + word.start(), POSSESSIVE.sub("", word[0]).rstrip("'’-")
+                role = f"given-{gender}" if place < len(words) - 1 else f"surname-{gender if _script(name) == 'cyrillic' else ''}"
+                yield begin, begin + len(name), f"{role}-{_script(name)}", name.lower()
             continue
         if kind in ("card", "iban"):
             again, run = start < run, max(run, at)
@@ -290,7 +330,8 @@ def replace_private_data(docs: DataFrame, key: bytes, count: str | None = "n_rep
     A column of ``docs`` that is called like ``count`` gives way to it; with None nothing is added.
 
     An entity has the same surrogate everywhere, in the spelling of each place; different entities
-    have different ones. Same key, same surrogates, but for collisions. Names are found behind titles. A null text stays
+    have different ones. Same key, same surrogates, but for collisions. Names are found behind titles, and then in the
+    whole document. A null text stays
     null and an empty one empty, with nothing replaced; repeated rows and null ids count like any.
 
     Texts without any sign of an entity stay where they are. The distinct entities of the others get their surrogates in

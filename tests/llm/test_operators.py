@@ -187,6 +187,20 @@ def test_private_data_finds_numbers_next_to_each_other(text, found):
     assert [text[e[0] : e[1]] for e in private_data.entities(text)] == found
 
 
+def test_private_data_replaces_later_mentions_of_a_name(spark):
+    text = (
+        "Anna's dog. Mrs Anna Miller called. Anna said to MILLER, anna and Miller-Lee that Ann and Millers left; "
+        "write to Anna@mail.example.com. Mr Miller’s car on Rodeo Dr. The car, the house, the garden and the end. The End."
+    )
+    found = by_id(private_data.replace_private_data(spark.createDataFrame([(1, text)], "doc_id int, text string"), b"k"))
+    made = found[1]["text"]
+    anna, miller = re.search(r"Mrs (\w+) (\w+) called", made).groups()
+    assert (anna, miller) != ("Anna", "Miller") and found[1]["n_replaced"] == 9
+    assert made.startswith(f"{anna}'s dog. Mrs {anna} {miller} called. {anna} said to {miller.upper()}, anna and {miller}-Lee")
+    assert " that Ann and Millers left; " in made and f"Mr {miller}’s car" in made
+    assert made.endswith(" car, the house, the garden and the end. The End.")
+
+
 def test_toxicity(spark):
     clean, bad = "you are a kind friend number {}", "you are a stup1d friend number {}"
     rows = [(i, (bad if i % 2 else clean).format(chr(97 + i % 26) * (2 + i // 26))) for i in range(200)] + [(999, None)]

@@ -222,6 +222,35 @@ def test_language(spark):
     assert not any(r["accepted"] for r in found if r["doc_id"] >= 90)
 
 
+def test_language_knows_every_labelled_language_and_its_spellings(spark):
+    random = np.random.default_rng(5)
+    codes = [f"{chr(97 + i // 10)}{chr(97 + i % 10)}" for i in range(70)]
+    words = {c: ["".join(w) for w in random.choice(list("abcdefghijklmnopqrstuvwxyz"), (12, 6))] for c in codes}
+    rows = []
+    for i, code in enumerate(codes):
+        for j in range(8 if i < 64 else 6):  # the last are the rarest
+            tag = [code, code.upper(), f"{code}-US", f" {code.upper()}_x", "und", None][j % 6]
+            rows.append((100 * i + j, " ".join(random.choice(words[code], 40)), tag, "h"))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert language.fit_text_model(table).languages == codes
+    found = language.document_languages(table, ["doc_id"]).collect()
+    assert len(found) == len(rows)
+    assert all(r["language"] == codes[r["doc_id"] // 100] and r["accepted"] for r in found)
+
+
+def test_language_tables_of_few_and_many_languages_agree(monkeypatch):
+    random = np.random.default_rng(6)
+    cells = np.unique(random.integers(0, language.BUCKETS * 5, 20_000))
+    given = ["a", "b", "c", "d", "e"], cells % 5, cells // 5, random.integers(1, 90, len(cells))
+    dense = language.TextModel(*given)
+    monkeypatch.setattr(language, "DENSE", 4)
+    sparse = language.TextModel(*given)
+    assert dense.table is not None and sparse.table is None
+    for text in (None, "", "12", "one", LONG, "Ünïcödé ñandú 東京"):
+        (a, n), (b, m) = dense.likelihoods(text), sparse.likelihoods(text)
+        assert n == m and np.allclose(a, b, atol=1e-4)
+
+
 def test_pipeline(spark):
     source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     docs = source

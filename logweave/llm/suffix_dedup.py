@@ -52,7 +52,7 @@ def _context_keys(text: PrefixHashes, first: np.ndarray, count: np.ndarray, at:
 
 
 def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """One row per anchor: ``anchor, context, doc_id, check, place``; ``place`` packs window, count and offset."""
+    """One row per anchor: ``anchor, context, digest, check, place``; ``place`` packs window, count and offset."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):
@@ -72,14 +72,14 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
                     [
                         pa.array(found),
                         pa.array(keys),
-                        block.column("doc_id").take(pa.array(rows)),
+                        block.column("digest").take(pa.array(rows)),
                         block.column("check").take(pa.array(rows)),
                         pa.array(place),
                     ],
-                    ["anchor", "context", "doc_id", "check", "place"],
+                    ["anchor", "context", "digest", "check", "place"],
                 )
 
-    return docs.mapInArrow(run, "anchor long, context long, doc_id long, check int, place long")
+    return docs.mapInArrow(run, "anchor long, context long, digest long, check long, place long")
 
 
 def repeated_windows(
@@ -182,7 +182,10 @@ def _sorted_groups(length: int):
 
 
 def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
-    """``doc_id, check, start, stop``: byte ranges of documents ``doc_id, check, text`` that repeat; they may overlap."""
+    """``digest, check, start, stop``: byte ranges of documents ``digest, check, text`` that repeat; they may overlap.
+
+    Two 64-bit hashes, ``digest`` and ``check``, name a document.
+    """
     rows = anchor_rows(docs, length)
     often = rows.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"), F.min("context").alias("x"), F.max("context").alias("y")
@@ -200,17 +203,17 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
         }
     )
     alike = hits.filter("not mixed").select(
-        "doc_id", "check", F.col("first").alias("start"), (F.col("first") + F.col("count") - 1 + length).alias("stop")
+        "digest", "check", F.col("first").alias("start"), (F.col("first") + F.col("count") - 1 + length).alias("stop")
     )
 
     # anchors whose surroundings differ: the bytes around them, each distinct context once
     wanted = (
-        hits.filter("mixed").groupBy("doc_id", "check").agg(F.collect_list(F.struct("anchor", "place")).alias("places"))
+        hits.filter("mixed").groupBy("digest", "check").agg(F.collect_list(F.struct("anchor", "place")).alias("places"))
     )
-    named = docs.withColumnRenamed("doc_id", "id").withColumnRenamed("check", "same")
+    named = docs.withColumnRenamed("digest", "id").withColumnRenamed("check", "same")
     around = named.join(
-        wanted, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("same") == F.col("check"))
-    ).select("doc_id", "check", "text", "places")
+        wanted, (F.col("id") == F.col("digest")) & (F.col("same") == F.col("check"))
+    ).select("digest", "check", "text", "places")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):
@@ -231,18 +234,18 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
             doc = pa.array(columns.pop("doc"), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    block.column("doc_id").take(doc),
+                    block.column("digest").take(doc),
                     block.column("check").take(doc),
                     pa.array(columns["anchor"], pa.int64()),
                     pa.array(columns["context"], pa.int64()),
                     pa.array(columns["place"], pa.int64()),
                     pa.array(columns["bytes"], pa.binary()),
                 ],
-                ["doc_id", "check", "anchor", "context", "place", "bytes"],
+                ["digest", "check", "anchor", "context", "place", "bytes"],
             )
 
     surroundings = materialize(
-        around.mapInArrow(cut, "doc_id long, check int, anchor long, context long, place long, bytes binary"),
+        around.mapInArrow(cut, "digest long, check long, anchor long, context long, place long, bytes binary"),
         "contexts",
     )
     classes = surroundings.groupBy("anchor", "context").agg(
@@ -277,9 +280,9 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     repeats = solved.union(counted).union(whole)
     first = F.shiftright("place", 24)
     partly = (
-        surroundings.select("doc_id", "check", "anchor", "context", "place")
+        surroundings.select("digest", "check", "anchor", "context", "place")
         .join(repeats, ["anchor", "context"])
-        .select("doc_id", "check", (first + F.col("low")).alias("start"), (first + F.col("high") + length).alias("stop"))
+        .select("digest", "check", (first + F.col("low")).alias("start"), (first + F.col("high") + length).alias("stop"))
     )
     return alike.union(partly)
 
@@ -297,16 +300,16 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     once, and so are those whose whole surroundings are equal everywhere. For the others the bytes
     around them are fetched, and each distinct context is sorted once; see ``repeated_windows``.
     """
-    texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("check"), F.coalesce("text", F.lit("")).alias("text")
-    )
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # id and text by 128 bits, as many rows may share an id or have none
+    whole = F.sha2("text", 256)
+    texts = texts.withColumns({"digest": F.xxhash64("doc_id", whole), "check": F.xxhash64(F.lit(1), "doc_id", whole)})
     spans = (
-        repeated_spans(texts.filter(F.octet_length("text") >= length), length)
-        .groupBy("doc_id", "check")
+        repeated_spans(texts.filter(F.octet_length("text") >= length).drop("doc_id"), length)
+        .groupBy("digest", "check")
         .agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-        .select(F.col("doc_id").alias("id"), F.col("check").alias("same"), "ranges")
     )
-    joined = texts.join(spans, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("check") == F.col("same")), "left")
+    joined = texts.join(spans, ["digest", "check"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):

@@ -69,6 +69,15 @@ def test_suffix_dedup(docs):
         assert found[i]["kept"] == np.frombuffer(text, np.uint8)[~gone].tobytes()
 
 
+def test_suffix_dedup_keeps_texts_apart_that_share_a_short_hash(spark):
+    texts = spark.range(400_000).select(F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    hashed = texts.withColumn("h", F.hash("text")).groupBy("h").agg(F.collect_list("text").alias("texts"))
+    one, other = sorted(hashed.filter("size(texts) > 1").orderBy("h").first()["texts"])[:2]
+    rows = [(None, one), (None, other), (1, one[10:50])]
+    found = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 20).collect()
+    assert sorted(bytes(r["kept"]).decode() for r in found) == sorted(["", one[:10] + one[50:], other])
+
+
 def test_near_duplicates(docs, spark):
     found = by_id(near_dedup.near_duplicates(docs, 3, 0.85))
     assert [found[i]["component_id"] for i in (9, 10, 11, 12)] == [9, 9, 9, 9]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,15 @@ def curves_of(sample: np.ndarray, dims: int) -> list[tuple[np.ndarray, np.ndarra
     return out
 
 
+def window(total: int) -> tuple[int, int]:
+    """Rows of a stretch, and how many stretches to either side of its own a query is compared with.
+
+    At every size these ``2 * around + 1`` stretches hold ``REACH`` of the table to either side, and a bit more in small tables.
+    """
+    around = max(1, math.ceil(REACH * total / STRETCH - 0.5))
+    return max(math.ceil(2 * REACH * total / (2 * around + 1)), min(STRETCH, 64)), around
+
+
 def _matrix(values: list, dims: int) -> np.ndarray:
     out = np.zeros((len(values), dims))
     for row, value in enumerate(values):
@@ -107,9 +117,7 @@ def nearest(
     sums = ordered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    stretch = min(STRETCH, -(-total * 2 // (3 * max(1, round(1 / REACH)))))
-    stretch = max(stretch, min(STRETCH, 64))
-    around = max(1, round(REACH * total / stretch - 0.5))
+    stretch, around = window(total)
     last = (total - 1) // stretch
     rank = F.col("start") + F.col("mark").bitwiseAND((1 << 33) - 1) - F.col("curve") * F.lit(total)
     numbered = (

@@ -114,6 +114,14 @@ def test_search(spark):
     assert curve_search.nearest(table.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_search_windows_hold_their_share_at_every_size():
+    for total in [*range(1, 3000), *range(3000, 3_000_000, 997), 10**9]:
+        stretch, around = curve_search.window(total)
+        share = (2 * around + 1) * stretch / total
+        assert stretch <= curve_search.STRETCH and share >= 2 * curve_search.REACH - 1e-12
+        assert total < 3000 or share < 2.01 * curve_search.REACH
+
+
 def test_hilbert_curve_steps_to_neighbours():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     place = hilbert.hilbert_index(grid, 3)

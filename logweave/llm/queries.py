@@ -10,13 +10,16 @@ from logweave.llm import (
     byte_bpe,
     curve_search,
     exact_topk,
+    filter_audit,
     language,
     mixing,
     near_dedup,
     private_data,
     suffix_dedup,
+    term_pipeline,
     token_counts,
     toxicity,
+    url_filters,
 )
 
 # stands for the secret that a deployment would pass
@@ -100,6 +103,30 @@ def page_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.page_languages(table(spark, sf_dir, "pages"), model)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return term_pipeline.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+# Host, path and verdict of the rules that pages are judged by
+URL_RULES = """
+SELECT * FROM VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+    ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow') AS rules(host, path, verdict)
+"""
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    judged = url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), spark.sql(URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order, by language."""
+    cells = filter_audit.contingency(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit_orders(cells)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,7 +141,16 @@ QUERIES = {
         op9_curve_search,
         op10_language_id,
         page_language_id,
+        op11_ranked_search,
+        op12_url_filters,
+        op13_filter_audit,
     )
 }
 
-ORACLES = {"op2_exact_top_k": exact_topk.TOP_K_SQL, "op8_mixing": mixing.MIX_SQL}
+ORACLES = {
+    "op2_exact_top_k": exact_topk.TOP_K_SQL,
+    "op8_mixing": mixing.MIX_SQL,
+    "op11_ranked_search": term_pipeline.RANK_SQL,
+    "op12_url_filters": url_filters.URL_SQL,
+    "op13_filter_audit": filter_audit.AUDIT_SQL,
+}

@@ -6,6 +6,7 @@ The second run resumes where the first one ended, so every result also covers a
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -154,6 +155,34 @@ def dedup_stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(DELIVERY_SCHEMA).parquet(target)
 
 
+def first_arrival_stream(spark: SparkSession, d: str) -> DataFrame:
+    """First copies, where a micro-batch holds both copies of an event and later ones come in the next."""
+    root = work_dir(spark, "arrivals")
+    first, again = fx.redelivered(spark, d)
+    third = again.withColumn("arrival", F.col("arrival") + 1_000_000_000)
+    number, middle = F.col("k").cast("long"), _middle(spark, d)
+    both = again.unionByName(first)
+    parts = [both.filter(number < middle), third.unionByName(both.filter(number >= middle))]
+    _in_two_runs(
+        spark, parts, DELIVERY_SCHEMA,
+        lambda s, checkpoint: dedup.first_arrivals(s, ["k"], ["arrival"], root, checkpoint),
+    )
+    return dedup.read_arrivals(spark, root, DELIVERY_SCHEMA)
+
+
+def first_arrival_horizon_stream(spark: SparkSession, d: str) -> DataFrame:
+    """First event of every user and kind, which counts for a day after the newest event seen."""
+    root = work_dir(spark, "arrivals")
+    rows = fx.events(spark, d).select("user_id", "event_type", "event_id", "timestamp")
+    _in_two_runs(
+        spark, _halves(rows, "event_id", _middle(spark, d)), rows.schema,
+        lambda s, checkpoint: dedup.first_arrivals(
+            s, ["user_id", "event_type"], ["event_id"], root, checkpoint, timedelta(days=1)
+        ),
+    )
+    return dedup.read_arrivals(spark, root, rows.schema).select("user_id", "event_type", "event_id")
+
+
 def idempotent_consume_stream(spark: SparkSession, d: str) -> DataFrame:
     """Redelivered events through a step that fails for some; failures stay out of the ledger."""
     root = work_dir(spark, "consumed")
@@ -303,7 +332,8 @@ STREAM_QUERIES = {
     f.__name__: f
     for f in [
         log_stream, discovered_partitions_stream, intake_bound_stream, commit_max_stream,
-        track_commits_stream, track_commits_gap_stream, dedup_stream, idempotent_consume_stream,
+        track_commits_stream, track_commits_gap_stream, dedup_stream, first_arrival_stream,
+        first_arrival_horizon_stream, idempotent_consume_stream,
         retry_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream, cdc_mirror_rewritten_stream,
         continuous_view_stream, partition_health_stream, delivery_metrics_stream,
     ]
@@ -318,6 +348,15 @@ STREAM_ORACLES = {
     "track_commits_stream": ORACLES["commit_contiguous"],
     "track_commits_gap_stream": ORACLES["skipped_gaps"],
     "dedup_stream": ORACLES["dedup_first"],
+    "first_arrival_stream": ORACLES["dedup_first"],
+    "first_arrival_horizon_stream": """WITH cut AS (SELECT max(event_id) // 2 + 1 AS middle FROM events),
+      firsts AS (
+        SELECT event_id >= middle AS later, user_id, event_type, min(event_id) AS event_id FROM events, cut GROUP BY ALL),
+      kept AS (SELECT f.*, e.ts FROM firsts f JOIN events e USING (event_id)),
+      clock AS (SELECT max(ts) AS newest FROM events, cut WHERE event_id < middle)
+      SELECT user_id, event_type, event_id FROM kept k WHERE NOT later OR NOT EXISTS (
+        SELECT 1 FROM kept b, clock WHERE NOT b.later AND b.user_id = k.user_id AND b.event_type = k.event_type
+          AND b.ts >= newest - INTERVAL 1 DAY)""",
     "idempotent_consume_stream": """SELECT CAST(event_id AS VARCHAR) AS k, event_type,
       CASE WHEN event_id % 100 = 35 THEN value + 1 ELSE value END AS value,
       CASE WHEN event_id % 100 = 35 THEN event_id + 1000000000 ELSE event_id END AS arrival FROM events""",

@@ -4,6 +4,7 @@ from logweave.operators.changes import rewritten_changes, unwrap_changes
 from logweave.operators.commit import (
     clean_marks,
     commit_positions,
+    finished_runs,
     gaps,
     non_monotonic,
     oldest_pending,
@@ -28,7 +29,8 @@ from logweave.operators.sequence import chunk, numbered_messages, stamp_sequence
 
 __all__ = [
     "carry_positions", "choose_partition", "chunk", "clean_marks", "commit_positions",
-    "dedup_first", "delivery_metrics", "duplicates", "envelope", "evolve", "ewma", "gaps",
+    "dedup_first", "delivery_metrics", "duplicates", "envelope", "evolve", "ewma",
+    "finished_runs", "gaps",
     "hold_paused", "inflight", "latest_by_key", "new_only", "non_monotonic", "null_keys",
     "numbered_messages", "oldest_pending", "partition_health", "pause_intervals", "prefix_value",
     "recent_errors", "rewritten_changes", "route_batch", "set_changes", "skipped_gaps", "stamp_sequence",

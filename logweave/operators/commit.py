@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logweave.operators.scan import block_of, running_max
+from logweave.operators.scan import BLOCK_BITS, block_of, running_max
 from logweave.schemas import PARTITION_KEYS
 from logweave.session import small_side
 
@@ -30,15 +30,7 @@ def clean_marks(marks: DataFrame, committed: DataFrame | None = None) -> DataFra
 
     ``committed`` has one row per topic-partition: ``committed_seq`` and ``committed_offset``.
     """
-    fresh = marks.filter(F.col("seq") >= 0)
-    if committed is not None:
-        done = small_side(committed.select(*PARTITION_KEYS, "committed_seq", "committed_offset"))
-        fresh = (
-            fresh.join(done, PARTITION_KEYS, "left")
-            .filter(F.col("seq") > F.coalesce("committed_seq", F.lit(-1)))
-            .filter(F.col("offset") > F.coalesce("committed_offset", F.lit(-1)))
-            .select(*marks.columns)
-        )
+    fresh = beyond_committed(marks, committed)
     rest = [c for c in marks.columns if c not in (*PARTITION_KEYS, "seq")]
     return (
         fresh.groupBy(*PARTITION_KEYS, "seq")
@@ -47,6 +39,61 @@ def clean_marks(marks: DataFrame, committed: DataFrame | None = None) -> DataFra
     )
 
 
+def beyond_committed(marks: DataFrame, committed: DataFrame | None = None) -> DataFrame:
+    """Marks whose number and offset are above the committed ones, if any; numbers below 0 are none."""
+    fresh = marks.filter(F.col("seq") >= 0)
+    if committed is None:
+        return fresh
+    done = small_side(committed.select(*PARTITION_KEYS, "committed_seq", "committed_offset"))
+    return (
+        fresh.join(done, PARTITION_KEYS, "left")
+        .filter(F.col("seq") > F.coalesce("committed_seq", F.lit(-1)))
+        .filter(F.col("offset") > F.coalesce("committed_offset", F.lit(-1)))
+        .select(*marks.columns)
+    )
+
+
+RUN_COLUMNS = ["first_seq", "last_seq", "top_offset", "oldest_at"]
+
+
+def finished_runs(marks: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Unbroken runs of finished numbers, each as long as possible, per topic-partition.
+
+    Columns ``first_seq, last_seq``, the highest offset in a run (``top_offset``), its earliest time
+    (``oldest_at``), and where the run before it ends (``before_seq``, null for the first). ``known`` are runs found
+    earlier; marks may repeat their numbers, extend them or close the gaps between them.
+
+    Marks are reduced to one per number and then, in blocks of numbers, to runs; only runs, which may be few, are
+    ordered within a partition, and that in blocks as well.
+    """
+    each = marks.filter(F.col("seq") >= 0).groupBy(*PARTITION_KEYS, "seq").agg(
+        F.max("offset").alias("offset"), F.min("processed_at").alias("at")
+    )
+    blocked = each.withColumn("_block", block_of("seq", BLOCK_BITS))
+    nth = F.row_number().over(Window.partitionBy(*PARTITION_KEYS, "_block").orderBy("seq"))
+    pieces = (
+        blocked.withColumn("_run", F.col("seq") - nth)
+        .groupBy(*PARTITION_KEYS, "_block", "_run")
+        .agg(
+            F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"),
+            F.max("offset").alias("top_offset"), F.min("at").alias("oldest_at"),
+        )
+        .select(*PARTITION_KEYS, *RUN_COLUMNS)
+    )
+    if known is not None:
+        pieces = pieces.unionByName(known.select(*PARTITION_KEYS, *RUN_COLUMNS))
+    joined = [F.max("last_seq").alias("last_seq"), F.max("top_offset").alias("top_offset"), F.min("oldest_at").alias("oldest_at")]
+    starts = pieces.groupBy(*PARTITION_KEYS, "first_seq").agg(*joined)
+    reach = running_max(starts, PARTITION_KEYS, "first_seq", F.col("last_seq"), "before_seq", BLOCK_BITS, inclusive=False)
+    opens = F.when(F.col("before_seq").isNull() | (F.col("first_seq") > F.col("before_seq") + 1), F.col("first_seq"))
+    opened = running_max(reach, PARTITION_KEYS, "first_seq", opens, "_open", BLOCK_BITS)
+    return (
+        opened.groupBy(*PARTITION_KEYS, "_open")
+        .agg(*joined, F.min_by("before_seq", "first_seq").alias("before_seq"))
+        .select(*PARTITION_KEYS, F.col("_open").alias("first_seq"), *RUN_COLUMNS[1:], "before_seq")
+    )
+
+
 def non_monotonic(marks: DataFrame) -> DataFrame:
     """Marks whose offset does not exceed that of every smaller sequence number; no valid order exists."""
     before = running_max(

@@ -172,7 +172,9 @@ def test_tracker_follows_the_model_batch_by_batch(spark, monkeypatch):
         assert rows(found) == [
             (p, t.seq, t.offset + 1 if t.seq >= 0 else None) for p, t in sorted(trackers.items())
         ]
-        waiting = commits.read_pending(spark, root).select("partition", "seq")
+        waiting = commits.read_pending(spark, root).select(
+            "partition", F.explode(F.sequence("first_seq", "last_seq")).alias("seq")
+        )
         assert rows(waiting) == sorted(((p, s) for p, t in trackers.items() for s in t.pending), key=repr)
 
 
@@ -241,7 +243,7 @@ def test_old_states_are_dropped_and_reports_are_kept(spark, monkeypatch):
     monkeypatch.setattr(batches, "KEPT_STATES", 2)
     data = [[(0, 0, 10, 0), (0, 2, 12, 0)], [(0, 3, 13, 50)], [(0, 5, 15, 51)], [(0, 6, 16, 99)]]
     root = list(run_tracker(spark, data, gap_timeout=timedelta(seconds=30)))[-1]
-    assert [path_exists(spark, f"{root}/pending/batch_id={n}") for n in range(4)] == [False, False, True, True]
+    assert [path_exists(spark, f"{root}/runs/batch_id={n}") for n in range(4)] == [False, False, True, True]
     assert rows(commits.read_skipped(spark, root).select("gap_start", "gap_end")) == [(1, 1), (4, 4)]
     assert rows(commits.read_committed_positions(spark, root).select("position")) == [(17,)]
 
@@ -274,3 +276,43 @@ def test_lost_state_stops_the_stream(spark):
     drop_table(spark, f"{root}/positions/batch_id=0")
     with pytest.raises(Exception, match="is gone"):
         run((0, 1, 11, 0))
+
+
+def test_runs_equal_a_plain_merge(spark, monkeypatch):
+    """Runs found in parts, with repeated numbers, equal those of all marks at once."""
+    monkeypatch.setattr(commit, "BLOCK_BITS", 3)
+    data = random_marks(random.Random(5), partitions=2, numbers=90)
+    cut = len(data) // 2
+    some = op.finished_runs(marks_of(spark, data[:cut])).drop("before_seq")
+    found = op.finished_runs(marks_of(spark, data[cut // 2:]), some)
+    want, numbers = [], {}
+    for p, seq, offset, at in data:
+        numbers.setdefault(p, {}).setdefault(seq, []).append((offset, at))
+    for p, known in numbers.items():
+        last = None
+        for seq in sorted(n for n in known if n >= 0):
+            offset, at = max(o for o, _ in known[seq]), min(a for _, a in known[seq])
+            if last is not None and last[2] == seq - 1:
+                last[2:] = [seq, max(last[3], offset), min(last[4], at), last[5]]
+            else:
+                before = last[2] if last else None
+                last = [p, seq, seq, offset, at, before]
+                want.append(last)
+    columns = ["partition", "first_seq", "last_seq", "top_offset", F.unix_seconds("oldest_at") - int(EPOCH.timestamp()), "before_seq"]
+    assert rows(found.select(*columns)) == sorted(map(tuple, want), key=repr)
+
+
+def test_millions_of_marks_behind_a_gap_are_one_row(spark):
+    source, root, checkpoint = (work_dir(spark, n) for n in ("in", "root", "cp"))
+    waiting = spark.range(1, 3_000_001).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("seq"), F.col("id").alias("offset"),
+        F.timestamp_seconds(F.lit(0)).alias("processed_at"),
+    )
+    for part in (waiting.filter("seq <= 1500000"), waiting.filter("seq > 1500000"), marks_of(spark, [(0, 0, 0, 1)])):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(MARK_SCHEMA).parquet(source)
+        finish(commits.track_commits(stream, root, checkpoint, trigger=AVAILABLE_NOW))
+        state = commits.read_pending(spark, root)
+        assert state.count() <= 1
+        assert state.agg(F.sum(F.col("last_seq") - F.col("first_seq") + 1)).first()[0] in (1_500_000, 3_000_000, None)
+    assert rows(commits.read_committed_positions(spark, root).select("committed_seq", "position")) == [(3_000_000, 3_000_001)]

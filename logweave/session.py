@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -60,6 +60,17 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
             drop_table(spark, path)
 
 
+def kept_table(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, as a table; all tables that ``materialize`` wrote on the way are deleted."""
+    path = work_dir(spark, name)
+    with temporary_tables(spark):
+        df = make()
+        df.write.parquet(path)
+    if _written.get() is not None:
+        _written.get().append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def scratch(spark: SparkSession, *names: str) -> Iterator[list[str]]:
     """Fresh paths for the block, deleted when it ends."""

@@ -59,8 +59,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def with_ids(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi", largest: int = 500_000) -> DataFrame:
-    """The rows of ``df`` whose ``column`` is among ``ids`` (one column of that name), or is not (``left_anti``).
+def with_ids(
+    df: DataFrame, ids: DataFrame, column: str | list[str], how: str = "left_semi", largest: int = 500_000
+) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is among ``ids`` (that column, or these), or is not (``left_anti``).
 
     ``ids`` should be written to storage, as up to ``largest`` of them are counted first and then
     broadcast, so the rows stay where they are; more are joined by a shuffle.
@@ -70,6 +72,18 @@ def with_ids(df: DataFrame, ids: DataFrame, column: str, how: str = "left_semi",
     return df.join(ids, column, how)
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits of a text, a null one being empty; ``hashlib.md5`` of its UTF-8 bytes gives the same."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def groups(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
     """Complete groups of equal ``column`` from batches that are sorted by it."""
     kept: list[pa.RecordBatch] = []

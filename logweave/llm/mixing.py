@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweave.llm.blocks import word_count
-from logweave.session import materialize
+from logweave.session import kept_table, materialize
 
 # rows of one source, or of one stretch of virtual time, that are put in order by one task
 BLOCK_ROWS = 20_000
@@ -38,13 +38,19 @@ def source_targets(units: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repea
     return ranked.select("source", "source_size", "weight", target.alias("target"))
 
 
+def shuffle_key(doc_id: Column, seed: str) -> Column:
+    """Digest by which a source's documents are shuffled."""
+    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+
+
 def mixing_units(
     docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3, seed: str = "mix"
 ) -> DataFrame:
     """How often the mix takes each document.
 
     Rows with the same ``doc_id``, ``source`` and number of words are one unit of ``n`` rows, so repeated
-    rows are taken equally often. Returns ``doc_id, source, size, n, source_size, target, copies``.
+    rows are taken equally often. Returns ``doc_id, source, size, n, key, source_size, target, takes``:
+    whether each pass takes it.
 
     Each source's units are shuffled by a digest of seed and id. A pass over a source takes all its
     units in that order, and there are ``repeats`` passes. The virtual finish time of a unit in a pass
@@ -57,7 +63,7 @@ def mixing_units(
     """
     spark = docs.sparkSession
     size = word_count(F.col("text"))
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    key = shuffle_key(F.col("doc_id"), seed)
     units = materialize(
         docs.select("doc_id", "source", size.alias("size"))
         .groupBy("doc_id", "source", "size")
@@ -88,7 +94,7 @@ def mixing_units(
         placed.withColumn("within", F.sum(words).over(in_block))
         .join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
         .withColumn("end", F.col("within") + F.col("start"))
-        .drop("s", "b", "block", "within", "start", "key")
+        .drop("s", "b", "block", "within", "start")
     )
     named = sources.withColumnRenamed("source", "s")
     scale = math.lcm(*weights)
@@ -127,13 +133,11 @@ def mixing_units(
             .first()[0]
         )
         cut = edge["stretch"] * width - 1 if at is None else at
-    copies = F.lit(0)
-    for k in range(repeats):
-        finish = (F.col("source_size") * k + F.col("end")) * F.col("pace")
-        copies = copies + F.when(finish <= (cut if cut is not None else (1 << 62)), 1).otherwise(0)
+    last = F.lit(cut if cut is not None else (1 << 62))
+    takes = F.array(*[(F.col("source_size") * k + F.col("end")) * F.col("pace") <= last for k in range(repeats)])
     return queued.select(
-        "doc_id", "source", "size", "n", "source_size", "target",
-        F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).alias("copies"),
+        "doc_id", "source", "size", "n", "key", "source_size", "target",
+        F.transform(takes, lambda x: x & (F.col("size") > 0)).alias("takes"),
     )
 
 
@@ -141,25 +145,45 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken``; see ``mixing_units``."""
     units = mixing_units(docs.select("doc_id", "source", "text"), **options)
     rows = units.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    copies = F.size(F.filter("takes", lambda x: x))
     return rows.select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source"
+        "doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source"
     )
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, none or up to ``repeats`` times each."""
-    units = mixing_units(docs.select("doc_id", "source", "text"), **options).filter("copies > 0")
-    times = units.select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"
-    )
-    sized = docs.withColumn("_words", word_count(F.col("text")))
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size"))
+def mix_documents(
+    docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), repeats: int = 3, seed: str = "mix", most_sources: int = 100_000
+) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, none or up to ``repeats`` times each.
+
+    A pass takes the units of a source up to a place in its shuffled order, so a row is decided by its own place and
+    its source's ``repeats`` last places. These are broadcast for up to ``most_sources`` sources; texts stay where
+    they are. More sources are joined by a shuffle.
+    """
+
+    def last_places() -> DataFrame:
+        units = mixing_units(docs.select("doc_id", "source", "text"), weights, repeats, seed)
+        place = F.struct("key", "doc_id", "size")
+        # a flag for the null source, which equals no other in a join
+        return units.groupBy(F.coalesce("source", F.lit("")).alias("source"), F.col("source").isNull().alias("none")).agg(
+            F.array(*[F.max(F.when(F.col("takes")[k], place)) for k in range(repeats)]).alias("last")
+        )
+
+    lasts = kept_table(docs.sparkSession, "mixing-places", last_places)
+    if lasts.limit(most_sources + 1).count() <= most_sources:
+        lasts = F.broadcast(lasts)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"),
+        F.coalesce("source", F.lit("")).alias("source"),
+        F.col("source").isNull().alias("none"),
+        F.struct(
+            shuffle_key(F.col("doc_id"), seed).alias("key"), F.col("doc_id"), word_count(F.col("text")).alias("size")
+        ).alias("place"),
     )
-    taken = sized.join(times, same)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    taken = F.filter("last", lambda x: x.isNotNull() & (F.col("place") <= x))
+    copies = F.when(F.col("place.size") > 0, F.size(taken)).otherwise(0)
+    repeated = rows.join(lasts, ["source", "none"]).select("row", copies.alias("copies")).filter("copies > 0")
+    return repeated.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 # The same mix over the whole table, ordered at once.

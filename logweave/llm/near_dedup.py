@@ -14,9 +14,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.blocks import WORD, groups, mixed, text_blocks, with_ids, worker_state
+from logweave.llm.blocks import WORD, groups, mixed, text_blocks, text_digest, with_ids, worker_state
 from logweave.llm.components import connected_components
-from logweave.session import materialize
+from logweave.session import kept_table, materialize
 
 REGISTERS, MANTISSA = 384, 10  # buckets of a sketch, and bits kept behind the leading one
 MISSED = 5e-6  # chance at most that a pair of just the asked similarity shares no band
@@ -124,26 +124,28 @@ def _sketch(array: pa.Array) -> np.ndarray:
 
 
 def sketch_documents(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, set_key, sketch, row``; key and sketch are null for an empty set."""
+    """``doc_id, digest, n_shingles, set_key, sketch, row``; key and sketch are null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = worker_state(Shingler, size)
         for block in text_blocks(batches):
-            sets = shingler.sets(block.column("text").to_pylist())
+            texts = block.column("text").to_pylist()
+            sets = shingler.sets(texts)
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             sketches = [registers(s).tobytes() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
+                    pa.array([hashlib.md5((text or "").encode()).digest() for text in texts], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(keys, pa.binary()),
                     pa.array(sketches, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "set_key", "sketch"],
+                ["doc_id", "digest", "n_shingles", "set_key", "sketch"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    sketched = rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sketch binary")
+    sketched = rows.mapInArrow(run, "doc_id long, digest binary, n_shingles long, set_key binary, sketch binary")
     return sketched.withColumn("row", F.monotonically_increasing_id())
 
 
@@ -167,11 +169,16 @@ def ends(pairs: DataFrame) -> DataFrame:
     return materialize(pairs.select("a").union(pairs.select("b")).distinct().toDF("id"), "pair-ids")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are similar enough."""
-    ids = ends(pairs)
-    texts = with_ids(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), ids, "id")
-    sets = full_sets(texts, size).dropDuplicates(["id"])
+def confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` of classes whose full sets are similar enough.
+
+    A class is read from the rows of its ``doc_id`` and text ``digest``; ``n`` is their number.
+    """
+    wanted = materialize(classes.join(ends(pairs), "id", "left_semi").select("id", "doc_id", "digest", "n"), "wanted-classes")
+    rows = docs.select(F.col("doc_id").cast("long"), text_digest(F.col("text")).alias("digest"), "text")
+    sets = full_sets(with_ids(rows, wanted.drop("n"), ["doc_id", "digest"], "inner").select("id", "text"), size)
+    if not wanted.filter("n > 1").isEmpty():
+        sets = sets.dropDuplicates(["id"])
     percent = round(similarity * 100)
     common = F.size(F.array_intersect("x", "y"))
     together = F.size("x") + F.size("y") - common
@@ -269,22 +276,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     one shingle. Documents whose sets have at least this Jaccard similarity are linked, and a component's id is the
     smallest id in it; ``kept`` marks that document. A null or empty text, or one without words, is linked with
     nothing and kept. A null id counts like that too, its component is null. Rows that repeat an id are linked each by its
-    own text. Other columns are ignored.
+    own text; ``digest`` (128 bits) tells such texts apart, and ``first`` marks the rows of one text in each component,
+    the smallest by id and digest. Other columns are ignored.
 
-    Equal sets are one representative from the start. Buckets of equal bands first link every member to the bucket's
-    smallest id; after that only members of different components can add anything, and only those that are
-    likely by their sketches are confirmed. All links are confirmed on full sets.
+    Equal sets are one representative from the start, a class. Buckets of equal bands first link every member to the
+    bucket's smallest class; after that only members of different components can add anything, and only those that are
+    likely by their sketches are confirmed. All links are confirmed on full sets. What is written on the way is
+    deleted, but for the result.
     """
+    return kept_table(docs.sparkSession, "near-duplicates", lambda: _near_duplicates(docs, size, similarity))
+
+
+def _near_duplicates(docs: DataFrame, size: int, similarity: float) -> DataFrame:
     least, shape = least_estimate(similarity), band_shape(similarity)
     sketched = materialize(sketch_documents(docs.select("doc_id", "text"), size), "sketches")
     filled = sketched.filter("set_key is not null and doc_id is not null")
-    first = F.min(F.struct("doc_id", "row")).alias("first")
+    texts = filled.groupBy("set_key", "doc_id", "digest").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct("doc_id", "digest", "row", "n")).alias("first")
     classes = materialize(
-        filled.groupBy("set_key").agg(first).select("set_key", F.col("first.doc_id").alias("id"), "first.row"),
+        texts.groupBy("set_key").agg(first).select(
+            "set_key", F.col("first.row").alias("id"), "first.doc_id", "first.digest", "first.n"
+        ),
         "set-classes",
     )
     sketches = materialize(
-        with_ids(filled, classes.select("row"), "row").select(F.col("doc_id").alias("id"), "sketch"), "set-sketches"
+        with_ids(filled, classes.select(F.col("id").alias("row")), "row").select(F.col("row").alias("id"), "sketch"),
+        "set-sketches",
     )
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +326,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     )
     stars = materialize(members.select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "stars")
     links = materialize(
-        confirmed(docs, materialize(likely(stars, sketches, least), "likely-pairs"), size, similarity), "star-links"
+        confirmed(docs, classes, materialize(likely(stars, sketches, least), "likely-pairs"), size, similarity),
+        "star-links",
     )
     parts = connected_components(links)
     placed = members.join(parts, "id", "left").select(
@@ -318,12 +336,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     mixed_buckets = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     open_members = materialize(placed.join(mixed_buckets.filter("x < y").select("key"), "key"), "open-members")
     rest = materialize(pairs_within(open_members, sketches, least, shape), "rest-pairs")
-    final = connected_components(links.union(confirmed(docs, rest, size, similarity)))
-    of_class = classes.join(final, "id", "left").select("set_key", F.coalesce("component", "id").alias("component_id"))
-    linked = filled.join(of_class, "set_key").select("doc_id", "n_shingles", "component_id")
-    alone = sketched.filter("set_key is null or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+    final = connected_components(links.union(confirmed(docs, classes, rest, size, similarity)))
+    leads = (
+        final.join(classes, "id").groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("lead"))
+    )
+    own = F.struct("doc_id", "digest")
+    of_class = classes.join(final.join(leads, "component").select("id", "lead"), "id", "left").select(
+        "set_key", F.coalesce("lead", own).alias("lead")
     )
-    return linked.union(alone).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    linked = filled.join(of_class, "set_key").select("doc_id", "n_shingles", "digest", "lead")
+    alone = sketched.filter("set_key is null or doc_id is null").select("doc_id", "n_shingles", "digest", own.alias("lead"))
+    kept = F.coalesce(F.col("doc_id") == F.col("lead.doc_id"), F.lit(True))
+    return linked.union(alone).select(
+        "doc_id", "n_shingles", F.col("lead.doc_id").alias("component_id"), kept.alias("kept"), "digest",
+        (kept & (F.col("digest") == F.col("lead.digest"))).alias("first"),
     )

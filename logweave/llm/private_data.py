@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweave.llm.blocks import text_blocks
-from logweave.session import materialize
+from logweave.llm.blocks import text_blocks, unused
+from logweave.session import kept_table, materialize
 
 # Titles that a name follows, by gender.
 MALE = ["Mr", "Herr", "Herrn", "Monsieur", "Señor", "г-н", "господин"]
@@ -337,32 +337,33 @@ def replace_private_data(docs: DataFrame, key: bytes, count: str | None = "n_rep
     Texts without any sign of an entity stay where they are. The distinct entities of the others get their surrogates in
     one table, are joined to the documents that mention them, and replaced there.
     """
-    texts = docs.withColumn("_check", F.xxhash64(*[F.col(c) for c in docs.columns]))
+    check, made_for = unused(docs, "check"), unused(docs, "made_for")
+    # rows of one id and text have the same entities; the id spreads copies of a text
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), "text")
     suspect = F.coalesce(F.col("text").rlike(SUSPECT) | F.col("text").contains("AKIA"), F.lit(False))
-    suspects = texts.filter(suspect)
+    suspects = docs.filter(suspect).withColumn(check, F.md5(named))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):
             checks, kinds, values = [], [], []
-            for check, text in zip(block.column("_check").to_pylist(), block.column("text").to_pylist(), strict=True):
+            for check, text in zip(block.column("check").to_pylist(), block.column("text").to_pylist(), strict=True):
                 for kind, value in {e[2:] for e in entities(text)}:
                     checks.append(check)
                     kinds.append(kind)
                     values.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(checks, pa.int64()), pa.array(kinds, pa.string()), pa.array(values, pa.string())],
-                ["_check", "kind", "value"],
+                [pa.array(checks, pa.string()), pa.array(kinds, pa.string()), pa.array(values, pa.string())],
+                ["check", "kind", "value"],
             )
 
-    mentions = materialize(
-        suspects.select("_check", "text").mapInArrow(find, "_check long, kind string, value string").distinct(), "mentions"
-    )
-    made = assign_surrogates(materialize(mentions.select("kind", "value").distinct(), "entities"), key)
-    known = (
-        mentions.join(made, ["kind", "value"])
-        .groupBy("_check")
-        .agg(F.collect_list(F.struct("kind", "value", "made")).alias("_made"))
-    )
+    def entities_with_surrogates() -> DataFrame:
+        texts = suspects.select(F.col(check).alias("check"), "text")
+        mentions = materialize(texts.mapInArrow(find, "check string, kind string, value string").distinct(), "mentions")
+        made = assign_surrogates(materialize(mentions.select("kind", "value").distinct(), "entities"), key)
+        each = mentions.join(made, ["kind", "value"]).groupBy("check")
+        return each.agg(F.collect_list(F.struct("kind", "value", "made")).alias("made_for"))
+
+    known = kept_table(docs.sparkSession, "surrogates-of-texts", entities_with_surrogates).toDF(check, made_for)
     names = [c for c in docs.columns if c != count]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != count]
     schema = ", ".join(fields if count is None else [*fields, f"`{count}` int"])
@@ -370,7 +371,7 @@ def replace_private_data(docs: DataFrame, key: bytes, count: str | None = "n_rep
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):
             out, numbers = [], []
-            for text, table in zip(block.column("text").to_pylist(), block.column("_made").to_pylist(), strict=True):
+            for text, table in zip(block.column("text").to_pylist(), block.column(made_for).to_pylist(), strict=True):
                 lookup = {(r["kind"], r["value"]): r["made"] for r in table or ()}
                 parts, last, number = [], 0, 0
                 for start, end, kind, value in entities(text) if lookup else ():
@@ -384,6 +385,6 @@ def replace_private_data(docs: DataFrame, key: bytes, count: str | None = "n_rep
             else:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(numbers, pa.int32())], [*names, count])
 
-    changed = suspects.join(known, "_check", "left").select(*names, "_made").mapInArrow(replace, schema)
-    others = texts.filter(~suspect).select(*names)
+    changed = suspects.join(known, check, "left").select(*names, made_for).mapInArrow(replace, schema)
+    others = docs.filter(~suspect).select(*names)
     return changed.union(others if count is None else others.withColumn(count, F.lit(0)))

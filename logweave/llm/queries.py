@@ -74,7 +74,8 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 85 % of their three-word shingles."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, similarity=0.85)
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, similarity=0.85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op7_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logweave.llm.blocks import unused
 from logweave.session import materialize
 
 VERDICTS = ("block", "allow")
@@ -167,7 +168,7 @@ def judge_urls(
                 continue
             best, passes = F.greatest(best, longest_listed(candidates, levels, verdict, number, slices)), passes + 1
             if passes > len(VERDICTS):  # a plan carries the filters of two slices at most
-                taken = best.alias(_unused(out, "best"))
+                taken = best.alias(unused(out, "best"))
                 out = materialize(out.select(*rest, "host", "path", taken), "judged-urls")
                 best, passes = F.col(out.columns[-1]), 1
     return out.select(
@@ -187,12 +188,6 @@ def longest_listed(keys: Column, levels: list[Bloom], verdict: str, number: int,
     return F.array_max(F.transform(F.filter(keys, in_list), entry))
 
 
-def _unused(df: DataFrame, name: str) -> str:
-    while name.lower() in (c.lower() for c in df.columns):
-        name += "_"
-    return name
-
-
 # Every rule against every URL.
 URL_SQL = """
 WITH rules(host, path, verdict) AS (

@@ -14,10 +14,12 @@ from logweave.operators.dedup import dedup_first, duplicates, new_only, null_key
 from logweave.operators.envelope import envelope, prefix_value, to_keyed_log, with_log_metadata
 from logweave.operators.evolve import evolve
 from logweave.operators.health import (
+    assign_by_quota,
     choose_partition,
     ewma,
     inflight,
     partition_health,
+    partition_quotas,
     recent_errors,
 )
 from logweave.operators.latest import latest_by_key
@@ -28,11 +30,11 @@ from logweave.operators.routing import route_batch
 from logweave.operators.sequence import chunk, numbered_messages, stamp_sequence
 
 __all__ = [
-    "carry_positions", "choose_partition", "chunk", "clean_marks", "commit_positions",
+    "assign_by_quota", "carry_positions", "choose_partition", "chunk", "clean_marks", "commit_positions",
     "dedup_first", "delivery_metrics", "duplicates", "envelope", "evolve", "ewma",
     "finished_runs", "gaps",
     "hold_paused", "inflight", "latest_by_key", "new_only", "non_monotonic", "null_keys",
-    "numbered_messages", "oldest_pending", "partition_health", "pause_intervals", "prefix_value",
+    "numbered_messages", "oldest_pending", "partition_health", "partition_quotas", "pause_intervals", "prefix_value",
     "recent_errors", "rewritten_changes", "route_batch", "set_changes", "skipped_gaps", "stamp_sequence",
     "to_keyed_log", "unwrap_changes", "with_log_metadata", "with_retries", "with_retries_frame",
 ]

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from logweave.functions.errors import needs_cooldown
 from logweave.functions.score import partition_score
 from logweave.operators.scan import BLOCK_BITS, block_of
+from logweave.session import small_side
 
 # Weight of the newest latency, cooldown length.
 ALPHA = 0.2
@@ -246,3 +247,88 @@ def with_choice(health: DataFrame, by: list[str], partitions: int, now_ms: int,
     untried = _untried(F.collect_set("partition").over(group), partitions)
     best = F.least(F.min(_option(now_ms)).over(group), untried)
     return health.withColumn(into, _best(best, _group_key(by), partitions))
+
+
+# Scores are compared in millionths, so that quotas are exact whole-number arithmetic.
+_UNIT = 1_000_000
+# Rows of one group that one task numbers.
+QUOTA_ROWS = 1 << 16
+
+
+def partition_quotas(
+    health: DataFrame, counts: DataFrame, by: list[str], partitions: int, now_ms: Column | int
+) -> DataFrame:
+    """How many of a group's ``n`` rows (in ``counts``) each available partition takes, as ``quota``.
+
+    The same as if every row went to the partition with the lowest score, the lowest id on a tie, and
+    raised that score by one. That takes the ``n`` smallest of all numbers score, score + 1, score + 2 and so on; up to one less
+    than the level to which ``n`` fills the partitions in order of score they are counted by a division, and
+    the rest, at most one for each partition, goes by rank. A group's partitions are ordered, not its rows.
+
+    The partitions from 0 to ``partitions`` - 1 that have no health row are available, with score 0. A
+    group without an available partition has no quotas.
+    """
+    every = counts.withColumn("partition", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1))))
+    seen = health.select(
+        *by, F.col("partition").cast("int").alias("partition"), "available",
+        F.round(partition_score(now_ms).cast("double") * _UNIT).cast("bigint").alias("score"),
+    )
+    same = [every[c].eqNullSafe(seen[c]) for c in [*by, "partition"]]
+    tried = every.join(seen, same, "left").select(
+        *[every[c] for c in [*by, "partition", "n"]],
+        F.coalesce(seen["available"], F.lit(True)).alias("available"),
+        F.coalesce(seen["score"], F.lit(0)).alias("s"),
+    ).filter("available")
+    group = Window.partitionBy(*by)
+    by_score = group.orderBy("s", "partition").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    water = F.col("n") * _UNIT
+    # the partitions that the water reaches, and the level it has there
+    placed = tried.withColumns({"k": F.count(F.lit(1)).over(by_score), "below": F.sum("s").over(by_score)})
+    reached = F.when(F.col("k") * F.col("s") - F.col("below") <= water, F.struct("k", "below"))
+    placed = placed.withColumn("last", F.max(reached).over(group))
+    level = F.expr(f"(n * {_UNIT} + last.below) div last.k - {_UNIT}")
+    sure = F.greatest(F.expr(f"(level - s + {_UNIT} - 1) div {_UNIT}"), F.lit(0))
+    counted = placed.withColumn("level", level).withColumn(
+        "sure", F.when(F.col("level") > F.col("s"), sure).otherwise(F.lit(0)).cast("bigint")
+    )
+    by_next = group.orderBy(F.col("s") + F.col("sure") * _UNIT, "partition")
+    rest = F.col("n") - F.sum("sure").over(group)
+    quota = F.col("sure") + (F.row_number().over(by_next) <= rest).cast("bigint")
+    return counted.select(*by, "partition", quota.alias("quota"))
+
+
+def assign_by_quota(
+    rows: DataFrame, health: DataFrame, by: list[str], key: str, partitions: int, now_ms: Column | int
+) -> DataFrame:
+    """Rows with a ``partition`` each, as many for every partition of a group as ``partition_quotas`` says.
+
+    Rows of a group are numbered in slices by a hash of ``key``, with the counts of earlier slices added, so a group with
+    most rows is spread; equal input has equal results if ``key`` is unique within a group. Without an available partition a hash of
+    the key decides. A column ``partition`` of ``rows`` is replaced.
+    """
+    rest = [c for c in rows.columns if c != "partition"]
+    most = rows.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    sliced = rows.select(*rest).withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(max(1, -(-most // QUOTA_ROWS)))))
+    before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = small_side(
+        sliced.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("m"))
+        .withColumn("_start", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    )
+    counts = sizes.groupBy(*by).agg(F.sum("m").alias("n"))
+    quotas = partition_quotas(health, counts, by, partitions, now_ms)
+    through = Window.partitionBy(*by).orderBy("partition").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = quotas.withColumn("end", F.sum("quota").over(through)).groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct("end", "partition"))).alias("_ends")
+    )
+    starts = sizes.alias("s").join(
+        ends.alias("e"), [F.col(f"s.{c}").eqNullSafe(F.col(f"e.{c}")) for c in by], "left"
+    ).select(*[F.col(f"s.{c}").alias(c) for c in by], "_slice", "_start", "_ends")
+    in_slice = F.row_number().over(Window.partitionBy(*by, "_slice").orderBy(key))
+    numbered = sliced.withColumn("_nth", in_slice)
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in [*by, "_slice"]]
+    placed = numbered.alias("r").join(starts.alias("t"), same, "left")
+    at = F.col("_start") + F.col("_nth")
+    own = F.element_at(F.filter("_ends", lambda x: x["end"] >= at), 1)["partition"]
+    return placed.select(
+        *[F.col(f"r.{c}") for c in rest], F.coalesce(own, fallback_partition(F.col(f"r.{key}"), partitions)).alias("partition")
+    )

@@ -79,18 +79,21 @@ _PAUSE_BITS = 26
 
 
 def pause_intervals(
-    outcomes: DataFrame, by: list[str], at: str, delay_s: str = "delay_s"
+    outcomes: DataFrame, by: list[str], at: str, delay_s: str = "delay_s", known: DataFrame | None = None
 ) -> DataFrame:
     """Times during which a partition takes no input: from a first failure until its retries end.
 
-    Overlapping pauses of a partition are merged. Columns ``by``, ``paused_at`` and ``resumed_at``.
+    Overlapping pauses of a partition are merged, also with ``known`` ones, which were found earlier.
+    Columns ``by``, ``paused_at`` and ``resumed_at``.
     """
     start = F.unix_micros(F.col(at))
-    pauses = (
-        outcomes.filter(F.col(delay_s) > 0)
-        .groupBy(*by, start.alias("_s"))
-        .agg(F.max(start + F.col(delay_s).cast("bigint") * 1_000_000).alias("_e"))
-    )
+    end = start + F.col(delay_s).cast("bigint") * 1_000_000
+    pauses = outcomes.filter(F.col(delay_s) > 0).select(*by, start.alias("_s"), end.alias("_e"))
+    if known is not None:
+        pauses = pauses.unionByName(
+            known.select(*by, F.unix_micros("paused_at").alias("_s"), F.unix_micros("resumed_at").alias("_e"))
+        )
+    pauses = pauses.groupBy(*by, "_s").agg(F.max("_e").alias("_e"))
     reach = running_max(pauses, by, "_s", F.col("_e"), "_reach", _PAUSE_BITS, inclusive=False)
     opens = F.when(F.col("_reach").isNull() | (F.col("_s") > F.col("_reach")), F.col("_s"))
     merged = running_max(reach, by, "_s", opens, "_open", _PAUSE_BITS)

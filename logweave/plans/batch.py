@@ -474,6 +474,17 @@ def choose_partition(spark: SparkSession, d: str) -> DataFrame:
     return chosen.withColumn("score", F.round("score", 6))
 
 
+def partition_quota(spark: SparkSession, d: str) -> DataFrame:
+    """Rows that each partition of two topics takes, by the attempts of that topic."""
+    topic = lambda number: F.concat(F.lit("t"), F.col(number) % 2)
+    attempts = fx.attempts(spark, d).withColumn("topic", topic("attempt_no"))
+    now = _now(spark, d)
+    health = op.partition_health(attempts, now, PARTITION_KEYS)
+    rows = fx.table(spark, d, "events").select("event_id", topic("event_id").alias("topic"))
+    assigned = op.assign_by_quota(rows, health, ["topic"], "event_id", fx.PARTITIONS, now)
+    return assigned.groupBy("topic", F.col("partition").alias("p")).agg(F.count("*").alias("quota"))
+
+
 ROUTE_CODES = ["LeaderNotAvailable", "RequestTimedOut", "NotEnoughReplicas", "UnknownTopicOrPart", "MsgSizeTooLarge"]
 
 
@@ -583,7 +594,7 @@ BATCH_QUERIES = {
         duplicates, ledger_new_only, null_keys, carry_positions, set_changes, retry_outcomes,
         retry_frame, dlq_rows, dlq_reasons, pause_intervals, pause_holds, classify_errors,
         ewma_latency, inflight, recent_errors, partition_health, partition_score,
-        choose_partition, route_batch, delivery_metrics, cdc_source, cdc_unwrap, cdc_unwrap_rewritten, cdc_latest,
+        choose_partition, partition_quota, route_batch, delivery_metrics, cdc_source, cdc_unwrap, cdc_unwrap_rewritten, cdc_latest,
         cdc_latest_live, upsert_table, mark_processed,
     ]
 }

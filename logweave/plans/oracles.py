@@ -230,6 +230,14 @@ _HOUR_HEALTH = (
     + _health("hour, p")
 )
 
+_TOPIC_HEALTH = (
+    "WITH "
+    + _attempts("'error'").replace("epoch_us(ts) // 1000 AS at_ms,", "epoch_us(ts) // 1000 AS at_ms, 't' || event_id % 2 AS topic,")
+    .replace("SELECT p, attempt_no, at_ms,", "SELECT topic, p, attempt_no, at_ms,")
+    + ","
+    + _health("topic, p")
+)
+
 _CONTIGUOUS_POSITIONS = f"""WITH {_CONTIGUOUS}
   SELECT m.p, max(CASE WHEN seq <= committed_seq THEN off END) + 1 AS position, max(committed_seq) AS committed_seq,
          count(*) FILTER (WHERE seq > committed_seq) AS pending
@@ -383,6 +391,17 @@ ORACLES = {
       SELECT hour, CASE WHEN available THEN p ELSE CAST(CAST('0x' || substr(md5(CAST(hour AS VARCHAR)), 1, 15) AS BIGINT) % 3 AS INT) END AS chosen,
              CASE WHEN available THEN round(score, 6) END AS score
       FROM ranked WHERE nth = 1""",
+    # the smallest numbers score, score + 1, score + 2, ... of a topic, as many as it has rows
+    "partition_quota": f"""{_TOPIC_HEALTH},
+      scored AS (SELECT topic, p, CAST(round(({_score(_NOW)}) * 1000000) AS BIGINT) AS score, {_NOW} > unavailable_until_ms AS available
+                 FROM health),
+      sizes AS (SELECT 't' || event_id % 2 AS topic, count(*) AS n FROM events GROUP BY 1),
+      every AS (SELECT topic, n, CAST(r.p AS INT) AS p FROM sizes, range(3) AS r(p)),
+      options AS (SELECT e.topic, e.p, n, coalesce(score, 0) AS score FROM every e
+                  LEFT JOIN scored s ON e.topic = s.topic AND e.p = s.p WHERE coalesce(available, true)),
+      ranked AS (SELECT topic, p, n, row_number() OVER (PARTITION BY topic ORDER BY score + 1000000 * j, p) AS nth
+                 FROM options, range((SELECT max(n) FROM sizes)) AS r(j))
+      SELECT topic, p, count(*) AS quota FROM ranked WHERE nth <= n GROUP BY topic, p""",
     "route_batch": _route(),
     "delivery_metrics": f"""WITH {_attempts("'error'")} {_METRICS}""",
     "cdc_source": f"""WITH {_CHANGES} SELECT op, count(*) AS n, min(CASE WHEN op = 'r' THEN -1 ELSE off END) AS first_off,

@@ -16,7 +16,7 @@ from logweave.plans import batch, fixtures as fx
 from logweave.plans.oracles import ORACLES
 from logweave.schemas import ATTEMPT_SCHEMA, LOG_SCHEMA, MARK_SCHEMA, PARTITION_KEYS
 from logweave.session import scratch, work_dir
-from logweave.streaming import commits, dedup, health, mirror, pipes, routing, run
+from logweave.streaming import commits, dedup, health, mirror, pauses, pipes, routing, run
 
 AVAILABLE_NOW = run.AVAILABLE_NOW
 DELIVERY_SCHEMA = T.StructType(
@@ -210,6 +210,22 @@ def retry_stream(spark: SparkSession, d: str) -> DataFrame:
     return done.select("event_id", F.col("partition").alias("p"), "attempts", "delay_s", "outcome")
 
 
+def pause_holds_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Rows held by pauses that begin in either of two micro-batches: those that left and those that wait."""
+    root = work_dir(spark, "paused")
+    rows = batch.retried(fx.outcomes(spark, d)).select("event_id", "partition", "timestamp", "delay_s")
+    bounds = rows.agg(F.min(F.unix_micros("timestamp")).alias("a"), F.max(F.unix_micros("timestamp")).alias("b")).first()
+    middle = F.timestamp_micros(F.lit((bounds["a"] + bounds["b"]) // 2))
+    early = F.col("timestamp") < middle
+    _in_two_runs(
+        spark, [rows.filter(early), rows.filter(~early)], rows.schema,
+        lambda s, checkpoint: pauses.pause_stream(s, ["partition"], "timestamp", ["event_id"], root, checkpoint),
+    )
+    left = pauses.read_released(spark, root, rows.schema).drop("batch_id")
+    all_rows = left.unionByName(pauses.read_waiting(spark, root, rows.schema))
+    return all_rows.select("event_id", F.col("partition").alias("p"), F.unix_micros("held_until").alias("held_us"))
+
+
 def route_stream(spark: SparkSession, d: str) -> DataFrame:
     """Events routed by the health that a stream of attempts has left, in one micro-batch."""
     health_root, root = work_dir(spark, "health"), work_dir(spark, "routed")
@@ -329,7 +345,7 @@ STREAM_QUERIES = {
         log_stream, discovered_partitions_stream, intake_bound_stream, commit_max_stream,
         track_commits_stream, track_commits_gap_stream, dedup_stream, first_arrival_stream,
         first_arrival_horizon_stream, idempotent_consume_stream,
-        retry_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream, cdc_mirror_rewritten_stream,
+        retry_stream, pause_holds_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream, cdc_mirror_rewritten_stream,
         continuous_view_stream, partition_health_stream, delivery_metrics_stream,
     ]
 }
@@ -356,6 +372,7 @@ STREAM_ORACLES = {
       CASE WHEN event_id % 100 = 35 THEN value + 1 ELSE value END AS value,
       CASE WHEN event_id % 100 = 35 THEN event_id + 1000000000 ELSE event_id END AS arrival FROM events""",
     "retry_stream": ORACLES["retry_outcomes"],
+    "pause_holds_stream": ORACLES["pause_holds"],
     "route_stream": ORACLES["route_batch"],
     "transactional_pipe_stream": ORACLES["message_transform"],
     "micro_batch_stream": """WITH cut AS (SELECT (max(event_id) // 2 + 1) // 3 AS middle FROM events),

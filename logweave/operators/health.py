@@ -3,7 +3,7 @@
 An attempt row says ``produce``, ``delivery`` (with a latency) or ``error`` (with a code). Averages
 and the error counter depend on the order of attempts. Both are summarised per block of attempts in
 a form that can be joined to the summary before it, so a busy partition is scanned by many tasks,
-and a stream merges the summary of a batch into the state it keeps.
+and a stream keeps the blocks and makes those anew that a batch adds to.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from logweave.session import small_side
 ALPHA = 0.2
 COOLDOWN_MS = 5_000
 
-SUMMARY = ["deliveries", "latency", "step_total", "step_low", "inflight", "last_error_ms", "cooldown_error_ms"]
-
 
 def health_summary(
     attempts: DataFrame,
@@ -37,12 +35,22 @@ def health_summary(
     last error and of the last error that calls for a cooldown.
     """
     by = by or ["partition"]
+    opened = attempts.filter(F.col("kind") == "produce").groupBy(*by).agg(F.count("*").alias("opened"))
+    return _settled(opened, block_summaries(attempts, by, alpha, leak, bits), by, alpha)
+
+
+def block_summaries(
+    attempts: DataFrame, by: list[str], alpha: float = ALPHA, leak: bool = False, bits: int = BLOCK_BITS
+) -> DataFrame:
+    """One row per group and block of attempts with outcomes (``block``), each whatever the other blocks hold.
+
+    ``fold_blocks`` joins them in the order of blocks, however they came about.
+    """
     delivered, failed = F.col("kind") == "delivery", F.col("kind") == "error"
     closes = delivered if leak else delivered | failed
-    opened = attempts.filter(F.col("kind") == "produce").groupBy(*by).agg(F.count("*").alias("opened"))
     # only outcomes have an order to keep; they go through the shuffle as small numbers, without texts
     rows = attempts.filter(delivered | failed).select(
-        *by, "attempt_no", block_of("attempt_no", bits).alias("_block"),
+        *by, "attempt_no", block_of("attempt_no", bits).alias("block"),
         F.when(failed, 1).otherwise(-1).alias("_step"),
         F.when(closes, 1).otherwise(0).alias("_closed"),
         F.when(delivered, 1).otherwise(0).alias("_one"),
@@ -50,7 +58,7 @@ def health_summary(
         F.when(failed, F.col("at_ms")).alias("_error"),
         F.when(failed & needs_cooldown(F.col("error_code")), F.col("at_ms")).alias("_cool"),
     )
-    whole = Window.partitionBy(*by, "_block")
+    whole = Window.partitionBy(*by, "block")
     so_far = whole.orderBy("attempt_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     walked = rows.withColumns(
         {
@@ -60,7 +68,7 @@ def health_summary(
         }
     )
     weight = alpha * F.pow(F.lit(1.0 - alpha), F.col("_count") - F.col("_nth"))
-    blocks = walked.groupBy(*by, "_block").agg(
+    return walked.groupBy(*by, "block").agg(
         F.sum("_one").alias("n"),
         F.sum(F.col("_latency") * weight).alias("v"),
         F.sum("_step").alias("total"),
@@ -69,7 +77,16 @@ def health_summary(
         F.max("_error").alias("err"),
         F.max("_cool").alias("cool"),
     )
-    ordered = Window.partitionBy(*by).orderBy("_block")
+
+
+def fold_blocks(opened: DataFrame, blocks: DataFrame, by: list[str], alpha: float = ALPHA) -> DataFrame:
+    """Summary as ``health_summary`` gives it, from counts of opened attempts (``opened``, added up here) and
+    ``block_summaries``."""
+    return _settled(opened.groupBy(*by).agg(F.sum("opened").alias("opened")), blocks, by, alpha)
+
+
+def _settled(opened: DataFrame, blocks: DataFrame, by: list[str], alpha: float) -> DataFrame:
+    ordered = Window.partitionBy(*by).orderBy("block")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     after = ordered.rowsBetween(1, Window.unboundedFollowing)
     placed = blocks.withColumns(
@@ -110,29 +127,6 @@ def _both(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def merge_summaries(earlier: DataFrame, later: DataFrame, by: list[str], alpha: float = ALPHA) -> DataFrame:
-    """Summary of the attempts of ``earlier`` followed by those of ``later``."""
-    def pick(side: str, name: str, default: float | int | None) -> Column:
-        column = F.col(f"{side}.{name}")
-        return column if default is None else F.coalesce(column, F.lit(default))
-
-    a = {c: pick("a", c, None if c.endswith("_ms") else 0) for c in SUMMARY}
-    b = {c: pick("b", c, None if c.endswith("_ms") else 0) for c in SUMMARY}
-    joined = earlier.alias("a").join(
-        later.alias("b"), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by], "full"
-    )
-    return joined.select(
-        *[F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in by],
-        (a["deliveries"] + b["deliveries"]).alias("deliveries"),
-        (a["latency"] * F.pow(F.lit(1.0 - alpha), b["deliveries"]) + b["latency"]).alias("latency"),
-        (a["step_total"] + b["step_total"]).alias("step_total"),
-        F.least(a["step_low"], a["step_total"] + b["step_low"]).alias("step_low"),
-        (a["inflight"] + b["inflight"]).alias("inflight"),
-        F.greatest(a["last_error_ms"], b["last_error_ms"]).alias("last_error_ms"),
-        F.greatest(a["cooldown_error_ms"], b["cooldown_error_ms"]).alias("cooldown_error_ms"),
-    )
-
-
 def health_from_summary(
     summary: DataFrame, by: list[str], as_of_ms: Column | int, cooldown_ms: int = COOLDOWN_MS
 ) -> DataFrame:

@@ -329,6 +329,17 @@ def partition_health_stream(spark: SparkSession, d: str) -> DataFrame:
     return batch._short(state.withColumn("avg_latency_ms", F.round("avg_latency_ms", 6)))
 
 
+def partition_health_reversed_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same where the later half of the attempts arrives first, and both halves share blocks."""
+    root = work_dir(spark, "health")
+    parts = _halves(fx.attempts(spark, d, batch.CLIMBING), "attempt_no", _middle(spark, d))
+    _in_two_runs(
+        spark, parts[::-1], ATTEMPT_SCHEMA, lambda s, checkpoint: health.health_stream(s, root, checkpoint)
+    )
+    state = health.read_health(spark, root, batch._now(spark, d))
+    return batch._short(state.withColumn("avg_latency_ms", F.round("avg_latency_ms", 6)))
+
+
 def delivery_metrics_stream(spark: SparkSession, d: str) -> DataFrame:
     root = work_dir(spark, "metrics")
     attempts = fx.attempts(spark, d)
@@ -346,7 +357,8 @@ STREAM_QUERIES = {
         track_commits_stream, track_commits_gap_stream, dedup_stream, first_arrival_stream,
         first_arrival_horizon_stream, idempotent_consume_stream,
         retry_stream, pause_holds_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream, cdc_mirror_rewritten_stream,
-        continuous_view_stream, partition_health_stream, delivery_metrics_stream,
+        continuous_view_stream, partition_health_stream,
+        partition_health_reversed_stream, delivery_metrics_stream,
     ]
 }
 
@@ -383,5 +395,6 @@ STREAM_ORACLES = {
     "cdc_mirror_rewritten_stream": f"{ORACLES['cdc_latest']} WHERE id % 13 NOT IN (5, 6, 7)",
     "continuous_view_stream": ORACLES["json_queue_view"],
     "partition_health_stream": ORACLES["partition_health"],
+    "partition_health_reversed_stream": ORACLES["partition_health"],
     "delivery_metrics_stream": ORACLES["delivery_metrics"],
 }

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from logweave import functions as fn, operators as op
 from logweave.operators import health, scan
@@ -76,16 +76,22 @@ def test_stream_merges_batches(spark, small_blocks):
     assert rounded(read_health(spark, root, 4_000)) == rounded(whole)
 
 
-def test_attempts_older_than_the_state_stop_the_stream(spark):
-    source, root, checkpoint = (work_dir(spark, n) for n in ("attempts", "health", "cp"))
-    for attempt in (7, 7, 6):
-        row = [(0, attempt, 10, "produce", None, None, None)]
-        spark.createDataFrame(row, ATTEMPT_SCHEMA).write.mode("append").parquet(source)
-        query = health_stream(spark.readStream.schema(ATTEMPT_SCHEMA).parquet(source), root, checkpoint)
-        if attempt == 7:
-            finish(query)
-    with pytest.raises(Exception, match="older than its state"):
-        finish(query)
+def test_stream_takes_batches_in_any_order(spark, small_blocks):
+    """Two topics, one of them null, with batches in and out of order that share blocks: all agree with one pass."""
+    data = random_attempts(random.Random(9))
+    schema = T.StructType([T.StructField("topic", T.StringType()), *ATTEMPT_SCHEMA.fields])
+    both = [("a" if i % 3 else None, *a) for i, a in enumerate(data)]
+    cuts = [[a for a in both if a[2] < 90], [a for a in both if 90 <= a[2] < 181], [a for a in both if a[2] >= 181]]
+    mixed = [both[::3], both[1::3], both[2::3]]
+    by = ["topic", "partition"]
+    rounded = lambda df: rows(df.withColumn("avg_latency_ms", F.round("avg_latency_ms", 9)))
+    whole = rounded(op.partition_health(spark.createDataFrame(both, schema), 4_000, by))
+    for parts in (cuts[::-1], mixed):
+        source, root, checkpoint = (work_dir(spark, n) for n in ("in", "root", "cp"))
+        for part in parts:
+            spark.createDataFrame(part, schema).write.mode("append").parquet(source)
+            finish(health_stream(spark.readStream.schema(schema).parquet(source), root, checkpoint, by))
+        assert rounded(read_health(spark, root, 4_000, by=schema.fields[:2])) == whole
 
 
 def test_average_ordered_by_sparse_times(spark):

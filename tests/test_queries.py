@@ -74,7 +74,8 @@ def test_gap_search_shuffles_its_blocks_once(spark):
     [
         "commit_contiguous", "commit_gap_timeout", "skipped_gaps", "clean_marks", "oldest_pending",
         "pause_holds", "stamp_sequence", "chunked", "route_batch", "upsert_table", "track_commits_gap_stream",
-        "idempotent_consume_stream",
+        "idempotent_consume_stream", "first_arrival_stream", "partition_quota", "pause_holds_stream",
+        "partition_health_reversed_stream",
     ],
 )
 def test_query_with_nothing_small(spark, con, monkeypatch, name):

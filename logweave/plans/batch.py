@@ -527,6 +527,24 @@ def cdc_source(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _snapshot_feed(spark: SparkSession, d: str) -> DataFrame:
+    rows, changes, windows = fx.chunked_table(spark, d)
+    key = ["user_id", "event_type"]
+    return sources.incremental_snapshot(rows, changes, windows, key, F.col("user_id") % fx.CHUNKS)
+
+
+def incremental_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """Feed of a table read in chunks while it changes."""
+    return _snapshot_feed(spark, d).withColumnRenamed("offset", "off")
+
+
+def incremental_snapshot_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The table after that feed: what it would be had all changes been seen."""
+    feed = _snapshot_feed(spark, d)
+    newest = op.latest_by_key(feed, ["user_id", "event_type"], ["offset"])
+    return newest.filter("op <> 'd'").select("user_id", "event_type", "value")
+
+
 def cdc_unwrap(spark: SparkSession, d: str) -> DataFrame:
     return _change_rows(op.unwrap_changes(fx.change_log(spark, d), ROW_SCHEMA))
 
@@ -594,7 +612,8 @@ BATCH_QUERIES = {
         duplicates, ledger_new_only, null_keys, carry_positions, set_changes, retry_outcomes,
         retry_frame, dlq_rows, dlq_reasons, pause_intervals, pause_holds, classify_errors,
         ewma_latency, inflight, recent_errors, partition_health, partition_score,
-        choose_partition, partition_quota, route_batch, delivery_metrics, cdc_source, cdc_unwrap, cdc_unwrap_rewritten, cdc_latest,
+        choose_partition, partition_quota, route_batch, delivery_metrics, cdc_source,
+        incremental_snapshot, incremental_snapshot_rows, cdc_unwrap, cdc_unwrap_rewritten, cdc_latest,
         cdc_latest_live, upsert_table, mark_processed,
     ]
 }

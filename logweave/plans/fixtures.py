@@ -227,3 +227,36 @@ def _change_messages(changes: DataFrame) -> DataFrame:
         F.timestamp_micros(F.lit(0)).alias("timestamp"),
         F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
     )
+
+
+CHUNKS = 8
+
+
+def chunked_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, changes, windows) of a table read in chunks while it changes.
+
+    An event sets the row of its user and type, every seventh deletes it. Chunk ``c`` is read while a twentieth of all
+    changes happen; windows overlap, and rows of a chunk are seen at different moments. The changes are those
+    since the first chunk was begun.
+    """
+    source = table(spark, sf_dir, "events")
+    number = source.agg(F.max("event_id")).first()[0] + 1
+    windows = spark.range(CHUNKS).select(
+        F.col("id").alias("chunk"),
+        F.expr(f"(id + 1) * {number}L div {3 * CHUNKS}").alias("low"),
+        F.expr(f"(id + 1) * {number}L div {3 * CHUNKS} + {number}L div 20").alias("high"),
+    )
+    rows = source.select(
+        "user_id", "event_type", "value", F.when(F.col("event_id") % 7 == 0, "d").otherwise("u").alias("op"),
+        F.col("event_id").alias("offset"),
+    )
+    seen_at = F.col("low") + F.col("user_id") * 7919 % (F.col("high") - F.col("low") + 1)
+    seen = (
+        rows.join(windows, F.col("user_id") % CHUNKS == F.col("chunk"))
+        .filter(F.col("offset") <= seen_at)
+        .groupBy("user_id", "event_type")
+        .agg(F.max_by(F.struct("value", "op"), "offset").alias("row"))
+        .filter("row.op <> 'd'")
+        .select("user_id", "event_type", "row.value")
+    )
+    return seen, rows.filter(F.col("offset") > number // (3 * CHUNKS)), windows

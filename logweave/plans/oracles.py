@@ -406,6 +406,18 @@ ORACLES = {
     "delivery_metrics": f"""WITH {_attempts("'error'")} {_METRICS}""",
     "cdc_source": f"""WITH {_CHANGES} SELECT op, count(*) AS n, min(CASE WHEN op = 'r' THEN -1 ELSE off END) AS first_off,
       max(name) AS last_name FROM changes GROUP BY op""",
+    # a key without a change in its chunk's window has one state throughout the window
+    "incremental_snapshot": """WITH size AS (SELECT max(event_id) + 1 AS n FROM events),
+      windows AS (SELECT r.c AS chunk, (r.c + 1) * n // 24 AS low, (r.c + 1) * n // 24 + n // 20 AS high FROM size, range(8) AS r(c)),
+      keyed AS (SELECT e.*, low, high FROM events e JOIN windows ON user_id % 8 = chunk),
+      newest AS (SELECT user_id, event_type, any_value(high) AS high, max(CASE WHEN event_id <= low THEN event_id END) AS event_id
+                 FROM keyed GROUP BY 1, 2 HAVING NOT bool_or(event_id > low AND event_id <= high))
+      SELECT user_id, event_type, value, 'r' AS op, high AS off FROM newest JOIN events USING (user_id, event_type, event_id)
+      WHERE event_id % 7 <> 0
+      UNION ALL SELECT user_id, event_type, value, CASE WHEN event_id % 7 = 0 THEN 'd' ELSE 'u' END, event_id
+      FROM events, size WHERE event_id > n // 24""",
+    "incremental_snapshot_rows": """SELECT user_id, event_type, value FROM events
+      QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1 AND event_id % 7 <> 0""",
     "cdc_unwrap": f"""WITH {_CHANGES}
       SELECT CAST(id AS VARCHAR) AS k, off, id, name, CASE WHEN op = 'd' THEN 'true' ELSE 'false' END AS deleted,
              false AS is_tombstone, NULL::VARCHAR AS error FROM changes

@@ -291,6 +291,20 @@ def cdc_mirror_stream(spark: SparkSession, d: str) -> DataFrame:
     return batch._customer(mirror.read_mirror(spark, root, batch.ROW_SCHEMA, ["id"]))
 
 
+def cdc_mirror_compacted_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The mirror, merged after each of three runs while the stream holds its place."""
+    root, changes = work_dir(spark, "mirror"), fx.change_log(spark, d)
+    at = F.col("offset")
+    parts = [changes.filter(at < 10_000_000), *_halves(changes.filter(at >= 10_000_000), "offset", 20_000_000)]
+    with scratch(spark, "input", "checkpoint") as (source, checkpoint):
+        for part in parts:
+            part.write.mode("append").parquet(source)
+            stream = spark.readStream.schema(LOG_SCHEMA).parquet(source)
+            run.finish(mirror.cdc_mirror(stream, batch.ROW_SCHEMA, ["id"], root, checkpoint))
+            mirror.compact_mirror(spark, root, batch.ROW_SCHEMA, ["id"])
+    return batch._customer(mirror.read_mirror(spark, root, batch.ROW_SCHEMA, ["id"]))
+
+
 def cdc_mirror_rewritten_stream(spark: SparkSession, d: str) -> DataFrame:
     root = work_dir(spark, "mirror")
     _in_two_runs(
@@ -356,7 +370,8 @@ STREAM_QUERIES = {
         log_stream, discovered_partitions_stream, intake_bound_stream, commit_max_stream,
         track_commits_stream, track_commits_gap_stream, dedup_stream, first_arrival_stream,
         first_arrival_horizon_stream, idempotent_consume_stream,
-        retry_stream, pause_holds_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream, cdc_mirror_rewritten_stream,
+        retry_stream, pause_holds_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream,
+        cdc_mirror_compacted_stream, cdc_mirror_rewritten_stream,
         continuous_view_stream, partition_health_stream,
         partition_health_reversed_stream, delivery_metrics_stream,
     ]
@@ -392,6 +407,7 @@ STREAM_ORACLES = {
       chunks AS (SELECT least(10, n - 10 * c) AS chunk_rows FROM sizes, range(0, (SELECT max(n) FROM sizes)) AS r(c) WHERE 10 * c < n)
       SELECT chunk_rows, count(*) AS chunks FROM chunks GROUP BY 1""",
     "cdc_mirror_stream": ORACLES["cdc_latest"],
+    "cdc_mirror_compacted_stream": ORACLES["cdc_latest"],
     "cdc_mirror_rewritten_stream": f"{ORACLES['cdc_latest']} WHERE id % 13 NOT IN (5, 6, 7)",
     "continuous_view_stream": ORACLES["json_queue_view"],
     "partition_health_stream": ORACLES["partition_health"],

@@ -108,18 +108,24 @@ def batch_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
 
 
 def read_batches(
-    spark: SparkSession, root: str, schema: T.StructType, before: int | None = None, part: str = "data"
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    before: int | None = None,
+    part: str = "data",
+    after: int | None = None,
 ) -> DataFrame:
-    """Rows of all committed batches, with ``batch_id``; ``before`` leaves out later ones."""
+    """Rows of all committed batches, with ``batch_id``; only those between ``after`` and ``before``, both excluded."""
     full = T.StructType([*schema.fields, *_COMMIT_SCHEMA.fields])
     if not path_exists(spark, f"{root}/{part}"):
         return spark.createDataFrame([], full)
     rows = spark.read.schema(full).parquet(f"{root}/{part}")
     commits = committed_batches(spark, root)
+    # filters on the directory column prune the listing
     if before is not None:
-        # a filter on the directory column prunes the listing
-        rows = rows.filter(F.col("batch_id") < before)
-        commits = commits.filter(F.col("batch_id") < before)
+        rows, commits = (table.filter(F.col("batch_id") < before) for table in (rows, commits))
+    if after is not None:
+        rows, commits = (table.filter(F.col("batch_id") > after) for table in (rows, commits))
     # a compacted table is one batch, so this join must not move the rows by batch id; batches committed
     # after this call are not read, whatever the number of batches
     return rows.join(small_side(commits), "batch_id", "left_semi")

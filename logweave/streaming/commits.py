@@ -92,6 +92,7 @@ def track_commits(
     trigger: dict | None = None,
     wall_clock: bool = False,
     as_of: datetime | None = None,
+    stop_on_overflow: bool = False,
 ) -> StreamingQuery:
     """Follow marks that arrive out of order, and commit as far as they allow.
 
@@ -99,7 +100,8 @@ def track_commits(
     With ``gap_timeout`` a gap is given up once a mark beyond it is that old, by the newest
     ``processed_at`` seen, by the clock, or at ``as_of``, after which no mark counts. All marks beyond a gap wait,
     since a lost one would stop the position for good; a partition where more than ``pending_limit`` + 1 wait
-    has a row in ``overflow``. Offsets have to rise with sequence numbers; ``operators.non_monotonic`` lists marks
+    has a row in ``overflow``. With ``stop_on_overflow`` the stream stops instead, before such a batch is committed; started again
+    with a higher limit, or a gap timeout, it goes on with that batch. Offsets have to rise with sequence numbers; ``operators.non_monotonic`` lists marks
     where they do not.
 
     What waits is kept as unbroken runs of numbers, with the highest offset and the earliest time of each:
@@ -159,7 +161,13 @@ def track_commits(
             stage_batch(after.coalesce(1), root, batch_id, "committed")
             stage_batch(judged.filter("not passed").select(*RUN_SCHEMA.fieldNames()), root, batch_id, "runs")
             crowded = moved.filter(F.col("pending") > pending_limit + 1)
-            stage_batch(crowded.select(*PARTITION_KEYS, "pending"), root, batch_id, "overflow")
+            over = crowded.select(*PARTITION_KEYS, "pending")
+            if stop_on_overflow and (full := over.take(1)):
+                raise RuntimeError(
+                    f"{full[0]['topic']}-{full[0]['partition']}: {full[0]['pending']} marks wait, "
+                    f"{pending_limit + 1} are allowed"
+                )
+            stage_batch(over, root, batch_id, "overflow")
             if cutoff is not None:
                 before = F.greatest(F.coalesce("before_seq", "floor"), F.col("floor"))
                 given_up = judged.filter(F.col("passed") & (F.col("first_seq") > before + 1)).select(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logweave.operators.changes import unwrap_changes
 from logweave.operators.latest import DELETED
 from logweave.sinks.batches import stage_batch
-from logweave.sinks.upsert import read_upsert, upsert_sink
+from logweave.sinks.upsert import compact_in_place, read_upsert, upsert_sink
 from logweave.streaming.run import for_each_batch
 
 
@@ -57,3 +57,10 @@ def read_mirror(
 ) -> DataFrame:
     """The mirrored table now."""
     return read_upsert(spark, root, mirror_schema(row_schema), key, ["offset"], drop_deleted)
+
+
+def compact_mirror(
+    spark: SparkSession, root: str, row_schema: T.StructType, key: list[str], drop_deleted: bool = False
+) -> int | None:
+    """Merge the parts of a mirror while its stream goes on; see ``compact_in_place``."""
+    return compact_in_place(spark, root, mirror_schema(row_schema), key, ["offset"], drop_deleted)

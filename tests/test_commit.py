@@ -316,3 +316,21 @@ def test_millions_of_marks_behind_a_gap_are_one_row(spark):
         assert state.count() <= 1
         assert state.agg(F.sum(F.col("last_seq") - F.col("first_seq") + 1)).first()[0] in (1_500_000, 3_000_000, None)
     assert rows(commits.read_committed_positions(spark, root).select("committed_seq", "position")) == [(3_000_000, 3_000_001)]
+
+
+def test_a_stream_may_stop_where_too_many_marks_wait(spark):
+    waiting = [(0, s, 100 + s, s) for s in range(1, 9)]
+    source, root, checkpoint = (work_dir(spark, n) for n in ("marks", "root", "cp"))
+    marks_of(spark, waiting).write.parquet(source)
+    stream = spark.readStream.schema(MARK_SCHEMA).parquet(source)
+    start = lambda **options: finish(
+        commits.track_commits(stream, root, checkpoint, trigger={"availableNow": True}, **options)
+    )
+    with pytest.raises(Exception, match="8 marks wait, 5 are allowed"):
+        start(pending_limit=4, stop_on_overflow=True)
+    assert batches.last_batch(spark, root) is None
+    start(pending_limit=7, stop_on_overflow=True)
+    assert commits.read_overflow(spark, root).count() == 0
+    marks_of(spark, [(0, 0, 100, 9)]).write.mode("append").parquet(source)
+    start(pending_limit=7, stop_on_overflow=True)
+    assert rows(commits.read_committed_positions(spark, root).select("committed_seq", "position")) == [(8, 109)]

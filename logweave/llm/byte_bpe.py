@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import heapq
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -14,7 +16,8 @@ from pyspark.sql import DataFrame
 from logweave.llm.blocks import mixed, text_blocks, worker_state
 
 NONE = np.int32(2**31 - 1)
-# pieces that a worker remembers, rows that are merged together, and the longest row kept in a matrix
+# pieces that a worker remembers, rows that are merged together, and the longest row of a matrix: a round moves the whole
+# row, so the work of a row grows by the square of its length
 REMEMBERED, ROWS, LONGEST = 150_000, 16_384, 512
 
 
@@ -81,6 +84,7 @@ class Encoder:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.known: dict[str, bytes] = {}
+        self.pair_ranks: dict[int, int] = {}
 
     def merge_rows(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of pieces of similar length, one matrix row each.
@@ -126,38 +130,49 @@ class Encoder:
         return out
 
     def merge_long(self, piece: bytes) -> np.ndarray:
-        """Ids of one long piece.
+        """Ids of one long piece, by the same rule: the leftmost pair of minimum rank is merged next.
 
-        A round merges all places of the minimum rank at once, from the left and without
-        overlap, if none of the new pairs has a lower rank; then no merge between them
-        could have come first. Otherwise it merges the leftmost place alone.
+        Pairs wait in a heap by rank and place, tokens are linked to their neighbours. A merge looks up the two pairs it
+        makes; a pair that is gone or has changed is passed over when it comes up. Work grows with
+        n log n, memory is about 60 bytes for each byte of the piece.
         """
-        ids = self.byte_ids[np.frombuffer(piece, np.uint8)]
-        while len(ids) > 1:
-            ranks = self.pairs.ranks(ids[:-1], ids[1:])
-            best = ranks.min()
-            if best == NONE:
-                break
-            at = np.flatnonzero(ranks == best)
-            run_start = np.r_[True, np.diff(at) > 1]
-            first = np.maximum.accumulate(np.where(run_start, at, 0))
-            at = at[(at - first) % 2 == 0]
-            for places in (at, at[:1]):
-                new = ids.copy()
-                new[places] = best
-                new = np.delete(new, places + 1)
-                if len(places) == 1:
-                    break
-                now = places - np.arange(len(places))
-                before, after = now[now > 0], now[now + 1 < len(new)]
-                lowest = min(
-                    self.pairs.ranks(new[before - 1], new[before]).min(initial=NONE),
-                    self.pairs.ranks(new[after], new[after + 1]).min(initial=NONE),
-                )
-                if lowest > best:
-                    break
-            ids = new
-        return ids
+        if not self.pair_ranks:
+            there = self.pairs.keys != np.uint64(2**64 - 1)
+            self.pair_ranks = dict(zip(self.pairs.keys[there].tolist(), self.pairs.values[there].tolist(), strict=True))
+        rank_of = self.pair_ranks.get
+        start = self.byte_ids[np.frombuffer(piece, np.uint8)]
+        ranks = self.pairs.ranks(start[:-1], start[1:])
+        at = np.flatnonzero(ranks != NONE)
+        heap = ((ranks[at].astype(np.int64) << 32) | at).tolist()
+        heapq.heapify(heap)
+        n = len(start)
+        ids = array("i", start.tobytes())
+        # rank of the pair that begins at a place, -1 if it does not merge or no token begins there
+        now = array("i", np.append(np.where(ranks == NONE, -1, ranks), -1).astype(np.int32).tobytes())
+        left, right = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
+        alive = bytearray(b"\x01") * n
+        while heap:
+            top = heapq.heappop(heap)
+            rank, i = top >> 32, top & 0xFFFFFFFF
+            if now[i] != rank:
+                continue
+            j = right[i]
+            k = right[j]
+            alive[j], now[j], now[i] = 0, -1, -1
+            ids[i], right[i] = rank, k
+            if k < n:
+                left[k] = i
+                made = rank_of(rank << 32 | ids[k])
+                if made is not None:
+                    now[i] = made
+                    heapq.heappush(heap, made << 32 | i)
+            h = left[i]
+            if h >= 0:
+                made = rank_of(ids[h] << 32 | rank)
+                now[h] = -1 if made is None else made
+                if made is not None:
+                    heapq.heappush(heap, made << 32 | h)
+        return np.frombuffer(ids, np.int32)[np.frombuffer(alive, bool)]
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Encode the pieces that aren't known yet, in buckets of doubling length."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from logweave.llm.blocks import groups, mixed, text_blocks
 from logweave.llm.suffix_sort import PrefixHashes, merge_sort
-from logweave.session import materialize
+from logweave.session import materialize, small_side
 
 # contexts of one anchor that are sorted together; more are compared window by window
 TOGETHER = 2_000
@@ -293,7 +293,8 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     Every byte that lies in such a string is removed, in all its copies, in the same document too;
     strings are those of the input and never cross documents. ``spans`` are the maximal removed byte
     ranges in order, ``kept`` the remaining bytes, which need not be valid UTF-8. A null text
-    counts as empty; texts shorter than ``length`` keep all bytes. Repeated rows are copies of each other. Null
+    counts as empty; texts shorter than ``length`` keep all bytes. Repeated rows are copies of each other: a text of
+    ``length`` bytes or more goes wholly in all of them. Null
     ids are kept as they are, other columns are left out. ``length`` may be 2 to 4000.
 
     Equal windows have equal anchors, so anchors with a hash of their own are done with at
@@ -304,8 +305,18 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     # id and text by 128 bits, as many rows may share an id or have none
     whole = F.sha2("text", 256)
     texts = texts.withColumns({"digest": F.xxhash64("doc_id", whole), "check": F.xxhash64(F.lit(1), "doc_id", whole)})
+    long = texts.filter(F.octet_length("text") >= length).drop("doc_id")
+    # rows that repeat id and text: every string of theirs starts elsewhere too, and one of them stands for all beside the others
+    again = long.groupBy("digest", "check").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "check")
+    again = small_side(again)
+    repeated = long.join(again, ["digest", "check"], "left_semi").dropDuplicates(["digest", "check"])
+    others = long.join(again, ["digest", "check"], "left_anti")
+    entire = repeated.select(
+        "digest", "check", F.lit(0).cast("long").alias("start"), F.octet_length("text").cast("long").alias("stop")
+    )
     spans = (
-        repeated_spans(texts.filter(F.octet_length("text") >= length).drop("doc_id"), length)
+        repeated_spans(others.unionByName(repeated), length)
+        .union(entire)
         .groupBy("digest", "check")
         .agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     )

@@ -60,7 +60,8 @@ def nearest(
 
     Scores are sums of products in double precision, in order of the components; ties go to the smaller id, and a
     query is not its own candidate. Rows with a null id, or with a vector that is null, zero or has null or
-    non-finite components, take no part; a shorter vector counts as ending in zeros. With no more than
+    non-finite components, take no part; a shorter vector counts as ending in zeros. Rows that repeat an id and its
+    vector count once; an id with different vectors is returned once, by the best of those found. With no more than
     ``k`` candidates all that the windows reach are returned, and in small tables they reach all.
 
     Equal vectors are one entry, which knows its ``k + 1`` smallest ids. Every curve projects the entries to a
@@ -75,7 +76,7 @@ def nearest(
         & usable(F.col(vector_col))
         & F.exists(vector_col, lambda x: x != 0)
     ).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), is_query.alias("q"))
-    kept = kept.withColumn("code", F.xxhash64("vector"))
+    kept = kept.groupBy("id", F.xxhash64("vector").alias("code"), "vector").agg(F.max("q").alias("q"))
     copies = Window.partitionBy("code", "vector").orderBy("id")
     first_ids = kept.withColumn("n", F.row_number().over(copies)).filter(F.col("n") <= k + 1)
     classes = first_ids.groupBy("code", "vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
@@ -162,10 +163,12 @@ def nearest(
     merged = found.groupBy(F.col("asked").alias("query_id"), F.col("entry").alias("vec_id")).agg(F.max("score").alias("score"))
     near = top_ranks(merged, k + 1).select("query_id", F.col("vec_id").alias("entry"), "score")
     ids = near.join(entries.select("entry", F.explode("ids").alias("vec_id")), "entry")
+    ids = ids.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     near_ids = top_ranks(ids, k + 1).withColumnRenamed("query_id", "asked").drop("rank")
     rows = (
         kept.filter("q")
         .join(entries.select("code", "vector", F.col("entry").alias("asked")), ["code", "vector"])
         .select(F.col("id").alias("query_id"), "asked")
     )
-    return top_ranks(rows.join(near_ids, "asked").filter("query_id <> vec_id"), k)
+    pairs = rows.join(near_ids, "asked").filter("query_id <> vec_id").groupBy("query_id", "vec_id")
+    return top_ranks(pairs.agg(F.max("score").alias("score")), k)

@@ -23,7 +23,7 @@ from logweave.operators.health import (
     recent_errors,
 )
 from logweave.operators.latest import latest_by_key
-from logweave.operators.metrics import delivery_metrics
+from logweave.operators.metrics import delivery_metrics, merge_cells, metric_cells, metrics_from_cells
 from logweave.operators.positions import carry_positions, set_changes
 from logweave.operators.retry import hold_paused, pause_intervals, with_retries, with_retries_frame
 from logweave.operators.routing import route_batch
@@ -33,7 +33,7 @@ __all__ = [
     "assign_by_quota", "carry_positions", "choose_partition", "chunk", "clean_marks", "commit_positions",
     "dedup_first", "delivery_metrics", "duplicates", "envelope", "evolve", "ewma",
     "finished_runs", "gaps",
-    "hold_paused", "inflight", "latest_by_key", "new_only", "non_monotonic", "null_keys",
+    "hold_paused", "inflight", "latest_by_key", "merge_cells", "metric_cells", "metrics_from_cells", "new_only", "non_monotonic", "null_keys",
     "numbered_messages", "oldest_pending", "partition_health", "partition_quotas", "pause_intervals", "prefix_value",
     "recent_errors", "rewritten_changes", "route_batch", "set_changes", "skipped_gaps", "stamp_sequence",
     "to_keyed_log", "unwrap_changes", "with_log_metadata", "with_retries", "with_retries_frame",

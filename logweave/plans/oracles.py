@@ -179,6 +179,30 @@ _METRICS = """
   FROM attempts GROUP BY 1, 2"""
 
 
+# cells of the attempts themselves, not of sums; 1048576 lies above every exponent
+_ROLLUP = """,
+celled AS (
+  SELECT *, CASE WHEN latency_ms = 0 THEN 0
+                 ELSE sign(latency_ms) * (1048576 + ceil(ln(abs(latency_ms)) / ln(1.01::DOUBLE / 0.99::DOUBLE))) END::BIGINT AS cell
+  FROM attempts),
+found AS (
+  SELECT at_ms - at_ms % 21600000 AS window_start_ms, p, round(avg(latency_ms), 10) AS produce_latency_ms,
+         quantile_disc(cell, 0.5) AS c50, quantile_disc(cell, 0.95) AS c95, quantile_disc(cell, 0.99) AS c99,
+         count(*) FILTER (WHERE kind = 'error' AND NOT is_fatal AND error_code <> 'MsgSizeTooLarge') AS retry_count,
+         count(*) FILTER (WHERE kind = 'produce') AS partition_load,
+         count(*) FILTER (WHERE kind = 'error') AS delivery_errors,
+         0::BIGINT AS serialization_errors, 0::BIGINT AS queue_full
+  FROM celled GROUP BY 1, 2)
+  SELECT * EXCLUDE (c50, c95, c99),
+         round(CASE WHEN c50 = 0 THEN 0 ELSE sign(c50) * 0.99 * pow(1.01::DOUBLE / 0.99::DOUBLE, abs(c50) - 1048576) END, 10)
+           AS produce_latency_p50_ms,
+         round(CASE WHEN c95 = 0 THEN 0 ELSE sign(c95) * 0.99 * pow(1.01::DOUBLE / 0.99::DOUBLE, abs(c95) - 1048576) END, 10)
+           AS produce_latency_p95_ms,
+         round(CASE WHEN c99 = 0 THEN 0 ELSE sign(c99) * 0.99 * pow(1.01::DOUBLE / 0.99::DOUBLE, abs(c99) - 1048576) END, 10)
+           AS produce_latency_p99_ms
+  FROM found"""
+
+
 def _route() -> str:
     """Ten attempts written out: choice, errors and new state of each."""
     parts = [
@@ -404,6 +428,7 @@ ORACLES = {
       SELECT topic, p, count(*) AS quota FROM ranked WHERE nth <= n GROUP BY topic, p""",
     "route_batch": _route(),
     "delivery_metrics": f"""WITH {_attempts("'error'")} {_METRICS}""",
+    "metrics_rollup": f"""WITH {_attempts("'error'")} {_ROLLUP}""",
     "cdc_source": f"""WITH {_CHANGES} SELECT op, count(*) AS n, min(CASE WHEN op = 'r' THEN -1 ELSE off END) AS first_off,
       max(name) AS last_name FROM changes GROUP BY op""",
     # a key without a change in its chunk's window has one state throughout the window

@@ -16,7 +16,7 @@ from logweave.plans import batch, fixtures as fx
 from logweave.plans.oracles import ORACLES
 from logweave.schemas import ATTEMPT_SCHEMA, LOG_SCHEMA, MARK_SCHEMA, PARTITION_KEYS
 from logweave.session import scratch, work_dir
-from logweave.streaming import commits, dedup, health, mirror, pauses, pipes, routing, run
+from logweave.streaming import cells, commits, dedup, health, mirror, pauses, pipes, routing, run
 
 AVAILABLE_NOW = run.AVAILABLE_NOW
 DELIVERY_SCHEMA = T.StructType(
@@ -364,6 +364,17 @@ def delivery_metrics_stream(spark: SparkSession, d: str) -> DataFrame:
     return batch.rounded_metrics(health.read_metrics(spark, root))
 
 
+def metrics_rollup_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The later half of the attempts arrives first."""
+    root = work_dir(spark, "cells")
+    attempts = fx.attempts(spark, d)
+    _in_two_runs(
+        spark, _halves(attempts, "attempt_no", _middle(spark, d))[::-1], ATTEMPT_SCHEMA,
+        lambda s, checkpoint: cells.cells_stream(s, root, checkpoint),
+    )
+    return batch.six_hours(cells.read_cells(spark, root))
+
+
 STREAM_QUERIES = {
     f.__name__: f
     for f in [
@@ -373,7 +384,7 @@ STREAM_QUERIES = {
         retry_stream, pause_holds_stream, route_stream, transactional_pipe_stream, micro_batch_stream, cdc_mirror_stream,
         cdc_mirror_compacted_stream, cdc_mirror_rewritten_stream,
         continuous_view_stream, partition_health_stream,
-        partition_health_reversed_stream, delivery_metrics_stream,
+        partition_health_reversed_stream, delivery_metrics_stream, metrics_rollup_stream,
     ]
 }
 
@@ -413,4 +424,5 @@ STREAM_ORACLES = {
     "partition_health_stream": ORACLES["partition_health"],
     "partition_health_reversed_stream": ORACLES["partition_health"],
     "delivery_metrics_stream": ORACLES["delivery_metrics"],
+    "metrics_rollup_stream": ORACLES["metrics_rollup"],
 }

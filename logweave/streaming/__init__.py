@@ -1,5 +1,6 @@
 """Streaming forms of the operators."""
 
+from logweave.streaming.cells import cells_stream, read_cells
 from logweave.streaming.commits import commit_batches, track_commits
 from logweave.streaming.dedup import dedup_stream, first_arrivals, idempotent_consume
 from logweave.streaming.health import health_stream, metrics_stream
@@ -10,7 +11,7 @@ from logweave.streaming.routing import route_stream
 from logweave.streaming.run import every, finish, rocksdb_state
 
 __all__ = [
-    "cdc_mirror", "commit_batches", "continuous_view", "dedup_stream", "every", "finish", "first_arrivals",
-    "health_stream", "idempotent_consume", "metrics_stream", "micro_batch_sink", "pause_stream", "retry_sink",
+    "cdc_mirror", "cells_stream", "commit_batches", "continuous_view", "dedup_stream", "every", "finish", "first_arrivals",
+    "health_stream", "idempotent_consume", "metrics_stream", "micro_batch_sink", "pause_stream", "read_cells", "retry_sink",
     "rocksdb_state", "route_stream", "track_commits", "transactional_pipe",
 ]

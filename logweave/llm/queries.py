@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,9 @@ from logweave.llm import (
     url_filters,
 )
 
-# stands for the secret that a deployment would pass
+# names the secret behind surrogates; Spark hides settings with "secret" in their names from its logs
+SURROGATE_SETTING = "spark.logweave.surrogate.secret"
+# stands for it where the setting is missing, as in tests; anyone could work out surrogates made with it
 SURROGATE_KEY = b"replace-me"
 
 
@@ -30,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The session's secret for surrogates; a warning and the placeholder where there is none or an empty one."""
+    secret = spark.conf.get(SURROGATE_SETTING, None)
+    if not secret:
+        warnings.warn(f"{SURROGATE_SETTING} is not set: surrogates can be guessed", stacklevel=2)
+        return SURROGATE_KEY
+    return secret.encode()
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under the sentencepiece model."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -80,7 +93,7 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data and secrets replaced."""
-    return private_data.replace_private_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return private_data.replace_private_data(table(spark, sf_dir, "documents"), surrogate_key(spark))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from logweave.llm import byte_bpe, language, mixing, near_dedup, private_data
 from logweave.llm.blocks import text_digest, with_ids
-from logweave.llm.queries import SURROGATE_KEY
+from logweave.llm.queries import surrogate_key
 from logweave.session import kept_table, materialize
 
 
@@ -55,9 +55,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data and secrets replaced.
 
-    Null and empty texts have none; repeated rows get the same replacements, null ids count like any.
+    The secret behind replacements is the session's. Null and empty texts have none; repeated rows get the same replacements, null ids count like any.
     """
-    return private_data.replace_private_data(docs, SURROGATE_KEY, count=None)
+    return private_data.replace_private_data(docs, surrogate_key(spark), count=None)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
